@@ -21,8 +21,7 @@ def plan_bytes(df: DataFrame) -> int | None:
     ``None`` when no estimate can be had; callers then take the scalable path.
     """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 
