@@ -99,6 +99,23 @@ def present(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(c), c) if _floating(df, name) else c
 
 
+#: Longer texts are compared by digest: 65 characters travel instead of the whole text.
+SHORT_TEXT = 64
+
+
+def fingerprint(df: DataFrame, name: str) -> Column:
+    """A value that is equal exactly when the cells are, and short even for long texts.
+
+    A digest is one character longer than any text kept as it is, so the two
+    cannot be mistaken for each other.
+    """
+    value = present(df, name)
+    if not is_text_type(type_of(df, name)):
+        return value
+    digest = F.concat(F.lit("#"), F.sha2(value, 256))
+    return F.when(F.length(value) > SHORT_TEXT, digest).otherwise(value)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every floating column (for tables leaving the library)."""
     floating = [n for n in df.columns if _floating(df, n)]

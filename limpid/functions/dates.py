@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The date spellings understood, in order of preference.  The two
-# ambiguous pairs (slashes and dashes) are month first unless told otherwise.
-YEAR_FIRST = ("yyyy-M-d", "yyyy/M/d")
-MONTH_FIRST = ("M/d/yyyy", "M-d-yyyy")
-DAY_FIRST = ("d/M/yyyy", "d-M-yyyy")
-NAMED_MONTH = ("MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy")
+# The spellings with a month name, each with the shape a text must
+# have to be tried.  Numeric spellings are rearranged to ISO order and cast.
+NAMED_MONTH = {
+    "MMMM d, yyyy": r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    "d MMMM yyyy": r"^\d{1,2} [A-Za-z]{3,9} \d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+}
+ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{1,2}:.*)?)?)?$"
+YEAR_FIRST_SHAPE = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
+YEAR_LAST_SHAPE = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
 
 # Strftime codes and the pattern letters that print the same.
 STRFTIME = {
@@ -19,29 +24,30 @@ STRFTIME = {
 }
 
 
-def date_patterns(dayfirst: bool = False) -> tuple[str, ...]:
-    ambiguous = DAY_FIRST + MONTH_FIRST if dayfirst else MONTH_FIRST + DAY_FIRST
-    return YEAR_FIRST + ambiguous + NAMED_MONTH
-
-
-def parse_datetime(text: Column, *, dayfirst: bool = False, formats: tuple[str, ...] | None = None) -> Column:
+def parse_datetime(text: Column, *, dayfirst: bool = False) -> Column:
     """Text to a timestamp without zone; the format is decided per value, garbage is NULL.
 
-    ISO text, with or without a time of day and down to a bare year, goes through a
-    plain cast; other spellings are tried in order and the first that fits wins.
+    ISO text, with or without a time of day and down to a bare year, is cast.
+    Numeric dates with the year last are month first (day first on request) and
+    fall back to the other reading when the month would be above 12.
     """
     clean = F.trim(text)
-    iso = F.when(clean.rlike(r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{1,2}:.*)?)?)?$"), clean.try_cast("timestamp_ntz"))
-    ladder = formats if formats is not None else date_patterns(dayfirst)[1:]
-    steps = [F.try_to_date(clean, f).cast("timestamp_ntz") for f in ladder]
-    return F.coalesce(iso, *steps) if formats is None else F.coalesce(*steps)
+    iso = F.when(clean.rlike(ISO_SHAPE), clean.try_cast("timestamp_ntz"))
+    year_first = F.when(clean.rlike(YEAR_FIRST_SHAPE), F.translate(clean, "/", "-").try_cast("date"))
+    month_day, day_month = (
+        F.regexp_replace(clean, YEAR_LAST_SHAPE, rearranged).try_cast("date")
+        for rearranged in ("$4-$1-$3", "$4-$3-$1"))
+    readings = (day_month, month_day) if dayfirst else (month_day, day_month)
+    year_last = F.when(clean.rlike(YEAR_LAST_SHAPE), F.coalesce(*readings))
+    named = [F.when(clean.rlike(shape), F.try_to_date(clean, fmt)) for fmt, shape in NAMED_MONTH.items()]
+    return F.coalesce(iso, *[d.cast("timestamp_ntz") for d in (year_first, year_last, *named)])
 
 
 def is_ambiguous_date(text: Column) -> Column:
     """Whether month-first and day-first reading both work and give different days."""
-    shape = r"^(\d{1,2})[/-](\d{1,2})[/-]\d{4}$"
-    first = F.regexp_extract(F.trim(text), shape, 1).try_cast("int")
-    second = F.regexp_extract(F.trim(text), shape, 2).try_cast("int")
+    clean = F.trim(text)
+    first, second = (
+        F.nullif(F.regexp_extract(clean, YEAR_LAST_SHAPE, i), F.lit("")).cast("int") for i in (1, 3))
     return F.coalesce(first.between(1, 12) & second.between(1, 12) & (first != second), F.lit(False))
 
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spellings Java accepts as a double and a data file does not mean as one: "1d", "2.5f", "0x10".
-_JAVA_ONLY = r"[0-9.][dDfF]\s*$|0[xX]"
+# What reads as a number.  Checking the shape first also keeps text columns from
+# raising and catching one exception per cell inside the cast.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
+WHOLE = r"^\s*[+-]?\d+\s*$"
+
+
+def parse_long(text: Column) -> Column:
+    """Text to long; anything that is not a whole number in range is NULL."""
+    return F.when(text.rlike(WHOLE), text.try_cast("long"))
 
 
 def parse_double(text: Column) -> Column:
     """Text to double; surrounding blanks and exponents are fine, anything else is NULL."""
-    number = text.try_cast("double")
-    return F.when(~text.rlike(_JAVA_ONLY) & ~F.isnan(number), number)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def parse_amount(text: Column, marks: str = ",") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.functions.columns import col, fresh_name, nan_to_null, present, require
+from limpid.functions.columns import col, fingerprint, fresh_name, nan_to_null, require
 from limpid.plans.ordering import order_columns, order_value
 
 
@@ -44,7 +44,7 @@ def drop_duplicates(
         order = order_value(order_columns(df, order_by))
         edge = F.min_by if keep == "first" else F.max_by
         picked = [edge(whole, order).alias("row"), F.lit(1).alias("n")]
-    groups = df.groupBy(*[present(df, n).alias(k) for n, k in key_columns.items()]).agg(*picked)
+    groups = df.groupBy(*[fingerprint(df, n).alias(k) for n, k in key_columns.items()]).agg(*picked)
     return groups.where(F.col("n") == 1).select(
         *[F.col(f"row.c{i}").alias(n) for i, n in enumerate(df.columns)])
 
@@ -56,6 +56,6 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """One row, ``duplicate_rows``: how many rows repeat another one."""
-    clean = nan_to_null(df)
-    groups = clean.groupBy(*[col(n) for n in df.columns]).agg(F.count("*").alias("n"))
+    groups = df.groupBy(*[fingerprint(df, n).alias(f"k{i}") for i, n in enumerate(df.columns)]).agg(
+        F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))

@@ -24,16 +24,18 @@ def sort_values(
 ) -> DataFrame:
     """Sort; missing values go last whatever the direction.
 
-    ``order_by`` is the tie-breaker that stands for the original row order; it
-    also lets the range partitioning split a value that many rows share.
+    ``order_by`` is the tie-breaker that stands for the original row order.  The
+    tie-breaker (a hash of the row when none is given) also lets the range
+    partitioning split a value that many rows share.
     """
     names = require(df, columns)
     directions = [ascending] * len(names) if isinstance(ascending, bool) else list(ascending)
     if len(directions) != len(names):
         raise ValueError("ascending needs one entry per column")
     keys = [_last_if_missing(df, n, up) for n, up in zip(names, directions)]
-    keys += [col(n).asc() for n in (require(df, order_by) if order_by else [])]
-    return df.orderBy(*keys)
+    if order_by:
+        return df.orderBy(*keys, *[col(n).asc() for n in require(df, order_by)])
+    return df.orderBy(*keys, F.xxhash64(*[col(n) for n in df.columns]))
 
 
 def _last_if_missing(df: DataFrame, name: str, up: bool) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from limpid.functions import records as rec
 from limpid.functions.columns import col, present, require
 from limpid.functions.dates import is_ambiguous_date, parse_datetime
-from limpid.functions.numbers import half_even_long, parse_amount, parse_double
+from limpid.functions.numbers import half_even_long, parse_amount, parse_double, parse_long
 from limpid.functions.text import strip, title
 from limpid.operators.outliers import clipped
 from limpid.plans.quantiles import exact_quantiles
@@ -74,8 +74,8 @@ def parsed_fields(df: DataFrame, rules: RecordRules) -> dict[str, Column]:
             out[n] = rec.keep_if(value, value.between(low, high))
     for n, words in rules.counts.items():
         plain = F.lower(strip(col(n)))
-        digits = F.regexp_extract(plain, r"^(\d+)", 1)
-        out[n] = F.coalesce(rec.lookup(plain, words).cast("long"), digits.try_cast("long"))
+        digits = parse_long(F.regexp_extract(plain, r"^(\d+)", 1))
+        out[n] = F.coalesce(rec.lookup(plain, words).cast("long"), digits)
     require(df, out)
     return out
 

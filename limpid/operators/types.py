@@ -13,7 +13,7 @@ from limpid.functions.columns import (
     as_number, col, is_datetime_type, is_numeric_type, is_text_type, present, resolve, type_of,
 )
 from limpid.functions.dates import is_ambiguous_date, parse_datetime
-from limpid.functions.numbers import parse_double
+from limpid.functions.numbers import parse_double, parse_long
 from limpid.plans.fitting import fitted
 
 Columns = str | Sequence[str] | None
@@ -44,7 +44,7 @@ class TypeChoice:
             elif infer_text and is_text_type(data_type):
                 c = F.trim(col(n))
                 blank = col(n).isNull()
-                tests[n, "long"] = blank | (c.rlike(r"^[+-]?\d+$") & c.try_cast("long").isNotNull())
+                tests[n, "long"] = blank | parse_long(c).isNotNull()
                 tests[n, "double"] = blank | parse_double(c).isNotNull() | (F.lower(c) == "nan")
                 tests[n, "boolean"] = blank | F.lower(c).isin("true", "false")
         if not tests:
@@ -64,7 +64,7 @@ class TypeChoice:
         for n, target in self.types.items():
             if is_text_type(type_of(df, n)):
                 c = F.trim(col(n))
-                out[n] = parse_double(c) if target == "double" else c.try_cast(target)
+                out[n] = {"long": parse_long, "double": parse_double}.get(target, lambda x: x.try_cast("boolean"))(c)
             else:
                 out[n] = present(df, n).cast(target)
         return df.withColumns(out) if out else df

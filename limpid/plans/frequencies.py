@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from limpid.functions.columns import col, present, type_of
+from limpid.functions.columns import col, fingerprint, present, type_of
 from limpid.plans.fitting import fitted
 
 
@@ -24,11 +24,15 @@ def _by_type(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     return groups
 
 
-def frequencies(df: DataFrame, columns: Sequence[str]) -> list[DataFrame]:
-    """One DataFrame ``(column, value, n)`` per column type; missing values are left out."""
+def frequencies(df: DataFrame, columns: Sequence[str], cell=present) -> list[DataFrame]:
+    """One DataFrame ``(column, value, n)`` per column type; missing values are left out.
+
+    ``cell`` is what stands for a cell: its value, or its fingerprint where only
+    equality matters.
+    """
     tables = []
     for names in _by_type(df, columns).values():
-        slim = df.select(*[present(df, n).alias(n) for n in names])
+        slim = df.select(*[cell(df, n).alias(n) for n in names])
         if len(names) == 1:
             long = slim.select(F.lit(names[0]).alias("column"), col(names[0]).alias("value"))
         else:
@@ -39,6 +43,13 @@ def frequencies(df: DataFrame, columns: Sequence[str]) -> list[DataFrame]:
     return tables
 
 
+def _per_column(table: DataFrame) -> DataFrame:
+    """``(column, unique, top, freq)``; the smallest value wins a tie."""
+    best = F.min(F.struct((-F.col("n")).alias("fewer"), F.col("value")))
+    return table.groupBy("column").agg(F.count("*").alias("unique"), best.alias("best")).select(
+        "column", "unique", F.col("best.value").alias("top"), (-F.col("best.fewer")).alias("freq"))
+
+
 @fitted
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[object, int]]:
     """The most frequent value per column and its count; ties go to the smallest value.
@@ -47,27 +58,14 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[obje
     """
     found: dict[str, tuple[object, int]] = {}
     for table in frequencies(df, columns):
-        # smallest value among the most frequent: order by count, then by value descending
-        best = table.groupBy("column").agg(F.max("n").alias("n"))
-        winner = (
-            table.join(F.broadcast(best), ["column", "n"])
-            .groupBy("column", "n").agg(F.min("value").alias("value")))
-        for r in winner.collect():
-            found[r["column"]] = (r["value"], r["n"])
+        for r in _per_column(table).collect():
+            found[r["column"]] = (r["top"], r["freq"])
     return found
 
 
 def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, unique, top, freq)`` as text, for description tables."""
-    parts = []
-    for table in frequencies(df, columns):
-        stats = table.groupBy("column").agg(
-            F.count("*").alias("unique"),
-            F.max(F.struct(F.col("n"))).getField("n").alias("freq"))
-        top = (
-            table.join(F.broadcast(stats.select("column", F.col("freq").alias("n"))), ["column", "n"])
-            .groupBy("column").agg(F.min("value").cast("string").alias("top")))
-        parts.append(stats.join(F.broadcast(top), "column").select("column", "unique", "top", "freq"))
+    """``(column, unique, top, freq)`` with the top value as text, for description tables."""
+    parts = [_per_column(t).withColumn("top", F.col("top").cast("string")) for t in frequencies(df, columns)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -79,7 +77,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     names = spark.createDataFrame([(n,) for n in columns], T.StructType([T.StructField("column", T.StringType())]))
     out = None
-    for table in frequencies(df, columns):
+    for table in frequencies(df, columns, fingerprint):
         part = table.groupBy("column").agg(F.count("*").alias("n_unique"))
         out = part if out is None else out.unionByName(part)
     # at most one row per column on either side

@@ -10,6 +10,7 @@ prefix-summed over the bucket table and joined back.  That table has at most
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -67,7 +68,9 @@ def bucket_of(df: DataFrame, keys: Sequence[str], splits: Sequence[tuple[str, ..
         return F.lit(0)
     key = order_value(keys)
     if len(keys) == 1:
-        points = F.lit([s[0] for s in splits]).cast(f"array<{type_of(df, keys[0]).simpleString()}>")
+        # one text literal is far cheaper to plan than thousands of separate ones
+        texts = F.from_json(F.lit(json.dumps([s[0] for s in splits])), "array<string>")
+        points = texts.cast(f"array<{type_of(df, keys[0]).simpleString()}>")
     else:
         points = F.array(*[
             F.struct(*[F.lit(part).cast(type_of(df, k)).alias(k) for part, k in zip(s, keys)])

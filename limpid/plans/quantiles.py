@@ -1,20 +1,19 @@
 """Exact quantiles that never gather a column in one place.
 
-``percentile`` keeps one entry per distinct value in a single task, which is
-fine for small inputs and impossible for large ones.  Large inputs are handled
-by narrowing brackets:
+``percentile`` keeps one entry per distinct value in a single task, which large
+columns do not survive.  Here the answer is closed in on instead:
 
 1. mergeable KLL sketches, built per group of input tasks and then merged, give
    for every wanted rank an interval that should contain it;
-2. one aggregation counts exactly how many values lie below and inside, and
-   sketches the inside again; intervals that miss their rank are widened back;
-3. once an interval holds few distinct values, these are counted and the rank
-   is read off.
+2. while an interval is expected to hold too many values, one aggregation counts
+   exactly how many lie below and inside and sketches the inside again;
+3. the distinct values of the remaining interval are counted and the rank is
+   read off.  An interval that turns out to miss its rank is widened back.
 
 Only counts decide, so the answer is exact whatever the sketches say, and a
 value that fills a third of the table collapses its interval at once.  No step
 shuffles the column itself: every scan reads only the wanted columns and is
-combined inside the map tasks.
+combined inside the map tasks.  Up to some fifty million rows it takes two jobs.
 """
 
 from __future__ import annotations
@@ -27,20 +26,25 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from limpid.plans.fitting import fitted
-from limpid.plans.sizing import is_small
 
 SKETCH_K = 2048
 SKETCH_ERROR = 0.0015
 GRID = 2000
 SKETCH_GROUPS = 256
-#: An interval with at most this many distinct values is resolved by counting them.
+#: Share of the rows an interval around one rank is expected to hold.
+INTERVAL_SHARE = 2 * SKETCH_ERROR + 2 / GRID
+#: An interval with about this many distinct values is resolved by counting them.
 COUNTABLE_VALUES = 200_000
 MAX_ROUNDS = 12
 
 
 @dataclass
 class _Bracket:
-    """Interval [low, high] sought to contain the ranks around one quantile."""
+    """Interval [low, high] sought to contain the ranks around one quantile.
+
+    It lies within the outer interval, which is known to contain them and to
+    have exactly ``below`` values below it.
+    """
 
     column: str
     position: float
@@ -48,9 +52,9 @@ class _Bracket:
     high: float
     outer_low: float
     outer_high: float
+    inside: int
     below: int = 0
-    inside: int = 0
-    distinct: int = 0
+    distinct: int | None = None
 
     @property
     def first_rank(self) -> int:
@@ -60,6 +64,10 @@ class _Bracket:
     def last_rank(self) -> int:
         return math.ceil(self.position)
 
+    def countable(self, limit: int) -> bool:
+        few = self.distinct is not None and self.distinct <= limit
+        return few or self.inside * INTERVAL_SHARE <= limit
+
 
 @fitted
 def exact_quantiles(
@@ -68,7 +76,6 @@ def exact_quantiles(
     probabilities: Sequence[float],
     *,
     countable: int = COUNTABLE_VALUES,
-    force_distributed: bool = False,
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, ``{name: [one per probability]}``.
 
@@ -77,23 +84,17 @@ def exact_quantiles(
     """
     if not values:
         return {}
-    names = list(values)
-    slots = {f"v{i}": name for i, name in enumerate(names)}
+    slots = {f"v{i}": name for i, name in enumerate(values)}
     doubles = {s: values[n].cast("double") for s, n in slots.items()}
     narrow = df.select(*[F.when(~F.isnan(c), c).alias(s) for s, c in doubles.items()])
-
-    if not force_distributed and is_small(narrow):
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = narrow.agg(*[F.percentile(s, wanted).alias(s) for s in slots]).first()
-        return {n: list(row[s]) if row[s] is not None else [None] * len(probabilities)
-                for s, n in slots.items()}
     found = _by_brackets(narrow, list(slots), probabilities, countable)
     return {n: found[s] for s, n in slots.items()}
 
 
 def _grid(sketch: str, size: Column) -> Column:
     """The sketch's quantiles at GRID + 1 evenly spaced shares (a bounded array)."""
-    shares = F.lit([i / GRID for i in range(GRID + 1)])
+    # one text literal is far cheaper to plan than thousands of number literals
+    shares = F.split(F.lit(",".join(str(i / GRID) for i in range(GRID + 1))), ",").cast("array<double>")
     return F.when(size > 0, F.kll_sketch_get_quantile_double(F.col(sketch), shares))
 
 
@@ -131,51 +132,47 @@ def _by_brackets(narrow, slots, probabilities, countable):
                   _grid(f"k_{s}", F.col(f"n_{s}")).alias(f"g_{s}")]
     first = merged.select(*picks).first()
 
-    result = {s: [None] * len(probabilities) for s in slots}
     brackets: dict[tuple[str, int], _Bracket] = {}
     for s in slots:
         size = first[f"n_{s}"] or 0
-        if size == 0:
-            continue
-        low, high = first[f"lo_{s}"], first[f"hi_{s}"]
-        for i, p in enumerate(probabilities):
-            a, b = _edges(first[f"g_{s}"], p)
-            brackets[s, i] = _Bracket(s, p * (size - 1), a, b, low, high, inside=size, distinct=size)
-
-    open_keys = [k for k, b in brackets.items() if b.distinct > countable]
-    rounds = 0
-    while open_keys and rounds < MAX_ROUNDS:
-        rounds += 1
-        _measure(narrow, [brackets[k] for k in open_keys], countable)
-        open_keys = [k for k in open_keys if brackets[k].distinct > countable]
-
-    todo = []
-    for (s, i), b in brackets.items():
-        if b.outer_low == b.outer_high:
-            result[s][i] = b.outer_low
-        else:
-            todo.append((s, i))
-    if todo:
-        ranked = _read_ranks(narrow, [brackets[k] for k in todo])
-        for t, (s, i) in enumerate(todo):
-            b = brackets[s, i]
-            left, right = ranked[t]
-            if left == right:
-                result[s][i] = left
-            else:
-                result[s][i] = (b.last_rank - b.position) * left + (b.position - b.first_rank) * right
+        for i, p in enumerate(probabilities if size else []):
+            low, high = _edges(first[f"g_{s}"], p)
+            brackets[s, i] = _Bracket(
+                s, p * (size - 1), low, high, first[f"lo_{s}"], first[f"hi_{s}"], inside=size)
+
+    for _ in range(MAX_ROUNDS):
+        large = [b for b in brackets.values() if not b.countable(countable)]
+        if not large:
+            break
+        _measure(narrow, large)
+
+    result: dict[str, list[float | None]] = {s: [None] * len(probabilities) for s in slots}
+    todo = dict(brackets)
+    while todo:
+        ranked = _read_ranks(narrow, list(todo.values()))
+        missed = {}
+        for (key, b), pair in zip(todo.items(), ranked):
+            if pair is None:
+                b.low, b.high = b.outer_low, b.outer_high
+                missed[key] = b
+                continue
+            left, right = pair
+            s, i = key
+            result[s][i] = left if left == right else (
+                (b.last_rank - b.position) * left + (b.position - b.first_rank) * right)
+        todo = missed
     return result
 
 
-def _measure(narrow: DataFrame, brackets: list[_Bracket], countable: int) -> None:
-    """Count below and inside each interval, then accept, widen or narrow it."""
+def _measure(narrow: DataFrame, brackets: list[_Bracket]) -> None:
+    """Count below and inside each interval, then make it the outer one or widen it back."""
     partial, final = [], []
     for t, b in enumerate(brackets):
         v = F.col(b.column)
         inside = F.when(v.between(b.low, b.high), v)
         partial += [
             F.count_if(v < b.low).alias(f"below_{t}"), F.count(inside).alias(f"in_{t}"),
-            F.hll_sketch_agg(F.when(v.between(b.low, b.high), F.xxhash64(v))).alias(f"d_{t}"),
+            F.hll_sketch_agg(F.when(inside.isNotNull(), F.xxhash64(v))).alias(f"d_{t}"),
             F.kll_sketch_agg_double(inside, F.lit(SKETCH_K)).alias(f"k_{t}"),
         ]
         final += [
@@ -185,7 +182,7 @@ def _measure(narrow: DataFrame, brackets: list[_Bracket], countable: int) -> Non
         ]
     merged = _in_groups(narrow).agg(*partial).agg(*final)
     picks = []
-    for t, b in enumerate(brackets):
+    for t in range(len(brackets)):
         size = F.col(f"in_{t}")
         picks += [F.col(f"below_{t}"), size, F.col(f"d_{t}"), _grid(f"k_{t}", size).alias(f"g_{t}")]
     row = merged.select(*picks).first()
@@ -194,42 +191,43 @@ def _measure(narrow: DataFrame, brackets: list[_Bracket], countable: int) -> Non
         below, inside = row[f"below_{t}"], row[f"in_{t}"]
         missed_low, missed_high = b.first_rank < below, b.last_rank >= below + inside
         if missed_low or missed_high:
-            # the sketch was off: fall back to the last interval known to hold the ranks
-            if missed_low:
-                b.low = b.outer_low
-            if missed_high:
-                b.high = b.outer_high
+            b.low = b.outer_low if missed_low else b.low
+            b.high = b.outer_high if missed_high else b.high
             continue
-        b.below, b.inside = below, inside
-        b.outer_low, b.outer_high = b.low, b.high
+        b.outer_low, b.outer_high, b.below, b.inside = b.low, b.high, below, inside
         b.distinct = 1 if b.low == b.high else int(row[f"d_{t}"] * 1.1) + 1
-        if b.distinct > countable:
-            b.low, b.high = _edges(row[f"g_{t}"], (b.position - below) / max(inside - 1, 1))
+        b.low, b.high = _edges(row[f"g_{t}"], (b.position - below) / max(inside - 1, 1))
 
 
-def _read_ranks(narrow: DataFrame, brackets: list[_Bracket]) -> list[tuple[float, float]]:
-    """Values at the first and last rank of each interval, by counting its distinct values.
+def _read_ranks(narrow: DataFrame, brackets: list[_Bracket]) -> list[tuple[float, float] | None]:
+    """Values at the first and last rank of each interval, ``None`` where it misses them.
 
-    An interval still unresolved after the last round is counted from its last
-    known outer bounds: slower, never wrong.
+    The distinct values of the interval are counted; what lies between the outer
+    edge and the interval is counted under NULL, which sorts first.
     """
     cells = []
     for t, b in enumerate(brackets):
         v = F.col(b.column)
-        cells.append(F.struct(
-            F.lit(t).alias("t"),
-            F.when(v.between(b.outer_low, b.outer_high), v).alias("v")))
+        cells.append(F.when(v.between(b.outer_low, b.high), F.struct(
+            F.lit(t).alias("t"), F.when(v >= b.low, v).alias("v"))))
     counted = (
-        narrow.select(F.explode(F.filter(F.array(*cells), lambda x: x.v.isNotNull())).alias("x"))
+        narrow.select(F.explode(F.array_compact(F.array(*cells))).alias("x"))
         .groupBy(F.col("x.t").alias("t"), F.col("x.v").alias("v")).agg(F.count("*").alias("n")))
-    running = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("t").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     ends = counted.withColumn("upto", F.sum("n").over(running))
     spots = F.array(*[
         F.struct(F.lit(b.first_rank - b.below).cast("long").alias("first"),
                  F.lit(b.last_rank - b.below).cast("long").alias("last")) for b in brackets])
     spot = F.get(spots, F.col("t"))
     picked = ends.groupBy("t").agg(
+        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("skipped"),
+        F.max("upto").alias("through"),
         F.min(F.when(F.col("upto") > spot["first"], F.col("v"))).alias("first"),
         F.min(F.when(F.col("upto") > spot["last"], F.col("v"))).alias("last"))
-    by_t = {r["t"]: (r["first"], r["last"]) for r in picked.collect()}
-    return [by_t[t] for t in range(len(brackets))]
+    by_t = {r["t"]: r for r in picked.collect()}
+    answers = []
+    for t, b in enumerate(brackets):
+        r = by_t.get(t)
+        holds = r is not None and r["skipped"] <= b.first_rank - b.below and r["through"] > b.last_rank - b.below
+        answers.append((r["first"], r["last"]) if holds else None)
+    return answers

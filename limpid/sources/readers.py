@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limpid.functions.columns import col, is_text_type, type_of
+from limpid.functions.numbers import parse_double, parse_long
 from limpid.operators.types import TypeChoice
 
 # The texts a data file uses for "no value", compared to the whole cell.
@@ -41,10 +42,21 @@ def _null_markers(df: DataFrame, missing_markers: str | Sequence[str] | None) ->
     return df.withColumns({n: F.when(~is_gap(col(n)), col(n)) for n in names}) if names else df
 
 
+def _cell(df: DataFrame, field: T.StructField) -> Column:
+    """The cell in the wanted type; text that does not fit is missing."""
+    value = col(field.name)
+    if is_text_type(type_of(df, field.name)):
+        if isinstance(field.dataType, T.IntegralType):
+            value = parse_long(value)
+        elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            value = parse_double(value)
+    return value.try_cast(field.dataType)
+
+
 def _typed(df: DataFrame, schema: Schema, infer: bool) -> DataFrame:
     if schema is not None:
         wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-        return df.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
+        return df.select(*[_cell(df, f).alias(f.name) for f in wanted])
     return TypeChoice.fit(df, infer_text=True).apply(df) if infer else df
 
 
