@@ -224,7 +224,7 @@ def interpolate_missing(df: DataFrame, columns: Columns = None, method: str = "l
     near = numbered.withColumns(
         {prev[n]: F.last(known(n, col(rank)), ignorenulls=True).over(up) for n in names}).withColumns(
         {nxt[n]: F.last(known(n, col(rank)), ignorenulls=True).over(down) for n in names})
-    placed = o.attach(near, carry)
+    placed = o.attach(near, carry, offset)
 
     def globally(name: str) -> Column:
         s = col(name)

@@ -35,7 +35,8 @@ def sort_values(
     keys = [_last_if_missing(df, n, up) for n, up in zip(names, directions)]
     if order_by:
         return df.orderBy(*keys, *[col(n).asc() for n in require(df, order_by)])
-    return df.orderBy(*keys, F.xxhash64(*[col(n) for n in df.columns]))
+    hashed = [col(f.name) for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return df.orderBy(*keys, F.xxhash64(*hashed))
 
 
 def _last_if_missing(df: DataFrame, name: str, up: bool) -> Column:
@@ -100,7 +101,7 @@ def add_rank(
         F.coalesce(F.sum("n").over(o.after()), F.lit(0)).alias("beyond"))
     here = F.sum("n").over(running(o.rows if ascending else o.rows_descending))
     start = "offset" if ascending else "beyond"
-    ranks = o.attach(o.df.withColumn("upto", here), offsets).select(
+    ranks = o.attach(o.df.withColumn("upto", here), offsets, "offset", "beyond").select(
         value, (F.col("upto") + F.col(start) - F.col("n") + (F.col("n") + 1) / 2).alias(rank))
     joined = df.join(ranks, present(df, column) == F.col(value), "left")
     kept = [col(n) for n in df.columns if n != new_column]

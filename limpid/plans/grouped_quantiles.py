@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from limpid.functions.columns import col
+from limpid.functions.columns import col, present
 from limpid.plans.joins import same_key
 from limpid.plans.ordering import bucket_count, bucket_of, split_points
 
@@ -21,7 +21,7 @@ from limpid.plans.ordering import bucket_count, bucket_of, split_points
 def grouped_median(df: DataFrame, by: Sequence[str], value: str, name: str, *, buckets: int | None = None) -> DataFrame:
     """``by`` columns plus the exact median of ``value``; keys must not be missing."""
     keys = [f"__g{i}" for i in range(len(by))]
-    slim = df.select(*[col(b).alias(k) for b, k in zip(by, keys)], col(value).cast("double").alias("v"))
+    slim = df.select(*[col(b).alias(k) for b, k in zip(by, keys)], present(df, value).cast("double").alias("v"))
     counted = slim.where(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count("*").alias("n"))
     splits = split_points(slim.where(F.col("v").isNotNull()), ["v"], buckets or bucket_count(slim))
     counted = counted.withColumn("b", bucket_of(counted, ["v"], splits))

@@ -112,6 +112,7 @@ class Ordered:
         self.bucket = fresh_name(df, "bucket")
         if splits is None:
             splits = split_points(df, self.keys, min(buckets or bucket_count(df), MAX_BUCKETS))
+        self.single = not splits
         self.df = df.withColumn(self.bucket, bucket_of(df, self.keys, splits))
 
     @property
@@ -132,8 +133,16 @@ class Ordered:
         """All buckets after the current one, nearest last."""
         return Window.orderBy(F.col(self.bucket).desc()).rowsBetween(Window.unboundedPreceding, -1)
 
-    def attach(self, df: DataFrame, per_bucket: DataFrame) -> DataFrame:
-        """Join the bucket table (at most MAX_BUCKETS rows) back onto the rows."""
+    def attach(self, df: DataFrame, per_bucket: DataFrame, *counts: str) -> DataFrame:
+        """Join the bucket table (at most MAX_BUCKETS rows) back onto the rows.
+
+        What it holds comes from other buckets, so a single bucket needs no join:
+        nothing is carried and the named ``counts`` are zero.
+        """
+        if self.single:
+            return df.withColumns({
+                f.name: F.lit(0 if f.name in counts else None).cast(f.dataType)
+                for f in per_bucket.schema if f.name != self.bucket})
         return df.join(F.broadcast(per_bucket), self.bucket, "left")
 
 
@@ -146,5 +155,5 @@ def with_position(
     counts = o.df.groupBy(o.bucket).agg(F.count("*").alias("n"))
     offsets = counts.select(o.bucket, F.coalesce(F.sum("n").over(o.before()), F.lit(0)).alias(offset))
     numbered = o.df.withColumn(name, F.row_number().over(o.rows).cast("long"))
-    placed = o.attach(numbered, offsets)
+    placed = o.attach(numbered, offsets, offset)
     return placed.withColumn(name, col(name) + col(offset)).drop(o.bucket, offset)
