@@ -32,7 +32,8 @@ from limpid.operators.types import TypeChoice, ambiguous_dates, convert_types, t
 from limpid.operators.validate import clip_to_range, invalidate, validate_range, validate_regex
 from limpid.plans.sizing import cut_lineage
 from limpid.sources.readers import (
-    read_csv, read_json, read_orc, read_parquet, read_table, read_text_table, read_xml, supports, with_row_id,
+    FILE_ORDER, read_csv, read_json, read_orc, read_parquet, read_table, read_text_table, read_xml, supports,
+    with_file_order, with_row_id,
 )
 from limpid.sources.writers import (
     convert, write_csv, write_json, write_orc, write_parquet, write_report, write_table, write_xml,

@@ -16,9 +16,13 @@ from limpid.functions.columns import (
 from limpid.functions.records import lookup
 from limpid.plans.fitting import fitted
 from limpid.plans.ordering import order_columns, order_value, with_position
+from limpid.plans.sizing import MB, cut_lineage
 
-#: Up to this many distinct values one task numbers them and the table is broadcast.
+#: Up to this many distinct values (and bytes) one task numbers them and the table is broadcast.
 SMALL_DICTIONARY = 100_000
+SMALL_DICTIONARY_BYTES = 32 * MB
+#: A longer mapping becomes a joined table instead of a literal.
+LITERAL_MAPPING = 1000
 
 
 @dataclass(frozen=True)
@@ -69,8 +73,11 @@ def label_encode(
 
 
 @fitted
-def _at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def _is_small(df: DataFrame, value: str, rows: int) -> bool:
+    """Whether the table holds at most that many rows and its values take little room."""
+    size = F.sum(F.octet_length(F.col(value).cast("string")))
+    found = df.limit(rows + 1).agg(F.count("*").alias("rows"), size.alias("bytes")).first()
+    return found["rows"] <= rows and (found["bytes"] or 0) <= SMALL_DICTIONARY_BYTES
 
 
 def first_seen_codes(df: DataFrame, column: str, keys: list[str], value: str, code: str, *, small: int) -> DataFrame:
@@ -83,11 +90,12 @@ def first_seen_codes(df: DataFrame, column: str, keys: list[str], value: str, co
     else:
         flat = seen.select(value, *[F.col("first")[k].alias(f"f{i}") for i, k in enumerate(keys)])
     firsts = [c for c in flat.columns if c != value]
-    if _at_most(flat, small):
-        # the bound was just checked: one bucket is enough and the table may be broadcast
+    if _is_small(flat, value, small):
+        # the bounds were just checked: one bucket is enough and the table may be broadcast
         return F.broadcast(with_position(flat, firsts, code, buckets=1).select(
             value, (F.col(code) - 1).alias(code)))
-    return with_position(flat, firsts, code).select(value, (F.col(code) - 1).alias(code))
+    # numbering reads the dictionary several times, so it is written once
+    return with_position(cut_lineage(flat), firsts, code).select(value, (F.col(code) - 1).alias(code))
 
 
 def apply_map(
@@ -101,6 +109,8 @@ def apply_map(
     """
     require(df, column)
     target = new_column or column
+    if isinstance(mapping, Mapping) and len(mapping) > LITERAL_MAPPING:
+        mapping = df.sparkSession.createDataFrame(list(mapping.items()), ["key", "value"])
     if isinstance(mapping, DataFrame):
         key, value = fresh_name(df, "key"), fresh_name(df, "mapped")
         pairs = mapping.toDF(key, value).where(F.col(key).isNotNull())

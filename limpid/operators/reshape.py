@@ -24,18 +24,14 @@ def melt(
     """
     ids = require(df, id_vars)
     folded = require(df, value_vars) if value_vars is not None else [n for n in df.columns if n not in ids]
+    both = [n for n in folded if n in ids]
+    if both:
+        raise ValueError(f"{both} cannot be identifiers and values at once")
     types = {type_of(df, n).simpleString() for n in folded}
-    if len(types) <= 1:
-        cells = [col(n) for n in folded]
-    else:
+    if len(types) > 1:
         common = "double" if all(is_numeric_type(type_of(df, n)) for n in folded) else "string"
-        cells = [col(n).cast(common).alias(n) for n in folded]
-    slim = df.select(*[col(n) for n in ids], *[
-        c.alias(f"__v{i}") for i, c in enumerate(cells)])
-    # positional names survive any spelling of the column names
-    long = slim.unpivot([col(n) for n in ids], [F.col(f"__v{i}") for i in range(len(cells))], var_name, value_name)
-    names = F.create_map(*[F.lit(x) for i, n in enumerate(folded) for x in (f"__v{i}", n)])
-    return long.withColumn(var_name, names[F.col(var_name)])
+        df = df.select(*[col(n) for n in ids], *[col(n).cast(common).alias(n) for n in folded])
+    return df.unpivot([col(n) for n in ids], [col(n) for n in folded], var_name, value_name)
 
 
 def transpose(df: DataFrame, index_column: str, *, max_rows: int = MAX_TRANSPOSE_ROWS) -> DataFrame:

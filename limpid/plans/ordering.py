@@ -23,6 +23,7 @@ from limpid.plans.sizing import MB, plan_bytes
 MAX_BUCKETS = 16_384
 BUCKET_BYTES = 128 * MB
 SAMPLES_PER_BUCKET = 20
+SMALL_INPUT_BUCKETS = 200
 
 
 def order_columns(df: DataFrame, order_by: str | Sequence[str] | None) -> list[str]:
@@ -37,10 +38,11 @@ def order_value(keys: Sequence[str]) -> Column:
 
 
 def bucket_count(df: DataFrame) -> int:
-    """As many buckets as the estimated size asks for, at least one per core."""
+    """As many buckets as the estimated size asks for, and enough to keep small inputs parallel."""
     size = plan_bytes(df)
     by_size = MAX_BUCKETS if size is None else size // BUCKET_BYTES + 1
-    return max(1, min(MAX_BUCKETS, max(by_size, df.sparkSession.sparkContext.defaultParallelism)))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(MAX_BUCKETS, max(by_size, min(partitions, SMALL_INPUT_BUCKETS))))
 
 
 @fitted

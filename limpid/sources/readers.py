@@ -152,13 +152,21 @@ def with_row_id(df: DataFrame, name: str = "_row_id") -> DataFrame:
     """Add the file order as an order key to a table fresh from its files.
 
     Apply it directly to what a reader returns: above a shuffle the order of the
-    rows means nothing.  Ids follow the order of the scan's tasks, so for several
-    files use :func:`file_order_columns` as well.
+    rows means nothing.  Ids follow the order of the scan's tasks, which is the
+    file order for one file; for several files see :func:`with_file_order`.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def file_order_columns() -> list[Column]:
-    """Path and block of every row, to order rows that come from several files."""
-    return [F.col("_metadata.file_path").alias("_file_path"),
-            F.col("_metadata.file_block_start").alias("_file_block")]
+#: The order key that :func:`with_file_order` adds.
+FILE_ORDER = ("_file_path", "_file_block", "_row_id")
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Add path, block and row id: together the order of rows from several files.
+
+    Pass ``order_by=list(FILE_ORDER)`` to the operators that depend on row order.
+    """
+    return df.select(
+        "*", F.col("_metadata.file_path").alias("_file_path"),
+        F.col("_metadata.file_block_start").alias("_file_block"), F.monotonically_increasing_id().alias("_row_id"))

@@ -15,7 +15,8 @@ from limpid.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
-    session = local_session("tests", cores=4, spark__checkpoint__dir=str(folder), spark__driver__memory="3g")
+    session = local_session("tests", spark__checkpoint__dir=str(folder), spark__driver__memory="4g",
+                            spark__sql__shuffle__partitions="3")
     yield session
     session.stop()
 

@@ -188,6 +188,8 @@ def test_maps_and_replacement(spark):
     assert [r[0] for r in rows(lp.apply_map(df, "s", {"a": "A"}))] == ["A", None, None]
     big = spark.createDataFrame([("a", 10), ("z", 11)], "k string, v int")
     assert sorted(rows(lp.apply_map(df, "s", big, "m").select("s", "m")), key=str) == [("-1", None), ("a", 10), (None, None)]
+    many = {str(i): i for i in range(-1500, 1500)}
+    assert sorted(rows(lp.apply_map(df, "s", many).select("s")), key=str) == [(-1,), (None,), (None,)]
     assert rows(lp.replace_values(df, -1, None)) == [("a", None, None), ("-1", 2, None), (None, None, 2.5)]
     assert rows(lp.replace_values(df, "a", 0))[0] == ("0", -1, -1.0)
     assert rows(lp.replace_values(df, None, "gap"))[2] == ("gap", None, 2.5)

@@ -53,6 +53,14 @@ def test_xml(spark, tmp_path):
     assert sorted(rows(df.select("a", "b"))) == [("x", 1), ("y & z", None)]
 
 
+def test_order_of_several_files(spark, tmp_path):
+    for part, values in (("a", [3, None]), ("b", [None, 5]), ("c", [None])):
+        (tmp_path / f"{part}.csv").write_text("v\n" + "\n".join("NA" if v is None else str(v) for v in values) + "\n")
+    df = lp.with_file_order(lp.read_csv(spark, str(tmp_path), schema="v long"))
+    filled = lp.fill_missing_ffill(df, "v", order_by=list(lp.FILE_ORDER))
+    assert [r["v"] for r in filled.orderBy(*lp.FILE_ORDER).collect()] == [3, 3, 3, 5, 5]
+
+
 def test_registry(spark, messy):
     assert lp.supports("x/Y.JSON") and not lp.supports("a.xlsx")
     with pytest.raises(ValueError, match=r"\.csv.*\.json.*\.xml"):
