@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.functions.columns import as_number, is_missing, is_numeric_type, resolve, type_of
+from limpid.functions.columns import as_number, is_missing, is_numeric_type, present, resolve, type_of
 from limpid.operators.dedupe import duplicate_count
 from limpid.plans.frequencies import distinct_counts, top_values
 from limpid.plans.quantiles import exact_quantiles
@@ -64,10 +64,19 @@ def missing_percent(df: DataFrame) -> DataFrame:
     return _missing_counts(df).where(F.col("missing") > 0).select("column", share.alias("percent"))
 
 
-def unique_counts(df: DataFrame) -> DataFrame:
-    """``(column, n_unique)``: distinct values that are there."""
+def unique_counts(df: DataFrame, *, approximate: float | None = None) -> DataFrame:
+    """``(column, n_unique)``: distinct values that are there.
+
+    Exact by default.  ``approximate`` is a relative error to accept instead; the
+    counts then come from one aggregation that shuffles no values.
+    """
     if not df.columns:
         return _nothing(df, "column string, n_unique bigint")
+    if approximate is not None:
+        wide = df.agg(*[
+            F.approx_count_distinct(present(df, n), approximate).alias(f"c{i}") for i, n in enumerate(df.columns)])
+        return _rows_from(wide, [
+            {"column": F.lit(n), "n_unique": F.col(f"c{i}")} for i, n in enumerate(df.columns)])
     return distinct_counts(df, df.columns)
 
 

@@ -10,7 +10,7 @@ columns do not survive.  Here the answer is closed in on instead:
 3. the distinct values of the remaining interval are counted and the rank is
    read off.  An interval that turns out to miss its rank is widened back.
 
-Only counts decide, so the answer is exact whatever the sketches say, and a
+Inputs of a few megabytes skip all that.  Only counts decide, so the answer is exact whatever the sketches say, and a
 value that fills a third of the table collapses its interval at once.  No step
 shuffles the column itself: every scan reads only the wanted columns and is
 combined inside the map tasks.  Up to some 5 * 10**8 rows it takes two jobs.
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from limpid.plans.fitting import fitted
+from limpid.plans.sizing import MB, is_small
 
 SKETCH_K = 2048
 SKETCH_ERROR = 0.0015
@@ -37,6 +38,8 @@ INTERVAL_SHARE = 2 * SKETCH_ERROR + 2 / GRID
 #: An interval with about this many distinct values is resolved by counting them.
 COUNTABLE_VALUES = 2_000_000
 MAX_ROUNDS = 12
+#: Columns up to this estimate hold few enough distinct values for one task.
+SMALL_COLUMN_BYTES = 4 * MB
 
 
 @dataclass
@@ -76,19 +79,24 @@ def exact_quantiles(
     values: Mapping[str, Column],
     probabilities: Sequence[float],
     *,
-    countable: int = COUNTABLE_VALUES,
+    countable: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, ``{name: [one per probability]}``.
 
     ``values`` maps result names to double columns of ``df``; NULL and NaN are
-    ignored and a column without values gives ``None``.
+    ignored and a column without values gives ``None``.  Inputs of a few megabytes
+    use ``percentile`` in one job unless ``countable`` asks for the intervals.
     """
     if not values:
         return {}
     slots = {f"v{i}": name for i, name in enumerate(values)}
     doubles = {s: values[n].cast("double") for s, n in slots.items()}
     narrow = df.select(*[F.when(~F.isnan(c), c).alias(s) for s, c in doubles.items()])
-    found = _by_brackets(narrow, list(slots), probabilities, countable)
+    if countable is None and is_small(narrow, SMALL_COLUMN_BYTES):
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+        row = narrow.agg(*[F.percentile(s, wanted).alias(s) for s in slots]).first()
+        return {n: list(row[s]) if row[s] is not None else [None] * len(probabilities) for s, n in slots.items()}
+    found = _by_brackets(narrow, list(slots), probabilities, countable or COUNTABLE_VALUES)
     return {n: found[s] for s, n in slots.items()}
 
 

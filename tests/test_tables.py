@@ -156,6 +156,7 @@ def test_profile(spark):
     share = (gaps / len(pdf) * 100).round(2)
     assert dict(rows(lp.missing_percent(df))) == pytest.approx(share[share > 0].to_dict())
     assert dict(rows(lp.unique_counts(df))) == pdf.nunique().to_dict()
+    assert dict(rows(lp.unique_counts(df, approximate=0.01)))["g"] == 3
     for column, mean, median, std, low, high in rows(lp.numeric_summary(df)):
         s = pdf[column]
         assert (mean, median, std, low, high) == pytest.approx((s.mean(), s.median(), s.std(ddof=0), s.min(), s.max()))

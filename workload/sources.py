@@ -7,7 +7,10 @@ import uuid
 import limpid as lp
 from limpid.plans.sizing import shared_folder
 
-from workload.base import DIRTY_ORDERS_CTE, dirty_orders, table
+from limpid.streaming.clean_stream import clean_stream, write_stream
+from pyspark.sql import functions as F
+
+from workload.base import DIRTY_ORDERS_CTE, GAPPY_EVENTS, GAPPY_EVENTS_CTE, dirty_orders, gappy_events, table
 
 ALL = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
 
@@ -65,6 +68,39 @@ def documents_csv(spark, sf):
     return back.selectExpr("doc_id", "md5(text) AS text", "lang", "source", "n_chars")
 
 
+def report_sink(spark, sf):
+    """The profile as it is found in the written report."""
+    folder = f"{_scratch(spark)}/report"
+    df = dirty_orders(spark, sf)
+    chain = lp.Chain(df).drop_missing(subset="o_custkey")
+    lp.write_report(lp.full_report(df), chain.audit(), folder)
+    back = spark.read.schema("section string, column string, metric string, value string").json(f"{folder}/profile")
+    return back.where("section IN ('missing', 'duplicates') AND metric <> 'percent'")
+
+
+REPORT_SQL = f"WITH {DIRTY_ORDERS_CTE}" + """
+    SELECT 'duplicates' AS section, cast(NULL AS varchar) AS "column", 'duplicate_rows' AS metric, cast((SELECT count(*) FROM
+    dirty_orders) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty_orders)) AS varchar) AS value""" + "".join(
+    f" UNION ALL SELECT 'missing', '{c}', 'missing', cast(count(*) - count({c}) AS varchar) FROM dirty_orders"
+    for c in ("o_custkey", "o_orderstatus", "o_totalprice"))
+
+
+def stream_cleaning(spark, sf):
+    """A chain fitted on the table, applied to the same files as a stream."""
+    events = gappy_events(spark, sf)
+    chain = (lp.Chain(events).fill_missing_statistic("mean", "value").change_case("event_type", "upper")
+             .filter_query("user_id IS NOT NULL"))
+    schema = table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    dirty = stream.selectExpr(*[f"{e} AS {n}" for n, e in GAPPY_EVENTS.items()])
+    root = _scratch(spark)
+    write_stream(clean_stream(chain, dirty), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").withColumn("value", F.round("value", 4))
+
+
+STREAM_SQL = (f"WITH {GAPPY_EVENTS_CTE} SELECT event_id, user_id, upper(event_type) AS event_type, round(coalesce(value, "
+              "(SELECT avg(value) FROM gappy)), 4) AS value FROM gappy WHERE user_id IS NOT NULL")
+
 PLAIN = f"WITH {DIRTY_ORDERS_CTE} SELECT {ALL} FROM dirty_orders"
 QUERIES = {
     "csv_round_trip": (round_trip("csv"), PLAIN),
@@ -80,5 +116,7 @@ QUERIES = {
     "xml_round_trip": (round_trip("xml"), PLAIN),
     "parquet_round_trip": (round_trip("parquet"), PLAIN),
     "orc_round_trip": (round_trip("orc"), PLAIN),
+    "report_sink": (report_sink, REPORT_SQL),
+    "stream_cleaning": (stream_cleaning, STREAM_SQL),
     "convert_formats": (converted, f"{PLAIN} UNION ALL SELECT {ALL} FROM dirty_orders"),
 }

@@ -185,8 +185,8 @@ QUERIES = {
         DIRTY + f"SELECT o_orderkey, {ONE_HOT} FROM dirty_orders"),
     "extract_date_parts": (
         lambda spark, sf: lp.extract_date_parts(table(spark, sf, "events").select("event_id", "ts"), "ts"),
-        "SELECT event_id, ts, year(ts) AS \"ts_Year\", month(ts) AS \"ts_Month\", day(ts) AS \"ts_Day\", isodow(ts) - 1 AS "
-        "\"ts_Weekday\" FROM events"),
+        "SELECT event_id, ts, year(ts)::int AS \"ts_Year\", month(ts)::int AS \"ts_Month\", day(ts)::int AS \"ts_Day\", "
+        "(isodow(ts) - 1)::int AS \"ts_Weekday\" FROM events"),
     "format_dates": (
         lambda spark, sf: lp.format_dates(table(spark, sf, "events").select("event_id", "ts"), "ts", "%a %d %B %Y, %H:%M:%S at %y/%j"),
         "SELECT event_id, strftime(ts, '%a %d %B %Y, %H:%M:%S at %y/%j') AS ts FROM events"),
