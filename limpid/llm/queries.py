@@ -6,8 +6,12 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from limpid.llm import line_quality
 from limpid.llm.byte_bpe import decode, encode
+from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
+from limpid.llm.quality_rules import COUNTS, fit_rules, judge
+from limpid.llm.sharding import block_of, reshard
 from limpid.llm.tables import Scratch, table
 from limpid.llm.token_counts import CountCache, token_counts
 
@@ -18,6 +22,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "context", "step_group")
 
 
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = line_quality.fit(documents, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    return line_quality.score(documents, "text", chain).select(
+        "doc_id", line_quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts through a cache that is empty at first, so that every run does the whole work."""
     cache = CountCache(spark, Scratch(spark).path("token-counts"))
@@ -32,8 +43,36 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages, "html").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From an uneven layout (old shard by source) to eight shards of near equal bytes."""
+    text = F.col("text")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.pmod(F.xxhash64("source"), F.lit(8)).cast("int").alias("old_shard"))
+    rows = rows.withColumn("block", block_of(F.col("doc_id"), F.col("text_crc32")))
+    placed = reshard(Scratch(spark).keep(rows, "sizes"), "size", "old_shard", "block", 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = fit_rules(documents, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    return judge(documents, "text", rules).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
+    "op4_line_quality": (op4_line_quality, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op7_html_extraction": (op7_html_extraction, None),
+    "op9_sharding": (op9_sharding, None),
+    "op10_quality_rules": (op10_quality_rules, None),
 }
