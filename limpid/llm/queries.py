@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from limpid.llm import line_quality
 from limpid.llm.byte_bpe import decode, encode
+from limpid.llm.dart_minhash import near_duplicates
+from limpid.llm.embedding_neighbours import near_vectors
 from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import COUNTS, fit_rules, judge
@@ -22,6 +24,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "context", "step_group")
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", Scratch(spark))
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = line_quality.fit(documents, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
@@ -48,6 +54,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(pages, "html").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", Scratch(spark))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From an uneven layout (old shard by source) to eight shards of near equal bytes."""
     text = F.col("text")
@@ -69,10 +79,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": (op1_packing, None),
+    "op3_embedding_near_dedup": (op3_embedding_near_dedup, None),
     "op4_line_quality": (op4_line_quality, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_html_extraction": (op7_html_extraction, None),
+    "op8_minhash_near_dedup": (op8_minhash_near_dedup, None),
     "op9_sharding": (op9_sharding, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
