@@ -1,10 +1,61 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage takes the documents its predecessor kept, written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from public_tokenizers import path as vocabulary
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from limpid.llm import line_quality
+from limpid.llm.dart_minhash import near_duplicates
+from limpid.llm.packing import pack_documents
+from limpid.llm.quality_rules import fit_rules, judge
+from limpid.llm.secret_scan import scan
+from limpid.llm.tables import Scratch, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base tests or a learned rule go."""
+    rules = fit_rules(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    return judge(docs, "text", rules).where("kept").select(*docs.columns)
+
+
+def line_labels(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose lines are mostly bad go."""
+    chain = line_quality.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    return line_quality.score(docs, "text", chain).where("predicted = 1").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies stays; rows that repeat it go too."""
+    marked = near_duplicates(docs, "doc_id", "text", Scratch(spark))
+    kept = marked.where("kept").select("doc_id").distinct()
+    one = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(kept, "doc_id").select(*docs.columns)
+    return one.unionByName(docs.where("doc_id IS NULL"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the text, and ``n_chars`` follows."""
+    clean = scan(docs, "text", vocabulary("word_bpe_49k.json")).withColumn("text", F.col("clean"))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences with their ids."""
+    return pack_documents(docs, "doc_id", "text", vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [("quality_rules", quality_rules), ("line_quality", line_labels), ("minhash_near_dedup", near_dedup),
+          ("secret_scan", secrets), ("packing", packing)]
+#: Learned rules, a chain model, signatures, a forest and a tokenizer are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    for name, stage in STAGES:
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -13,6 +13,7 @@ from limpid.llm.embedding_neighbours import near_vectors
 from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import COUNTS, fit_rules, judge
+from limpid.llm.secret_scan import scan
 from limpid.llm.sharding import block_of, reshard
 from limpid.llm.tables import Scratch, table
 from limpid.llm.token_counts import CountCache, token_counts
@@ -24,6 +25,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "context", "step_group")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", vocabulary("word_bpe_49k.json"))
+    return scanned.select("doc_id", F.size("findings").cast("long").alias("n_candidates"),
+                          F.expr("filter(findings, f -> f.secret)").alias("secrets"),
+                          F.sha2("clean", 256).alias("clean_sha256"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", Scratch(spark))
 
@@ -79,6 +87,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": (op1_packing, None),
+    "op2_secret_scan": (op2_secret_scan, None),
     "op3_embedding_near_dedup": (op3_embedding_near_dedup, None),
     "op4_line_quality": (op4_line_quality, None),
     "op5_token_counts": (op5_token_counts, None),
