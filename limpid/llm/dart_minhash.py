@@ -3,7 +3,8 @@
 Darts are thrown by hash into the region of every element: its weight wide, as high as a rank limit that lets
 about k ln k + 2 k darts hit the document.  A dart belongs to one of k coordinates, and the earliest in each
 makes the signature, so two documents agree in a coordinate with the probability of their weighted Jaccard
-similarity.  Signatures are cut into bands; documents that share a band are compared exactly.
+similarity.  Signatures are cut into bands; documents that share a band are compared exactly, unless their whole
+signatures say that they can't be that similar.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.linking import link_by_buckets
+from limpid.llm.linking import Joined, link_by_buckets
 from limpid.llm.tables import Scratch
 
 #: Words of a shingle, and the similarity from which documents link.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 0.998.
 BANDS, BAND_ROWS = 28, 7
+#: Least share of equal coordinates of a pair that is compared exactly in a block: 3.5 deviations below 0.8.
+LEAST_EQUAL = 0.7
 WORD = re.compile(r"\w+")
 ODD1, ODD2, ODD3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Documents hashed together, and darts drawn at a time.
@@ -152,19 +155,21 @@ def _signed(bands: int, rows: int):
                 found = [shingles(w) for w in words]
                 used = [n for n, (e, _) in enumerate(found) if len(e)]
                 hashes: list = [None] * len(found)
+                short: list = [None] * len(found)
                 if used:
-                    made = band_hashes(signatures([found[n] for n in used], bands * rows), bands, rows)
-                    for n, row in zip(used, made.view(np.int64)):
-                        hashes[n] = row
+                    signed = signatures([found[n] for n in used], bands * rows)
+                    for n, row, whole_row in zip(used, band_hashes(signed, bands, rows).view(np.int64), signed):
+                        hashes[n], short[n] = row, (whole_row >> np.uint64(48)).astype("<u2").tobytes()
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"),
                     pa.array([hashlib.md5(w.tobytes()).digest() if len(w) else None for w in words], pa.binary()),
                     pa.array([int(c.sum()) for _, c in found], pa.int64()),
-                    pa.array(hashes, pa.list_(pa.int64()))], names=["id", "digest", "weight", "bands"])
+                    pa.array(hashes, pa.list_(pa.int64())), pa.array(short, pa.binary())],
+                    names=["id", "digest", "weight", "bands", "signature"])
     return run
 
 
-@lru_cache(256)
+@lru_cache(2048)
 def _known(text: str) -> tuple[np.ndarray, np.ndarray]:
     return shingles(word_codes(text))
 
@@ -178,6 +183,27 @@ def _verified(threshold: float):
     return run
 
 
+def _compare(bands: int, rows: int, threshold: float):
+    """Compare blocks: (block, id, component, table, signature, text) of documents in one bucket of band ``table``."""
+    def compare(one: list[tuple], two: list[tuple], joined: Joined) -> Iterator[tuple[int, int]]:
+        left, right = (np.array([np.frombuffer(r[4], dtype="<u2") for r in part]) for part in (one, two))
+        earlier = slice(0, one[0][3] * rows)
+        for n, row in enumerate(one):
+            begin = n + 1 if one is two else 0
+            equal = right[begin:] == left[n]
+            share = equal.mean(axis=1)
+            # a pair that shares an earlier band is compared there
+            known = equal[:, earlier].reshape(len(equal), one[0][3], rows).all(axis=2).any(axis=1)
+            close = np.flatnonzero((share >= LEAST_EQUAL) & ~known)
+            for at in close[np.argsort(-share[close], kind="stable")].tolist():
+                other = two[begin + at]
+                if joined.root(row[2]) != joined.root(other[2]) and \
+                        similarity(_known(row[5] or ""), _known(other[5] or "")) >= threshold:
+                    joined.join(row[2], other[2])
+                    yield row[1], other[1]
+    return compare
+
+
 def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Scratch, bands: int = BANDS,
                     band_rows: int = BAND_ROWS, threshold: float = SIMILARITY) -> DataFrame:
     """One row per row of ``df``: its id, ``component_id`` and ``kept`` (the id is its component's smallest).
@@ -190,10 +216,11 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Sc
     """
     docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     signed = scratch.keep(docs.where("id IS NOT NULL").mapInArrow(
-        _signed(bands, band_rows), "id long, digest binary, weight long, bands array<bigint>"), "signed")
+        _signed(bands, band_rows), "id long, digest binary, weight long, bands array<bigint>, signature binary"), "signed")
     classes = scratch.keep(signed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands")), "classes")
-    buckets = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"), F.col("weight").alias("info"))
+        F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"),
+        F.first("signature").alias("signature")), "classes")
+    buckets = classes.select(F.posexplode("bands").alias("table", "bucket"), F.col("rep").alias("id"), F.col("weight").alias("info"))
     texts = docs.where("id IS NOT NULL")
 
     def plausible(one: Column, two: Column) -> Column:
@@ -204,7 +231,8 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Sc
         both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(threshold), "a long, b long").distinct()
 
-    groups = link_by_buckets(buckets, plausible, verify, scratch)
+    payload = classes.select(F.col("rep").alias("id"), "signature").join(texts, "id")
+    groups = link_by_buckets(buckets, plausible, verify, payload, _compare(bands, band_rows, threshold), scratch)
     placed = scratch.keep(classes.select("digest", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
                           .select("digest", F.coalesce("component", "rep").alias("component_id")), "class-components")
     # an id with several texts joins their components

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.linking import link_by_buckets
+from limpid.llm.linking import Joined, groups_of, in_blocks, link_by_buckets
 from limpid.llm.tables import Scratch
 
 COSINE = 0.9
@@ -99,23 +99,29 @@ def _counted(cosine: float):
         return pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], pa.int64()) for n in (0, 1)], names=["id", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
         found: list[tuple] = []
-        for part in batches:
-            for row in zip(*(c.to_pylist() for c in part.columns)):
-                if group and row[:3] != group[0][:3]:
-                    found += count(group)
-                    group = []
-                group.append(row)
+        for rows in groups_of(batches, 3):
+            found += count(rows)
             if len(found) > 5000:
                 yield batch(found)
                 found = []
-        if group:
-            found += count(group)
         yield batch(found)
     return run
 
 
+def _compare(cosine: float):
+    """Compare blocks: (block, id, component, table, unit) of vectors in one bucket."""
+    def compare(one: list[tuple], two: list[tuple], joined: Joined) -> Iterator[tuple[int, int]]:
+        for size in {len(r[4]) for r in one} & {len(r[4]) for r in two}:
+            left, right = ([r for r in part if len(r[4]) == size] for part in (one, two))
+            for a, b in np.argwhere(np.array([r[4] for r in left]) @ np.array([r[4] for r in right]).T >= cosine).tolist():
+                x, y = left[a], right[b]
+                if joined.root(x[2]) != joined.root(y[2]):
+                    joined.join(x[2], y[2])
+                    yield x[1], y[1]
+    return compare
+
+
 def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scratch, cosine: float = COSINE,
                  recall: float = RECALL, seed: int = 11) -> DataFrame:
     """One row per row of ``df``: id, ``n_links`` (other rows linked directly), ``component_id``, ``kept``.
@@ -142,7 +148,7 @@ def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scr
     hashed = classes.select("id", "unit").mapInArrow(_hashed(projections, tables, seed), "id long, info long, keys array<bigint>")
     hashed = scratch.keep(hashed, "hashed")
     buckets = hashed.select(F.posexplode("keys").alias("table", "key"), "id", "info").select(
-        F.xxhash64("table", "key").alias("bucket"), "id", "info")
+        "table", F.xxhash64("table", "key").alias("bucket"), "id", "info")
     units = classes.select("id", "unit")
 
     def plausible(one: Column, two: Column) -> Column:
@@ -154,13 +160,10 @@ def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scr
         dot = F.aggregate(F.zip_with("unit_a", "unit_b", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
         return both.where(dot >= cosine).select("a", "b")
 
-    groups = link_by_buckets(buckets, plausible, verify, scratch)
-    blocks = scratch.keep(groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
-    member = scratch.keep(groups.join(classes.select("id", "copies", "unit"), "id"), "linked")
-    member = member.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    spread = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "copies",
-        "unit")
+    groups = link_by_buckets(buckets, plausible, verify, units, _compare(cosine), scratch)
+    spread = scratch.keep(in_blocks(groups, "component", BLOCK), "component-blocks")
+    spread = spread.join(classes.select("id", "copies", "unit"), "id").select(
+        "component", "low", "high", "block", "id", "copies", "unit")
     key = ["component", "low", "high"]
     counted = (spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(_counted(cosine), "id long, links long")
                .groupBy("id").agg(F.sum("links").alias("links")))

@@ -1,14 +1,17 @@
 """Connected groups from shared buckets: candidate pairs, exact checks, components.
 
 In a bucket every member is checked against the smallest one first.  What that links becomes one component, so
-a bucket of copies costs one check per member.  Afterwards only members of different components in a bucket are
-checked against each other; no pair that shares a bucket is left both unchecked and unconnected.
+a bucket of copies costs one check per member.  Afterwards the members of buckets with several components are
+compared in blocks: a task gets two blocks of a bucket, whatever the bucket's size, compares members of different
+components and gives back the links that join components.  No pair that shares a bucket is left both uncompared and
+unconnected, and no pairs are listed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,12 +42,71 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.keep(now.select(F.col("c").alias("id"), F.col("p").alias("component")).unionByName(roots), f"{name}-done")
 
 
+#: Members of a block.
+BLOCK = 512
+GROUP = ["bucket", "low", "high"]
+
+
+def in_blocks(rows: DataFrame, group: str, size: int) -> DataFrame:
+    """Add ``low``, ``high`` and ``block``: every pair of a group's rows (by ``id``) meets in one (low, high)."""
+    counts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks"))
+    own = rows.join(counts, group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    return (own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+            .drop("blocks", "other"))
+
+
+def groups_of(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[list[tuple]]:
+    """Rows of equal first ``width`` values, from batches sorted by them."""
+    group: list[tuple] = []
+    for part in batches:
+        for start in range(0, part.num_rows, 1000):
+            for row in zip(*(c.to_pylist() for c in part.slice(start, 1000).columns)):
+                if group and row[:width] != group[0][:width]:
+                    yield group
+                    group = []
+                group.append(row)
+    if group:
+        yield group
+
+
+class Joined:
+    """Components that links have joined so far."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.above.get(x, x)) != x:
+            self.above[x] = self.above.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.above[self.root(x)] = self.root(y)
+
+
+def _block_links(compare: Callable):
+    """compare(one, two, joined): linked pairs of two lists of rows whose components aren't joined yet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups_of(batches, 3):
+            _, low, high = rows[0][:3]
+            one = [r[3:] for r in rows if r[3] == low]
+            two = one if low == high else [r[3:] for r in rows if r[3] == high]
+            if one and two:
+                found = [(min(p), max(p)) for p in compare(one, two, Joined())]
+                yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in found], pa.int64()) for n in (0, 1)], names=["a", "b"])
+    return run
+
+
 def link_by_buckets(buckets: DataFrame, plausible: Callable[[Column, Column], Column],
-                    verify: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
+                    verify: Callable[[DataFrame], DataFrame], payload: DataFrame, compare: Callable,
+                    scratch: Scratch) -> DataFrame:
     """``id`` and ``component`` of the ids that link with another one.
 
-    ``buckets`` has ``bucket`` and ``id`` (long, not null) and ``info``, from which ``plausible`` tells whether two
-    members can link at all.  ``verify`` keeps the linked ones of distinct pairs ``a``, ``b``.
+    ``buckets`` has ``table`` (int), ``bucket`` and ``id`` (long, not null) and ``info``, from which ``plausible`` tells
+    whether two members can link at all.  ``verify`` keeps the linked ones of distinct pairs ``a``, ``b``.  ``compare``
+    links two blocks of rows (block, id, component, table, then the columns of ``payload`` but ``id``).
     """
     heads = scratch.keep(buckets.groupBy("bucket").agg(F.min(F.struct("id", "info")).alias("head"),
                                                        F.max("id").alias("other"))
@@ -52,26 +114,19 @@ def link_by_buckets(buckets: DataFrame, plausible: Callable[[Column, Column], Co
     members = scratch.keep(buckets.join(heads, "bucket").where("id <> head.id"), "members")
     first = members.where(plausible(F.col("info"), F.col("head.info"))).select(
         F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
-    links = scratch.keep(verify(scratch.keep(first, "pairs-first")), "links-first")
+    links = scratch.keep(verify(scratch.keep(first, "pairs")), "links")
     groups = components(links, scratch, "groups")
 
-    # members but the head, which has been compared with all, by component; buckets with one component are done
-    placed = (members.select("bucket", "id", "info").join(groups, "id", "left")
-              .select("bucket", "id", "info", F.coalesce("component", "id").alias("component")))
-    placed = scratch.keep(placed, "placed")
-    parts = placed.groupBy("bucket", "component").agg(F.lit(1).alias("one"))
-    mixed = scratch.keep(parts.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                         .where("low <> high").select("bucket"), "mixed")
-    open_ = scratch.keep(placed.join(mixed, "bucket"), "open")
-    parts = scratch.keep(open_.select("bucket", "component").distinct(), "parts")
-    sides = parts.select("bucket", F.col("component").alias("low")).join(
-        parts.select("bucket", F.col("component").alias("high")), "bucket").where("low < high")
-    left = open_.select("bucket", F.col("component").alias("low"), F.col("id").alias("x"), F.col("info").alias("info_x"))
-    right = open_.select("bucket", F.col("component").alias("high"), F.col("id").alias("y"), F.col("info").alias("info_y"))
-    second = (sides.join(left, ["bucket", "low"]).join(right, ["bucket", "high"])
-              .where(plausible(F.col("info_x"), F.col("info_y")))
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = scratch.keep(verify(scratch.keep(second, "pairs-second")), "links-second")
+    # members but the head, which has been compared with all; buckets of one component are done
+    placed = scratch.keep(members.select("table", "bucket", "id").join(groups, "id", "left")
+                          .withColumn("component", F.coalesce("component", "id")), "placed")
+    mixed = scratch.keep(placed.groupBy("bucket").agg(F.min("component").alias("from"), F.max("component").alias("to"))
+                         .where("from <> to").select("bucket"), "mixed")
+    spread = scratch.keep(in_blocks(scratch.keep(placed.join(mixed, "bucket"), "open"), "bucket", BLOCK), "spread")
+    given = [c for c in payload.columns if c != "id"]
+    rows = spread.join(payload, "id").select(*GROUP, "block", "id", "component", "table", *given)
+    more = scratch.keep(rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+                        .mapInArrow(_block_links(compare), "a long, b long").distinct(), "links-in-blocks")
     found = components(links.unionByName(more), scratch, "all") if more.take(1) else groups
-    scratch.drop("heads", "members", "pairs-first", "placed", "mixed", "open", "parts", "pairs-second")
+    scratch.drop("heads", "members", "pairs", "placed", "mixed", "open", "spread")
     return found
