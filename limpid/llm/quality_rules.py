@@ -108,12 +108,17 @@ def covers(rule: Rule, row: dict[str, float]) -> bool:
     return all(c.holds(row) for c in rule)
 
 
-def _thresholds(rows: list[dict[str, float]], feature: str) -> list[float]:
-    """Middles between neighbouring values, at even steps of the sorted distinct values."""
-    values = sorted({r[feature] for r in rows})
-    middles = [(a + b) / 2 for a, b in zip(values, values[1:])]
-    step = max(1, -(-len(middles) // MAX_THRESHOLDS))
-    return middles[step // 2::step]
+def _thresholds(bad: list[float], good: list[float]) -> list[float]:
+    """Middles between neighbouring values where the class changes; at even steps, with both ends, if there are many."""
+    seen: dict[float, int] = {}
+    for values, mark in ((bad, 1), (good, 2)):
+        for v in values:
+            seen[v] = seen.get(v, 0) | mark
+    values = sorted(seen)
+    middles = [(a + b) / 2 for a, b in zip(values, values[1:]) if seen[a] == 3 or seen[a] != seen[b]]
+    if len(middles) <= MAX_THRESHOLDS:
+        return middles
+    return [middles[round(n * (len(middles) - 1) / (MAX_THRESHOLDS - 1))] for n in range(MAX_THRESHOLDS)]
 
 
 def _grow(bad: list[dict], good: list[dict]) -> Rule:
@@ -124,7 +129,7 @@ def _grow(bad: list[dict], good: list[dict]) -> Rule:
         best, gain = None, 1e-9
         for feature in FEATURES:
             of_bad, of_good = [r[feature] for r in bad], [r[feature] for r in good]
-            for threshold in _thresholds(bad + good, feature):
+            for threshold in _thresholds(of_bad, of_good):
                 over = sum(v > threshold for v in of_bad), sum(v > threshold for v in of_good)
                 for above, (p, n) in ((True, over), (False, (len(bad) - over[0], len(good) - over[1]))):
                     if p and p * (math.log2(p / (p + n)) - before) > gain:
