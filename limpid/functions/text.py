@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def strip(text: Column) -> Column:
-    """Remove all Unicode whitespace at both ends, tabs and no-break spaces included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Remove all Unicode whitespace at both ends, tabs, no-break spaces and separator controls included."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def title(text: Column) -> Column:

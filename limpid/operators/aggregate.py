@@ -89,8 +89,13 @@ def pivot(
     require(df, columns)
     require(df, values)
     if labels is None:
-        labels = _labels(df, columns, values if aggfunc not in ("count", "sum") else None, max_values)
-    texts = {str(x).lower() if isinstance(x, bool) else str(x): str(x) for x in labels}
+        found = _labels(df, columns, values if aggfunc not in ("count", "sum") else None, max_values)
+        texts = {text: str(label) for label, text in found}
+    else:
+        kind = df.schema[columns].dataType
+        spelled = df.sparkSession.range(1).select(
+            *[F.lit(x).cast(kind).cast("string").alias(f"l{n}") for n, x in enumerate(labels)]).first()
+        texts = {text: str(x) for text, x in zip(spelled, labels)}
     cells = _grouped(df, [*keys, columns], values, aggfunc, "__cell", coerce=False)
     wide = _lay_out(cells.where(F.col("__cell").isNotNull()), keys, columns, texts)
     return wide.orderBy(*[col(k) for k in keys]) if sort else wide
@@ -98,14 +103,15 @@ def pivot(
 
 @fitted
 def _labels(df: DataFrame, columns: str, needs: str | None, max_values: int) -> list:
-    """The sorted labels of the rows that can give a cell."""
+    """The sorted labels of the rows that can give a cell, each with Spark's text for it."""
     rows = df.where(~is_missing(df, columns))
     if needs:
         rows = rows.where(~is_missing(df, needs))
-    found = rows.select(present(df, columns).alias("label")).distinct().limit(max_values + 1).collect()
+    label = present(df, columns)
+    found = rows.select(label.alias("label"), label.cast("string").alias("text")).distinct().limit(max_values + 1).collect()
     if len(found) > max_values:
         raise ValueError(f"column {columns!r} has more than {max_values} labels; pass labels or raise max_values")
-    return sorted(r["label"] for r in found)
+    return sorted((r["label"], r["text"]) for r in found)
 
 
 def _lay_out(cells: DataFrame, keys: list[str], columns: str, texts: dict[str, str]) -> DataFrame:

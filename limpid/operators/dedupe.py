@@ -43,7 +43,8 @@ def drop_duplicates(
     else:
         order = order_value(order_columns(df, order_by))
         edge = F.min_by if keep == "first" else F.max_by
-        picked = [edge(whole, order).alias("row"), F.lit(1).alias("n")]
+        # never NULL itself, so a row whose order key is missing stays; it sorts last
+        picked = [edge(whole, F.struct(order.isNull().alias("gap"), order.alias("at"))).alias("row"), F.lit(1).alias("n")]
     groups = df.groupBy(*[fingerprint(df, n).alias(k) for n, k in key_columns.items()]).agg(*picked)
     return groups.where(F.col("n") == 1).select(
         *[F.col(f"row.c{i}").alias(n) for i, n in enumerate(df.columns)])

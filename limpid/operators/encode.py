@@ -104,8 +104,8 @@ def apply_map(
     """Translate values; what the mapping does not know becomes missing.
 
     A mapping too large for a literal comes as a two-column DataFrame
-    ``(key, value)`` with unique keys and is joined; Catalyst broadcasts it when
-    its size allows.
+    ``(key, value)`` and is joined; Catalyst broadcasts it when its size allows.
+    A key that occurs twice is an error, since it would repeat rows.
     """
     require(df, column)
     target = new_column or column
@@ -114,6 +114,8 @@ def apply_map(
     if isinstance(mapping, DataFrame):
         key, value = fresh_name(df, "key"), fresh_name(df, "mapped")
         pairs = mapping.toDF(key, value).where(F.col(key).isNotNull())
+        if pairs.groupBy(key).count().where("count > 1").limit(1).count():
+            raise ValueError("a key of the mapping occurs more than once")
         joined = df.join(pairs, present(df, column) == F.col(key), "left").drop(key)
         return joined.withColumn(target, F.col(value)).drop(value)
     return df.withColumn(target, lookup(col(column), mapping))

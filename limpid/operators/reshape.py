@@ -37,13 +37,16 @@ def melt(
 def transpose(df: DataFrame, index_column: str, *, max_rows: int = MAX_TRANSPOSE_ROWS) -> DataFrame:
     """Flip a small result: column ``index`` with the old column names, one column per row.
 
-    The new columns are named by ``index_column``.  More than ``max_rows`` rows is an error.
+    The new columns are named by ``index_column``.  More than ``max_rows`` rows is an error, and so are values of
+    it that are missing or occur twice, which could not name one column each.
     """
     require(df, index_column)
     names = [r[0] for r in df.select(col(index_column).cast("string")).limit(max_rows + 1).collect()]
     if len(names) > max_rows:
         raise ValueError(f"transpose is for small results: more than {max_rows} rows")
+    if None in names or len(set(names)) < len(names):
+        raise ValueError(f"column {index_column!r} must have a different value in every row to name the new columns")
     others = [n for n in df.columns if n != index_column]
     long = melt(df.select(col(index_column), *[col(n).cast("string").alias(n) for n in others]),
                 index_column, others, var_name="index", value_name="__cell")
-    return long.groupBy("index").pivot(index_column, sorted(set(names))).agg(F.first("__cell"))
+    return long.groupBy("index").pivot(index_column, sorted(names)).agg(F.first("__cell"))
