@@ -10,8 +10,8 @@ remembered (determinised lazily) and forgotten together when there are too many.
 
 from __future__ import annotations
 
-#: States kept at a time, about 1 kB each with their transitions.
-MAX_STATES = 120_000
+#: States kept at a time, about 1 kB each with their transitions, and known pairs of tokens for each state.
+MAX_STATES, PAIRS_PER_STATE = 60_000, 12
 #: The tokens that may follow a border are only listed once there are no more than this.
 LISTED = 12
 
@@ -42,7 +42,7 @@ class Transducer:
             for n in range(1, len(spelling)):
                 self.longer.setdefault(spelling[:n], []).append(token)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.ahead: dict[tuple[str, int], frozenset[int]] = {}
         self.reset()
 
@@ -68,11 +68,12 @@ class Transducer:
 
     def stable(self, a: int, b: int) -> bool:
         """Whether the encoding of the two tokens' spellings is these two tokens."""
-        known = self.pairs.get((a, b))
+        pair = a << 32 | b
+        known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) > 40 * self.max_states:
+            if len(self.pairs) > PAIRS_PER_STATE * self.max_states:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self._stable(a, b)
+            known = self.pairs[pair] = self._stable(a, b)
         return known
 
     def _stable(self, a: int, b: int) -> bool:
@@ -96,7 +97,7 @@ class Transducer:
         key = prefix, last
         found = self.ahead.get(key)
         if found is None:
-            if len(self.ahead) > 4 * self.max_states:
+            if len(self.ahead) > 2 * self.max_states:
                 self.ahead.clear()
             found = self.ahead[key] = frozenset(
                 t for t in self.longer.get(prefix, ()) if self.usable(t) and (last < 0 or self.stable(last, t)))
