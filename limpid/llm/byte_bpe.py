@@ -23,6 +23,8 @@ from limpid.llm.transducer import Transducer
 
 #: Ids that the decoder takes at a time.
 BLOCK_IDS = 1 << 14
+#: Entries of the memories for matches and chunks, which stand beside the transducer's states.
+ENTRIES = 200_000
 
 
 def read_ranks(file: str) -> dict[bytes, int]:
@@ -37,8 +39,8 @@ class RankEncoder:
         self.ranks = read_ranks(file)
         self.machine = Transducer({s.decode("latin-1"): r for s, r in self.ranks.items()})
         self.pattern = regex.compile(pattern)
-        self.matches = Memory(self._match)
-        self.ids = SpacedChunks(self._text, self._text) if pattern == PATTERN else self._text
+        self.matches = Memory(self._match, ENTRIES)
+        self.ids = SpacedChunks(self._text, self._text, ENTRIES) if pattern == PATTERN else self._text
 
     def _match(self, match: str) -> bytes:
         spelling = match.encode()

@@ -50,11 +50,12 @@ def byte_letters() -> dict[int, str]:
 class SpacedChunks:
     """Ids of texts whose chunks are cut at single spaces; a chunk after the first begins with its space."""
 
-    def __init__(self, chunk_ids, text_ids):
+    def __init__(self, chunk_ids, text_ids, entries: int = MEMORY_ENTRIES):
         """chunk_ids, text_ids: functions from a chunk or a whole text to its ids as little-endian bytes."""
         self.text_ids = text_ids
-        self.first = Memory(lambda c: chunk_ids(c) if not c or not c[-1].isspace() else None)
-        self.later = Memory(lambda c: chunk_ids(" " + c) if c and not c[0].isspace() and not c[-1].isspace() else None)
+        self.first = Memory(lambda c: chunk_ids(c) if not c or not c[-1].isspace() else None, entries)
+        self.later = Memory(lambda c: chunk_ids(" " + c) if c and not c[0].isspace() and not c[-1].isspace() else None,
+                            entries)
 
     def __call__(self, text: str) -> bytes:
         first, *later = text.split(" ")

@@ -11,7 +11,7 @@ remembered (determinised lazily) and forgotten together when there are too many.
 from __future__ import annotations
 
 #: States kept at a time, about 1 kB each with their transitions, and known pairs of tokens for each state.
-MAX_STATES, PAIRS_PER_STATE = 60_000, 12
+MAX_STATES, PAIRS_PER_STATE = 120_000, 16
 #: The tokens that may follow a border are only listed once there are no more than this.
 LISTED = 12
 
@@ -97,7 +97,7 @@ class Transducer:
         key = prefix, last
         found = self.ahead.get(key)
         if found is None:
-            if len(self.ahead) > 2 * self.max_states:
+            if len(self.ahead) > 4 * self.max_states:
                 self.ahead.clear()
             found = self.ahead[key] = frozenset(
                 t for t in self.longer.get(prefix, ()) if self.usable(t) and (last < 0 or self.stable(last, t)))
