@@ -5,13 +5,18 @@ before it: a pair of tokens is stable when no merge ever crosses the border betw
 symbol a state holds, for every earlier border from which some token could still reach further, the part of a
 token read since then, the tokens it may become, and the output that would come before it.  Output that all
 borders share is emitted at once; the wait is bounded by the longest token.  States and transitions are
-remembered (determinised lazily) and forgotten together when there are too many.
+remembered (determinised lazily) and forgotten together when there are too many.  Answers about pairs of tokens
+and about continuations stand in tables of fixed length, where a new answer takes the place of an older one.
 """
 
 from __future__ import annotations
 
-#: States kept at a time, about 1 kB each with their transitions, and known pairs of tokens for each state.
-MAX_STATES, PAIRS_PER_STATE = 120_000, 16
+from array import array
+
+#: States kept at a time, about 1 kB each with their transitions.
+MAX_STATES = 120_000
+#: Places for known pairs of tokens (8 bytes each) and for known continuations (about 200 bytes); powers of two.
+PAIR_PLACES, AHEAD_PLACES = 1 << 20, 1 << 16
 #: The tokens that may follow a border are only listed once there are no more than this.
 LISTED = 12
 
@@ -42,8 +47,8 @@ class Transducer:
             for n in range(1, len(spelling)):
                 self.longer.setdefault(spelling[:n], []).append(token)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[int, bool] = {}
-        self.ahead: dict[tuple[str, int], frozenset[int]] = {}
+        self.pairs = array("q", [-1]) * PAIR_PLACES  # the pair and, as the last bit, whether it is stable
+        self.ahead: list[tuple[str, int, frozenset[int]] | None] = [None] * AHEAD_PLACES
         self.reset()
 
     def reset(self) -> None:
@@ -68,13 +73,12 @@ class Transducer:
 
     def stable(self, a: int, b: int) -> bool:
         """Whether the encoding of the two tokens' spellings is these two tokens."""
-        pair = a << 32 | b
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) > PAIRS_PER_STATE * self.max_states:
-                self.pairs.clear()
-            known = self.pairs[pair] = self._stable(a, b)
-        return known
+        pair = a << 31 | b
+        place = (a * 40503 + b) & (PAIR_PLACES - 1)
+        known = self.pairs[place]
+        if known >> 1 != pair:
+            known = self.pairs[place] = pair << 1 | self._stable(a, b)
+        return bool(known & 1)
 
     def _stable(self, a: int, b: int) -> bool:
         before = 1 << 60  # merges from this rank on came too late to cross the border
@@ -94,14 +98,15 @@ class Transducer:
         """The tokens beginning with a prefix that are stable behind the last token; that token if there are many."""
         if len(self.longer.get(prefix, ())) > LISTED:
             return last
-        key = prefix, last
-        found = self.ahead.get(key)
-        if found is None:
-            if len(self.ahead) > 4 * self.max_states:
-                self.ahead.clear()
-            found = self.ahead[key] = frozenset(
-                t for t in self.longer.get(prefix, ()) if self.usable(t) and (last < 0 or self.stable(last, t)))
-        return found
+        tokens = self.longer.get(prefix)
+        if tokens is None:
+            return frozenset()
+        place = hash((prefix, last)) & (AHEAD_PLACES - 1)
+        known = self.ahead[place]
+        if known is None or known[1] != last or known[0] != prefix:
+            possible = frozenset(t for t in tokens if self.usable(t) and (last < 0 or self.stable(last, t)))
+            known = self.ahead[place] = prefix, last, possible
+        return known[2]
 
     def usable(self, token: int) -> bool:
         return len(self.spelling[token]) == 1 or self.split(token) is not None
