@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -118,26 +118,45 @@ def rank_decoder(file: str) -> RankDecoder:
     return RankDecoder(file)
 
 
-def _each(make, kind: pa.DataType, name: str):
-    """A map over the first column; the others pass."""
+#: A pass over one column: (name, SQL type, Arrow type, how a task makes the function) per added column.
+Step = tuple[str, str, pa.DataType, Callable[[], Callable]]
+
+
+def _each(steps: Sequence[Step]):
+    """A map over the first column; every further step takes what the one before it made.  Other columns pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        function = make()
+        functions = [(make(), kind) for _, _, kind, make in steps]
         for part in batches:
             for n in range(0, max(1, part.num_rows), 500):
                 some = part.slice(n, 500)
-                made = pa.array([None if v is None else function(v) for v in some.column(0).to_pylist()], kind)
-                yield pa.RecordBatch.from_arrays([*some.columns, made], names=[*some.schema.names, name])
+                values, made = some.column(0).to_pylist(), []
+                for function, kind in functions:
+                    values = [None if v is None else function(v) for v in values]
+                    made.append(pa.array(values, kind))
+                names = [*some.schema.names, *(f"made{k}" for k in range(len(made)))]
+                yield pa.RecordBatch.from_arrays([*some.columns, *made], names=names)
     return run
 
 
-def _apply(df: DataFrame, source: Column, name: str, kind: str, arrow: pa.DataType, make) -> DataFrame:
-    if name in df.columns:
-        raise ValueError(f"column {name} is there already")
+def _apply(df: DataFrame, source: Column, *steps: Step) -> DataFrame:
+    for name, *_ in steps:
+        if name in df.columns:
+            raise ValueError(f"column {name} is there already")
     own = [f"c{n}" for n in range(len(df.columns))]  # names may clash with the source's or with each other
     given = df.select(source.alias("source"), *[df[c].alias(o) for c, o in zip(df.columns, own)])
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema)
-    out = given.mapInArrow(_each(make, arrow, "made"), f"{fields}, made {kind}")
-    return out.select(*[F.col(o).alias(c) for c, o in zip(df.columns, own)], F.col("made").alias(name))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema]
+    made = [f"made{k} {kind}" for k, (_, kind, _, _) in enumerate(steps)]
+    out = given.mapInArrow(_each(steps), ", ".join(fields + made))
+    return out.select(*[F.col(o).alias(c) for c, o in zip(df.columns, own)],
+                      *[F.col(f"made{k}").alias(step[0]) for k, step in enumerate(steps)])
+
+
+def _encoding(name: str, file: str, pattern: str) -> Step:
+    return name, "binary", pa.binary(), lambda: rank_encoder(file, pattern).ids
+
+
+def _decoding(name: str, file: str) -> Step:
+    return name, "string", pa.string(), lambda: rank_decoder(file).text
 
 
 def encode(df: DataFrame, text_column: str, file: str, ids_column: str = "ids", pattern: str = PATTERN) -> DataFrame:
@@ -146,10 +165,19 @@ def encode(df: DataFrame, text_column: str, file: str, ids_column: str = "ids",
     A missing or empty text has no ids (empty bytes); special strings are ordinary text; repeated rows stay;
     an empty table stays empty.  All other columns pass; an existing column of the new name raises.
     """
-    return _apply(df, F.coalesce(F.col(text_column), F.lit("")), ids_column, "binary", pa.binary(),
-                  lambda: rank_encoder(file, pattern).ids)
+    return _apply(df, F.coalesce(F.col(text_column), F.lit("")), _encoding(ids_column, file, pattern))
 
 
 def decode(df: DataFrame, ids_column: str, file: str, text_column: str = "decoded") -> DataFrame:
     """Add the text that ids stand for; missing ids give a missing text."""
-    return _apply(df, F.col(ids_column), text_column, "string", pa.string(), lambda: rank_decoder(file).text)
+    return _apply(df, F.col(ids_column), _decoding(text_column, file))
+
+
+def round_trip(df: DataFrame, text_column: str, file: str, ids_column: str = "ids", decoded_column: str = "decoded",
+               pattern: str = PATTERN) -> DataFrame:
+    """Add the ids of a text and the text that these ids stand for, as ``encode`` and ``decode`` would.
+
+    One pass does both, so a task needs one Python worker and the texts are handed over once.
+    """
+    return _apply(df, F.coalesce(F.col(text_column), F.lit("")), _encoding(ids_column, file, pattern),
+                  _decoding(decoded_column, file))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limpid.llm import line_quality
-from limpid.llm.byte_bpe import decode, encode
+from limpid.llm.byte_bpe import round_trip
 from limpid.llm.dart_minhash import near_duplicates
 from limpid.llm.embedding_neighbours import near_vectors
 from limpid.llm.html_extraction import extract
@@ -52,7 +52,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ranks), "ids", ranks)
+    coded = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ranks)
     return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
