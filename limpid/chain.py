@@ -62,15 +62,15 @@ class Step:
     operator: str
     args: tuple
     kwargs: dict
-    learned: tuple
+    learned: dict
 
     def params(self) -> str:
         shown = [_shown(a) for a in self.args]
         named = {k: _shown(v) for k, v in self.kwargs.items()}
         return json.dumps({"args": shown, **named}, default=str, ensure_ascii=False)
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        with replaying(list(self.learned)):
+    def apply(self, df: DataFrame, *, same_table: bool = False) -> DataFrame:
+        with replaying(self.learned, same_table=same_table):
             return STEPS[self.operator](df, *self.args, **self.kwargs)
 
 
@@ -105,11 +105,14 @@ class Chain:
             kwargs = {**kwargs, "order_by": self.order_by}
         with recording() as memo:
             df = STEPS[name](self.df, *args, **kwargs)
-        step = Step(name, args, kwargs, tuple(memo.values))
+        step = Step(name, args, kwargs, memo.values)
         return Chain(df, self.order_by, self.origin, (*self.steps, step))
 
     def apply_to(self, df: DataFrame) -> DataFrame:
-        """The same steps on another table, with the values learned on this one."""
+        """The same steps on another table, with the values learned on this one.
+
+        Sizes, hot keys, split points and row checks are looked at anew.
+        """
         for step in self.steps:
             df = step.apply(df)
         return df
@@ -129,7 +132,7 @@ class Chain:
         df = _observed(self.origin, observations[0])
         for step in self.steps:
             observations.append(Observation())
-            df = _observed(step.apply(df), observations[-1])
+            df = _observed(step.apply(df, same_table=True), observations[-1])
         result = action(df)
         self._observations = observations
         return result

@@ -14,7 +14,7 @@ from limpid.functions.columns import (
     col, fresh_name, is_missing, is_numeric_type, is_text_type, present, require, type_of,
 )
 from limpid.functions.records import lookup
-from limpid.plans.fitting import fitted
+from limpid.plans.fitting import fitted, planned
 from limpid.plans.ordering import order_columns, order_value, with_position
 from limpid.plans.sizing import MB, cut_lineage
 
@@ -59,20 +59,25 @@ def one_hot_encode(df: DataFrame, columns: str | Sequence[str], *, max_values: i
 def label_encode(
     df: DataFrame, columns: str | Sequence[str], *, order_by: str | Sequence[str], small: int = SMALL_DICTIONARY
 ) -> DataFrame:
-    """Replace categories by codes in order of first appearance; missing is -1."""
+    """Replace categories by codes in order of first appearance; missing is -1.
+
+    Applied again by a chain, the codes are those of the table it was fitted on; a value unknown there is -1.
+    """
     keys = order_columns(df, order_by)
     names = require(df, columns)
     out = df
     for i, n in enumerate(names):
         value, code = fresh_name(out, f"value{i}"), fresh_name(out, f"code{i}")
-        codes = first_seen_codes(df, n, keys, value, code, small=small)
+        codes = first_seen_codes(df, n, keys, small=small).toDF(value, code)
+        if codes.schema[value].dataType != type_of(df, n):
+            raise TypeError(f"column {n!r} has another type than where its codes were fitted")
         out = out.join(codes, present(df, n) == F.col(value), "left").drop(value)
         out = out.withColumn(code, F.coalesce(F.col(code), F.lit(-1).cast("long")))
     coded = {n: fresh_name(df, f"code{i}") for i, n in enumerate(names)}
     return out.select(*[F.col(coded[n]).alias(n) if n in coded else col(n) for n in df.columns])
 
 
-@fitted
+@planned
 def _is_small(df: DataFrame, value: str, rows: int) -> bool:
     """Whether the table holds at most that many rows and its values take little room."""
     size = F.sum(F.octet_length(F.col(value).cast("string")))
@@ -80,8 +85,13 @@ def _is_small(df: DataFrame, value: str, rows: int) -> bool:
     return found["rows"] <= rows and (found["bytes"] or 0) <= SMALL_DICTIONARY_BYTES
 
 
-def first_seen_codes(df: DataFrame, column: str, keys: list[str], value: str, code: str, *, small: int) -> DataFrame:
-    """``(value, code)`` for every value that is there, numbered by first appearance from 0."""
+@fitted
+def first_seen_codes(df: DataFrame, column: str, keys: list[str], *, small: int) -> DataFrame:
+    """``(value, code)`` for every value that is there, numbered by first appearance from 0.
+
+    The dictionary is written to the shared folder if there is one, so applying it again reads it back.
+    """
+    value, code = "value", "code"
     seen = (
         df.select(present(df, column).alias(value), order_value(keys).alias("first"))
         .where(F.col(value).isNotNull()).groupBy(value).agg(F.min("first").alias("first")))
@@ -92,10 +102,10 @@ def first_seen_codes(df: DataFrame, column: str, keys: list[str], value: str, co
     firsts = [c for c in flat.columns if c != value]
     if _is_small(flat, value, small):
         # the bounds were just checked: one bucket is enough and the table may be broadcast
-        return F.broadcast(with_position(flat, firsts, code, buckets=1).select(
-            value, (F.col(code) - 1).alias(code)))
+        return F.broadcast(cut_lineage(with_position(flat, firsts, code, buckets=1).select(
+            value, (F.col(code) - 1).alias(code))))
     # numbering reads the dictionary several times, so it is written once
-    return with_position(cut_lineage(flat), firsts, code).select(value, (F.col(code) - 1).alias(code))
+    return cut_lineage(with_position(cut_lineage(flat), firsts, code).select(value, (F.col(code) - 1).alias(code)))
 
 
 def apply_map(

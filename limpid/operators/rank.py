@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limpid.functions.columns import col, fresh_name, present, require, require_numeric, type_of
-from limpid.plans.fitting import fitted
+from limpid.plans.fitting import planned
 from limpid.plans.ordering import (
     Ordered, bucket_count, order_columns, running, split_points, with_position,
 )
@@ -60,7 +60,7 @@ def top_n(df: DataFrame, column: str, n: int = 5, largest: bool = True, *, order
     return placed.where(F.col(place) <= n).drop(missing, value, place)
 
 
-@fitted
+@planned
 def _check_enough(df: DataFrame, n: int) -> None:
     rows = df.count()
     if n > rows:

@@ -1,13 +1,16 @@
 """Remembering fitted values, so that a chain of operators can be applied again without refitting.
 
-Every place where an operator runs a job to learn a few plain values (quartiles,
-a mode, split points, labels) is marked with :func:`fitted`.  Under
-:func:`recording` the learned values are kept in order; under :func:`replaying`
-they are handed back instead of being learned again.
+Every place where an operator learns something that belongs to its result
+(quartiles, a mode, labels, a dictionary) is marked with :func:`fitted`.  What it
+only finds out about one table (split points, hot keys, sizes, row checks) is
+marked with :func:`planned`.  Under :func:`recording` both are kept by the name of
+the function and the number of its call; under :func:`replaying` learned values
+are handed back, while plans are made anew unless the table is the same.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -15,29 +18,44 @@ from functools import wraps
 
 
 class FitMemo:
-    def __init__(self, values: list | None = None):
-        self.values = [] if values is None else values
+    def __init__(self, values: dict[str, object] | None = None, same_table: bool = False):
+        self.values = {} if values is None else values
         self.replay = values is not None
-        self.cursor = 0
+        self.same_table = same_table
+        self.calls: Counter[str] = Counter()
+
+    def next_name(self, function: Callable) -> str:
+        name = f"{function.__module__}.{function.__qualname__}"
+        self.calls[name] += 1
+        return f"{name} {self.calls[name]}"
 
 
 _active: ContextVar[FitMemo | None] = ContextVar("limpid_fit_memo", default=None)
 
 
 def fitted(learn: Callable) -> Callable:
-    """Mark a function that runs a job and returns plain values."""
+    """Mark a function whose result is learned once and holds for every table."""
+    return _remembered(learn, any_table=True)
+
+
+def planned(decide: Callable) -> Callable:
+    """Mark a function whose result only holds for the table it was made for."""
+    return _remembered(decide, any_table=False)
+
 
+def _remembered(learn: Callable, *, any_table: bool) -> Callable:
     @wraps(learn)
     def wrapper(*args, **kwargs):
         memo = _active.get()
         if memo is None:
             return learn(*args, **kwargs)
-        if memo.replay:
-            memo.cursor += 1
-            return memo.values[memo.cursor - 1]
-        with _activate(None):  # one entry per outermost fit
+        name = memo.next_name(learn)
+        if memo.replay and (any_table or memo.same_table) and name in memo.values:
+            return memo.values[name]
+        with _activate(None):  # one entry per outermost call
             value = learn(*args, **kwargs)
-        memo.values.append(value)
+        if not memo.replay:
+            memo.values[name] = value
         return value
 
     return wrapper
@@ -56,5 +74,5 @@ def recording():
     return _activate(FitMemo())
 
 
-def replaying(values: list):
-    return _activate(FitMemo(values))
+def replaying(values: dict[str, object], *, same_table: bool = False):
+    return _activate(FitMemo(values, same_table))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limpid.functions.columns import col, present
-from limpid.plans.fitting import fitted
+from limpid.plans.fitting import planned
 from limpid.plans.sizing import GB, plan_bytes
 
 #: A side below this estimate cannot hold a partition worth splitting.
@@ -30,7 +30,7 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)])
 
 
-@fitted
+@planned
 def has_hot_key(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> bool:
     """Whether one key holds more than ``share`` of the rows, judged on a bounded sample."""
     slim = df.select(*[present(df, k).alias(f"k{i}") for i, k in enumerate(keys)])

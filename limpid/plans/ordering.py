@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from limpid.functions.columns import col, fresh_name, require, type_of
-from limpid.plans.fitting import fitted
+from limpid.plans.fitting import planned
 from limpid.plans.sizing import MB, plan_bytes
 
 MAX_BUCKETS = 16_384
@@ -45,7 +45,7 @@ def bucket_count(df: DataFrame) -> int:
     return max(1, min(MAX_BUCKETS, max(by_size, min(partitions, SMALL_INPUT_BUCKETS))))
 
 
-@fitted
+@planned
 def split_points(df: DataFrame, keys: Sequence[str], buckets: int, seed: int = 17) -> list[tuple[str, ...]]:
     """Bucket boundaries from a bounded sample of the key, as text that casts back exactly."""
     if buckets <= 1:
