@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The spellings with a month name, each with the shape a text must
-# have to be tried.  Numeric spellings are rearranged to ISO order and cast.
-NAMED_MONTH = {
-    "MMMM d, yyyy": r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$",
-    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
-    "d MMMM yyyy": r"^\d{1,2} [A-Za-z]{3,9} \d{4}$",
-    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
-}
 ISO_SHAPE = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{1,2}:.*)?)?)?$"
-YEAR_FIRST_SHAPE = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
-YEAR_LAST_SHAPE = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
+#: A date (group 1) with a time of day after it: hour, the rest of the time, a or p.
+TIMED_SHAPE = r"(?i)^(.+?)[T, ]\s*(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)\s*(?:([ap])\.?m\.?)?$"
+YEAR_FIRST_SHAPE = r"^(\d{4})([/.-])(\d{1,2})\2(\d{1,2})$"
+COMPACT_SHAPE = r"^(\d{4})(\d{2})(\d{2})$"
+YEAR_LAST_SHAPE = r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{4}|\d{2})$"
+MONTH_DAY_SHAPE = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4}|\d{2})$"
+DAY_MONTH_SHAPE = r"^(\d{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -](\d{4}|\d{2})$"
+DAY_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+#: Two-digit years from 69 on belong to the 1900s, those below to the 2000s.
+LAST_CENTURY, THIS_CENTURY = r"^(69|[7-9]\d)-", r"^([0-6]\d)-"
+MONTHS = ("january february march april may june july august september october november december").split()
 
 # Strftime codes and the pattern letters that print the same.
 STRFTIME = {
@@ -24,30 +25,56 @@ STRFTIME = {
 }
 
 
+def _without_time(clean: Column) -> Column:
+    return F.trim(F.regexp_replace(clean, TIMED_SHAPE, "$1"))
+
+
+def _as_day(year_month_day: Column) -> Column:
+    """A date from numbers split by dashes, the year of two or four digits; NULL if there is no such day."""
+    full = F.regexp_replace(F.regexp_replace(year_month_day, LAST_CENTURY, "19$1-"), THIS_CENTURY, "20$1-")
+    return F.when(full.rlike(DAY_SHAPE), full.try_cast("date"))
+
+
+def _month_number(name: Column) -> Column:
+    """The number of a month name, whole or cut to three letters (or ``sept``); else NULL."""
+    numbers = {n: i for i, m in enumerate(MONTHS, 1) for n in (m, m[:3])} | {"sept": 9}
+    pairs = [F.lit(x) for month, number in numbers.items() for x in (month, str(number))]
+    return F.try_element_at(F.create_map(*pairs), F.lower(name))
+
+
 def parse_datetime(text: Column, *, dayfirst: bool = False) -> Column:
     """Text to a timestamp without zone; the format is decided per value, garbage is NULL.
 
-    ISO text, with or without a time of day and down to a bare year, is cast.
-    Numeric dates with the year last are month first (day first on request) and
+    ISO text, with or without a time of day and down to a bare year, is cast.  Dates may be split by dashes, slashes
+    or dots, or be eight digits, or name the month; all may have a time of 24 or 12 hours after them.  Two-digit
+    years lie between 1969 and 2068.  Numeric dates with the year last are month first (day first on request) and
     fall back to the other reading when the month would be above 12.
     """
     clean = F.trim(text)
-    iso = F.when(clean.rlike(ISO_SHAPE), clean.try_cast("timestamp_ntz"))
-    year_first = F.when(clean.rlike(YEAR_FIRST_SHAPE), F.translate(clean, "/", "-").try_cast("date"))
-    month_day, day_month = (
-        F.regexp_replace(clean, YEAR_LAST_SHAPE, rearranged).try_cast("date")
-        for rearranged in ("$4-$1-$3", "$4-$3-$1"))
+    date = _without_time(clean)
+    numeric = F.regexp_replace(F.regexp_replace(date, YEAR_FIRST_SHAPE, "$1-$3-$4"), COMPACT_SHAPE, "$1-$2-$3")
+    month_day, day_month = (_as_day(F.regexp_replace(numeric, YEAR_LAST_SHAPE, order)) for order in ("$4-$1-$3", "$4-$3-$1"))
+    # letters: year, month name and day
+    words = F.regexp_replace(F.regexp_replace(date, MONTH_DAY_SHAPE, "$3-$1-$2"), DAY_MONTH_SHAPE, "$3-$2-$1")
+    year, name, day_of_month = (F.split_part(words, F.lit("-"), F.lit(n)) for n in (1, 2, 3))
+    named = _as_day(F.concat(year, F.lit("-"), _month_number(name), F.lit("-"), day_of_month))
     readings = (day_month, month_day) if dayfirst else (month_day, day_month)
-    year_last = F.when(clean.rlike(YEAR_LAST_SHAPE), F.coalesce(*readings))
-    named = [F.when(clean.rlike(shape), F.try_to_date(clean, fmt)) for fmt, shape in NAMED_MONTH.items()]
-    return F.coalesce(iso, *[d.cast("timestamp_ntz") for d in (year_first, year_last, *named)])
+    day = F.when(date.rlike("[A-Za-z]"), named).otherwise(F.coalesce(*readings))
+
+    hour, rest, half = (F.regexp_extract(clean, TIMED_SHAPE, g) for g in (2, 3, 4))
+    number = hour.try_cast("int")
+    hour = F.when(half == "", number).when(
+        number.between(1, 12), number % 12 + F.when(F.lower(half) == "p", 12).otherwise(0))
+    time = F.when(clean.rlike(TIMED_SHAPE), F.concat(hour.cast("string"), rest)).otherwise("0:00")
+    iso = F.when(clean.rlike(ISO_SHAPE), clean.try_cast("timestamp_ntz"))
+    return F.coalesce(iso, F.concat(day.cast("string"), F.lit(" "), time).try_cast("timestamp_ntz"))
 
 
 def is_ambiguous_date(text: Column) -> Column:
     """Whether month-first and day-first reading both work and give different days."""
-    clean = F.trim(text)
+    date = _without_time(F.trim(text))
     first, second = (
-        F.nullif(F.regexp_extract(clean, YEAR_LAST_SHAPE, i), F.lit("")).cast("int") for i in (1, 3))
+        F.nullif(F.regexp_extract(date, YEAR_LAST_SHAPE, i), F.lit("")).cast("int") for i in (1, 3))
     return F.coalesce(first.between(1, 12) & second.between(1, 12) & (first != second), F.lit(False))
 
 

@@ -72,6 +72,19 @@ def mixed_numbers(spark, sf):
         "CASE WHEN l_returnflag = 'A' THEN 'true' ELSE 'false' END AS flag_text", "l_linestatus")
 
 
+#: By the last digit of the key; those with a time of day keep it.
+SPELLINGS = ("dd/MM/yyyy HH:mm", "yyyy/MM/dd HH:mm", "yyyy.MM.dd", "yyyyMMdd", "dd-MMM-yyyy", "d/M/yy", "MMMM d yyyy",
+             "MMM d, yyyy hh:mm a", "dd.MM.yy HH:mm:00", "yyyy-MM-dd h:mm a")
+
+
+def spelled_dates(spark, sf):
+    moment = F.expr("timestampadd(MINUTE, cast(o_orderkey % 1440 AS int), o_orderdate)")
+    spelled = F.lit(None).cast("string")
+    for digit, spelling in enumerate(SPELLINGS):
+        spelled = F.when(F.col("o_orderkey") % 10 == digit, F.date_format(moment, spelling)).otherwise(spelled)
+    return table(spark, sf, "orders").select("o_orderkey", spelled.alias("spelled"))
+
+
 QUERIES = {
     "drop_missing_any": (
         lambda spark, sf: lp.drop_missing(dirty_orders(spark, sf)),
@@ -139,6 +152,10 @@ QUERIES = {
     "to_datetime_dayfirst": (
         lambda spark, sf: lp.to_datetime(dated_text(spark, sf), "date_text", dayfirst=True),
         f"WITH {DATED_CTE} SELECT o_orderkey, {DAY_FIRST} AS date_text FROM dated"),
+    "to_datetime_spellings": (
+        lambda spark, sf: lp.to_datetime(spelled_dates(spark, sf), "spelled", dayfirst=True),
+        "SELECT o_orderkey, date_trunc(CASE WHEN o_orderkey % 10 IN (0, 1, 7, 8, 9) THEN 'minute' ELSE 'day' END, o_orderdate "
+        "+ to_minutes(o_orderkey % 1440)) AS spelled FROM orders"),
     "ambiguous_dates": (
         lambda spark, sf: lp.ambiguous_dates(dated_text(spark, sf), "date_text"),
         "SELECT 'date_text' AS \"column\", count(*) AS ambiguous_count FROM orders WHERE o_orderstatus <> 'P' AND "
