@@ -68,10 +68,10 @@ def _check_enough(df: DataFrame, n: int) -> None:
 
 
 def sample_rows(df: DataFrame, n: int = 5, random_state: int = 42, *, order_by: Columns) -> DataFrame:
-    """Exactly n rows chosen by a seeded hash of the row key: the same under any partitioning."""
+    """Exactly n rows: those with the smallest MD5 of seed and key, so the same under any partitioning and engine."""
     keys = order_columns(df, order_by)
     _check_enough(df, n)
-    ticket = F.xxhash64(F.lit(random_state), *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys])
+    ticket = F.md5(F.concat_ws("|", F.lit(str(random_state)), *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys]))
     name, place = fresh_name(df, "ticket"), fresh_name(df, "place")
     drawn = df.withColumn(name, ticket)
     if n <= HEAP_ROWS:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,17 +30,8 @@ def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The shared scratch folder named by the cluster.
-
-    Falls back to a temporary folder only in local mode, where one machine is
-    the whole cluster; on a cluster with nothing configured there is none.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return os.path.join(tempfile.gettempdir(), "limpid-checkpoints")
-    return None
+    """The shared scratch folder that the session names, or None."""
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

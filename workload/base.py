@@ -7,6 +7,8 @@ plain SQL that Spark and the checking engine read alike.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -88,3 +90,9 @@ COPIED_ORDERS = "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_ord
 def copied_orders(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return orders.unionByName(orders.where("o_orderpriority = '1-URGENT'"))
+
+
+def output_root(spark: SparkSession) -> str:
+    """Where queries that write files put them: the shared folder of the session, or its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/output-{uuid.uuid4().hex}"

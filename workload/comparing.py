@@ -94,7 +94,7 @@ def audited(spark, sf):
              .fill_missing_constant("?", "o_orderstatus")
              .filter_query("o_orderstatus <> 'F'"))
     chain.run(lambda df: df.write.format("noop").mode("overwrite").save())
-    return chain.audit().drop("params")
+    return chain.audit()
 
 
 AUDIT_SQL = (
@@ -104,7 +104,9 @@ AUDIT_SQL = (
         f"SELECT {i} AS step, count(*) AS n, count(*) * 6 - count(o_orderkey) - count(o_custkey) - count(o_orderstatus) - "
         f"count(o_totalprice) - count(o_orderdate) - count(o_orderpriority) AS gaps FROM {s}"
         for i, s in enumerate(("dirty_orders", "s1", "s2", "s3"))) + ") "
-    "SELECT b.step, ['drop_missing', 'fill_missing_constant', 'filter_query'][b.step] AS operator, a.n AS rows_before, "
+    "SELECT b.step, ['drop_missing', 'fill_missing_constant', 'filter_query'][b.step] AS operator, "
+    "['{\"args\": [], \"subset\": \"o_custkey\"}', '{\"args\": [\"?\", \"o_orderstatus\"]}', "
+    "'{\"args\": [\"o_orderstatus <> ''F''\"]}'][b.step] AS params, a.n AS rows_before, "
     "b.n AS rows_after, a.gaps AS missing_before, b.gaps AS missing_after FROM c a JOIN c b ON b.step = a.step + 1")
 
 QUERIES = {

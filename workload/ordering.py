@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import limpid as lp
+from limpid.plans.ordering import with_position
 from pyspark.sql import functions as F
 
-from workload.base import DIRTY_ORDERS_CTE, GAPPY_EVENTS_CTE, dirty_orders, gappy_events, table
+from workload.base import DIRTY_ORDERS_CTE, GAPPY_EVENTS_CTE, dirty_orders, gappy_events, output_root, table
 
 GAPPY = f"WITH {GAPPY_EVENTS_CTE} "
 DIRTY = f"WITH {DIRTY_ORDERS_CTE} "
@@ -49,9 +50,11 @@ def _rank_sql(direction):
 
 
 def positions(spark, sf):
-    """Sorted order made visible as the first rows after a sort."""
+    """All rows with the place each took in the sorted files: written once, so that the numbers are of one sort."""
     out = lp.sort_values(dirty_orders(spark, sf), ["o_orderstatus", "o_totalprice"], [True, False], order_by="o_orderkey")
-    return out.limit(500)
+    path = f"{output_root(spark)}/sorted"
+    out.withColumn("at", F.monotonically_increasing_id()).write.parquet(path)
+    return with_position(spark.read.parquet(path), "at", "place").drop("at")
 
 
 QUERIES = {
@@ -66,17 +69,17 @@ QUERIES = {
         _interpolate("nearest"),
         _interpolated("CASE WHEN p0 IS NULL OR p1 IS NULL THEN NULL WHEN p - p0 <= p1 - p THEN v0 ELSE v1 END")),
     "sort_values": (
-        positions, DIRTY + f"SELECT {ALL} FROM dirty_orders ORDER BY o_orderstatus NULLS LAST, o_totalprice DESC NULLS LAST, "
-        "o_orderkey LIMIT 500"),
+        positions, DIRTY + f"SELECT {ALL}, row_number() OVER (ORDER BY o_orderstatus NULLS LAST, o_totalprice DESC NULLS "
+        "LAST, o_orderkey) AS place FROM dirty_orders"),
     "top_n_largest": (
         lambda spark, sf: lp.top_n(dirty_orders(spark, sf), "o_totalprice", 100, order_by="o_orderkey"),
         DIRTY + f"SELECT {ALL} FROM dirty_orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 100"),
     "top_n_smallest": (
         lambda spark, sf: lp.top_n(dirty_orders(spark, sf), "o_custkey", 100, largest=False, order_by="o_orderkey"),
         DIRTY + f"SELECT {ALL} FROM dirty_orders ORDER BY o_custkey NULLS LAST, o_orderkey LIMIT 100"),
-    # the rows drawn depend on a hash the checking engine does not have
     "sample_rows": (
-        lambda spark, sf: lp.sample_rows(table(spark, sf, "orders"), 200, 42, order_by="o_orderkey"), None),
+        lambda spark, sf: lp.sample_rows(table(spark, sf, "orders"), 200, 42, order_by="o_orderkey"),
+        f"SELECT {ALL} FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 200"),
     "add_rank": (lambda spark, sf: lp.add_rank(dirty_orders(spark, sf), "o_custkey"), _rank_sql("DESC")),
     "add_rank_ascending": (
         lambda spark, sf: lp.add_rank(dirty_orders(spark, sf), "o_custkey", ascending=True), _rank_sql("ASC")),

@@ -51,9 +51,21 @@ TYPE_NAME = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN '
              "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END")
 
 
+def rounded_report(report):
+    """The report with its fractions to four places, as engines print doubles in different ways."""
+    return report.withColumn("value", F.expr(
+        "CASE WHEN section = 'numeric' THEN cast(cast(cast(value AS double) AS decimal(24, 4)) AS string) ELSE value END"))
+
+
 def report(spark, sf):
-    """Counts as they are; the numeric section is checked by its own query."""
-    return lp.full_report(dirty_orders(spark, sf)).where("section <> 'numeric'")
+    return rounded_report(lp.full_report(dirty_orders(spark, sf)))
+
+
+def _numeric_metrics() -> list[str]:
+    exact = {"mean": "avg({c})", "median": "median(cast({c} AS double))", "std": "stddev_pop({c})", "min": "min({c})",
+             "max": "max({c})"}
+    return [f"SELECT 'numeric' AS section, '{c}' AS \"column\", '{m}' AS metric, cast(cast({e.format(c=c)} AS decimal(24, 4)) "
+            f"AS varchar) AS value FROM dirty_orders" for c in NUMERIC for m, e in exact.items()]
 
 
 REPORT_SQL = " UNION ALL ".join([
@@ -69,6 +81,7 @@ REPORT_SQL = " UNION ALL ".join([
                    "SELECT (SELECT count(*) FROM dirty_orders) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty_orders)) AS n"),
     _report_values("unique", "\"column\"", "unique", "cast(n AS varchar)",
                    _per_column(ORDER_COLUMNS, "count(DISTINCT {c}) AS n")),
+    *_numeric_metrics(),
 ])
 
 QUERIES = {

@@ -79,6 +79,7 @@ PARSED_SQL = f"""
 CLEANED_SQL = f"""WITH {PARSED_SQL} SELECT Employee_ID, Name, Department, Email, Phone, Date_of_Joining,
     cast(round_even(coalesce(s, ms), 0) AS bigint) AS Salary, cast(coalesce(r, mr) AS bigint) AS Rating FROM capped, fill"""
 
+_SWAPPABLE = "^(\\d{1,2})[/-](\\d{1,2})[/-]\\d{4}$"
 AUDIT_SQL = f"""WITH {PARSED_SQL}, f AS (SELECT * FROM folded WHERE Name IS NOT NULL)
     SELECT 'rows_in' AS metric, cast(count(*) AS double) AS value FROM raw
     UNION ALL SELECT 'duplicates_removed', (SELECT count(*) FROM raw) - (SELECT count(*) FROM folded)
@@ -92,6 +93,10 @@ AUDIT_SQL = f"""WITH {PARSED_SQL}, f AS (SELECT * FROM folded WHERE Name IS NOT
     UNION ALL SELECT 'Phone invalid_or_missing', count(*) - count(Phone) FROM parsed
     UNION ALL SELECT 'Date_of_Joining missing_before', count(*) - count(Date_of_Joining) FROM f
     UNION ALL SELECT 'Date_of_Joining invalid_or_missing', count(*) - count(Date_of_Joining) FROM parsed
+    UNION ALL SELECT 'Date_of_Joining ambiguous', count(*) FROM (
+        SELECT try_cast(regexp_extract(trim(Date_of_Joining), '{_SWAPPABLE}', 1) AS int) AS a,
+        try_cast(regexp_extract(trim(Date_of_Joining), '{_SWAPPABLE}', 2) AS int) AS b FROM f)
+        WHERE a BETWEEN 1 AND 12 AND b BETWEEN 1 AND 12 AND a <> b
     UNION ALL SELECT 'Salary negative', count(*) FROM digits WHERE s < 0
     UNION ALL SELECT 'Salary capped', count(*) FROM parsed, fence WHERE s > hi
     UNION ALL SELECT 'Salary imputed', count(*) - count(s) FROM parsed
@@ -108,7 +113,7 @@ def cleaned(spark, sf_dir) -> DataFrame:
 
 def audit(spark, sf_dir) -> DataFrame:
     job = lp.clean_records(raw_records(spark, sf_dir), EMPLOYEES)
-    return job.audit().where("metric <> 'ambiguous'").selectExpr(
+    return job.audit().selectExpr(
         "CASE WHEN `column` IS NULL THEN metric ELSE concat(`column`, ' ', metric) END AS metric", "round(value, 3) AS value")
 
 
