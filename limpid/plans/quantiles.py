@@ -5,20 +5,24 @@ columns do not survive.  Here the answer is closed in on instead:
 
 1. mergeable KLL sketches, built per group of input tasks and then merged, give
    for every wanted rank an interval that should contain it;
-2. while an interval is expected to hold too many values, one aggregation counts
-   exactly how many lie below and inside and sketches the inside again;
+2. while what is known to hold the rank has too many values, one aggregation
+   counts exactly how many lie below and inside and sketches the inside again; an
+   interval that misses its rank cuts off what it covers, and after a few misses
+   the range is halved, so the rounds end whatever the sketches say;
 3. the distinct values of the remaining interval are counted and the rank is
-   read off.  An interval that turns out to miss its rank is widened back.
+   read off.  A miss is widened to the outer interval, whose size is known.
 
 Inputs of a few megabytes skip all that.  Only counts decide, so the answer is exact whatever the sketches say, and a
 value that fills a third of the table collapses its interval at once.  No step
 shuffles the column itself: every scan reads only the wanted columns and is
-combined inside the map tasks.  Up to some 5 * 10**8 rows it takes two jobs.
+combined inside the map tasks.  Up to 2 * 10**6 rows it takes two jobs, beyond
+that one more for each factor of some hundred.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -33,11 +37,10 @@ SKETCH_K = 2048
 SKETCH_ERROR = 0.0015
 GRID = 2000
 SKETCH_GROUPS = 256
-#: Share of the rows an interval around one rank is expected to hold.
-INTERVAL_SHARE = 2 * SKETCH_ERROR + 2 / GRID
-#: An interval with about this many distinct values is resolved by counting them.
+#: An interval with at most so many rows or (by a sketch) distinct values is resolved by counting them.
 COUNTABLE_VALUES = 2_000_000
-MAX_ROUNDS = 12
+#: After so many intervals that missed their ranks the sketches are no longer trusted and the range is halved.
+MAX_MISSES = 3
 #: Columns up to this estimate hold few enough distinct values for one task.
 SMALL_COLUMN_BYTES = 4 * MB
 
@@ -46,8 +49,8 @@ SMALL_COLUMN_BYTES = 4 * MB
 class _Bracket:
     """Interval [low, high] sought to contain the ranks around one quantile.
 
-    It lies within the outer interval, which is known to contain them and to
-    have exactly ``below`` values below it.
+    It lies within the outer interval, which is known to contain them, to hold
+    exactly ``inside`` values and to have exactly ``below`` values below it.
     """
 
     column: str
@@ -59,6 +62,9 @@ class _Bracket:
     inside: int
     below: int = 0
     distinct: int | None = None
+    misses: int = 0
+    halvings: int = 0
+    answer: tuple[float, float] | None = None
 
     @property
     def first_rank(self) -> int:
@@ -70,7 +76,32 @@ class _Bracket:
 
     def countable(self, limit: int) -> bool:
         few = self.distinct is not None and self.distinct <= limit
-        return few or self.inside * INTERVAL_SHARE <= limit
+        return few or self.inside <= limit or self.answer is not None
+
+    def narrow(self, low: float, high: float, below: int, inside: int) -> None:
+        """Make [low, high] the outer interval, and seek in all of it."""
+        self.outer_low, self.outer_high, self.below, self.inside, self.distinct = low, high, below, inside, None
+        self.low, self.high = low, high
+
+    def halve(self) -> None:
+        """Seek in the lower half: of the range and of the doubles in it by turns, so at most 128 rounds are left."""
+        low, high = self.outer_low, self.outer_high
+        middle = low / 2 + high / 2
+        if self.halvings % 2 or not math.isfinite(middle):
+            middle = _double_at((_place(low) + _place(high)) // 2)
+        self.halvings += 1
+        self.low, self.high = low, min(max(middle, low), math.nextafter(high, -math.inf))
+
+
+def _place(value: float) -> int:
+    """The place of a double in the order of all doubles."""
+    bits = struct.unpack("<q", struct.pack("<d", value))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def _double_at(place: int) -> float:
+    size = struct.unpack("<d", struct.pack("<q", abs(place)))[0]
+    return size if place >= 0 else -size
 
 
 @fitted
@@ -149,32 +180,30 @@ def _by_brackets(narrow, slots, probabilities, countable):
             brackets[s, i] = _Bracket(
                 s, p * (size - 1), low, high, first[f"lo_{s}"], first[f"hi_{s}"], inside=size)
 
-    for _ in range(MAX_ROUNDS):
-        large = [b for b in brackets.values() if not b.countable(countable)]
-        if not large:
-            break
+    while large := [b for b in brackets.values() if not b.countable(countable)]:
         _measure(narrow, large)
 
-    result: dict[str, list[float | None]] = {s: [None] * len(probabilities) for s in slots}
-    todo = dict(brackets)
-    while todo:
-        ranked = _read_ranks(narrow, list(todo.values()))
-        missed = {}
-        for (key, b), pair in zip(todo.items(), ranked):
+    # what is left to count lies within outer intervals of a known size, so a miss can be widened to them
+    while todo := [b for b in brackets.values() if b.answer is None]:
+        for b, pair in zip(todo, _read_ranks(narrow, todo)):
             if pair is None:
                 b.low, b.high = b.outer_low, b.outer_high
-                missed[key] = b
-                continue
-            left, right = pair
-            s, i = key
-            result[s][i] = left if left == right else (
-                (b.last_rank - b.position) * left + (b.position - b.first_rank) * right)
-        todo = missed
+            b.answer = pair
+
+    result: dict[str, list[float | None]] = {s: [None] * len(probabilities) for s in slots}
+    for (s, i), b in brackets.items():
+        left, right = b.answer
+        result[s][i] = left if left == right else (
+            (b.last_rank - b.position) * left + (b.position - b.first_rank) * right)
     return result
 
 
 def _measure(narrow: DataFrame, brackets: list[_Bracket]) -> None:
-    """Count below and inside each interval, then make it the outer one or widen it back."""
+    """Count below and inside each interval, then go on in the part of the outer one that holds the ranks.
+
+    A miss is as exact as a hit: the counts tell on which side the ranks are, and the
+    values next to the interval's ends are the answer if one rank is on either side.
+    """
     partial, final = [], []
     for t, b in enumerate(brackets):
         v = F.col(b.column)
@@ -183,29 +212,48 @@ def _measure(narrow: DataFrame, brackets: list[_Bracket]) -> None:
             F.count_if(v < b.low).alias(f"below_{t}"), F.count(inside).alias(f"in_{t}"),
             F.hll_sketch_agg(F.when(inside.isNotNull(), F.xxhash64(v))).alias(f"d_{t}"),
             F.kll_sketch_agg_double(inside, F.lit(SKETCH_K)).alias(f"k_{t}"),
+            *[f(F.when(c, v)).alias(f"{n}_{t}") for n, (f, c) in _ends(v, b).items()],
         ]
         final += [
             F.sum(f"below_{t}").alias(f"below_{t}"), F.sum(f"in_{t}").alias(f"in_{t}"),
             F.hll_sketch_estimate(F.hll_union_agg(f"d_{t}")).alias(f"d_{t}"),
             F.kll_merge_agg_double(f"k_{t}").alias(f"k_{t}"),
+            *[f(f"{n}_{t}").alias(f"{n}_{t}") for n, (f, _) in _ends(v, b).items()],
         ]
     merged = _in_groups(narrow).agg(*partial).agg(*final)
     picks = []
-    for t in range(len(brackets)):
+    for t, b in enumerate(brackets):
         size = F.col(f"in_{t}")
-        picks += [F.col(f"below_{t}"), size, F.col(f"d_{t}"), _grid(f"k_{t}", size).alias(f"g_{t}")]
+        picks += [F.col(f"below_{t}"), size, F.col(f"d_{t}"), _grid(f"k_{t}", size).alias(f"g_{t}"),
+                  *[F.col(f"{n}_{t}") for n in _ends(size, b)]]
     row = merged.select(*picks).first()
 
     for t, b in enumerate(brackets):
         below, inside = row[f"below_{t}"], row[f"in_{t}"]
-        missed_low, missed_high = b.first_rank < below, b.last_rank >= below + inside
-        if missed_low or missed_high:
-            b.low = b.outer_low if missed_low else b.low
-            b.high = b.outer_high if missed_high else b.high
-            continue
-        b.outer_low, b.outer_high, b.below, b.inside = b.low, b.high, below, inside
-        b.distinct = 1 if b.low == b.high else int(row[f"d_{t}"] * 1.1) + 1
-        b.low, b.high = _edges(row[f"g_{t}"], (b.position - below) / max(inside - 1, 1))
+        through, end = below + inside, b.below + b.inside
+        if b.first_rank < below <= b.last_rank:
+            b.answer = row[f"under_{t}"], row[f"from_{t}"]
+        elif b.first_rank < through <= b.last_rank:
+            b.answer = row[f"upto_{t}"], row[f"over_{t}"]
+        elif b.last_rank < below:
+            b.misses += 1
+            b.narrow(b.outer_low, math.nextafter(b.low, -math.inf), b.below, below - b.below)
+        elif b.first_rank >= through:
+            b.misses += 1
+            b.narrow(math.nextafter(b.high, math.inf), b.outer_high, through, end - through)
+        else:
+            b.narrow(b.low, b.high, below, inside)
+            b.distinct = 1 if b.low == b.high else int(row[f"d_{t}"] * 1.1) + 1
+            if b.misses < MAX_MISSES:
+                b.low, b.high = _edges(row[f"g_{t}"], (b.position - below) / max(inside - 1, 1))
+        if b.misses >= MAX_MISSES and b.outer_low < b.outer_high:
+            b.halve()
+
+
+def _ends(v: Column, b: _Bracket) -> dict[str, tuple]:
+    """The values on both sides of each end of an interval."""
+    return {"under": (F.max, v < b.low), "from": (F.min, v >= b.low),
+            "upto": (F.max, v <= b.high), "over": (F.min, v > b.high)}
 
 
 def _read_ranks(narrow: DataFrame, brackets: list[_Bracket]) -> list[tuple[float, float] | None]:

@@ -41,9 +41,20 @@ def test_wrong_sketches_cost_time_but_not_exactness(spark, monkeypatch):
     monkeypatch.setattr(q, "_edges", lambda grid, share: (grid[0], grid[3]))
     values = np.random.default_rng(4).normal(size=3000)
     df = table(spark, {"x": values}, "x double")
-    for countable in (5, 10_000):
+    counted, read = [], q._read_ranks
+    monkeypatch.setattr(q, "_read_ranks", lambda narrow, brackets: counted.extend(
+        int(((values >= b.outer_low) & (values <= b.outer_high)).sum()) for b in brackets) or read(narrow, brackets))
+    for countable in (50, 10_000):
+        counted.clear()
         found = q.exact_quantiles(df, {"x": F.col("x")}, [0.5, 0.9], countable=countable)["x"]
         np.testing.assert_allclose(found, np.percentile(values, [50, 90]), rtol=1e-12)
+        assert max(counted, default=0) <= countable
+
+
+def test_places_of_doubles():
+    numbers = [-np.inf, -1e300, -1.0, -5e-324, 0.0, 5e-324, 0.1, 1e300, np.inf]
+    assert [q._place(x) for x in numbers] == sorted(q._place(x) for x in numbers)
+    assert [q._double_at(q._place(x)) for x in numbers] == numbers
 
 
 @pytest.mark.parametrize("values", [[], [4.0], [1.0, 2.0], [None, 9.0, None]])
