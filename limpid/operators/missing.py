@@ -177,7 +177,7 @@ def _carried(df, names, order_by, buckets, *, forward: bool) -> DataFrame:
 
     # both directions use a running frame: a frame open towards the end would be quadratic
     within = o.rows if forward else o.rows_descending
-    filled = o.df.withColumns({n: F.last(present(df, n), ignorenulls=True).over(running(within)) for n in names})
+    filled = o.placed.withColumns({n: F.last(present(df, n), ignorenulls=True).over(running(within)) for n in names})
     placed = o.attach(filled, carry)
     return placed.withColumns({n: F.coalesce(col(n), col(carries[n])) for n in names}).select(
         *[col(n) for n in df.columns])
@@ -197,7 +197,7 @@ def interpolate_missing(df: DataFrame, columns: Columns = None, method: str = "l
         return df
     o = Ordered(df, order_by, buckets)
     rank, offset = fresh_name(df, "rank"), fresh_name(df, "offset")
-    numbered = o.df.withColumn(rank, F.row_number().over(o.rows).cast("long"))
+    numbered = o.placed.withColumn(rank, F.row_number().over(o.rows).cast("long"))
 
     def known(n: str, base: Column) -> Column:
         return F.when(~is_missing(df, n), F.struct(base.alias("at"), col(n).cast("double").alias("value")))

@@ -13,10 +13,13 @@ from limpid.plans.fitting import planned
 from limpid.plans.ordering import (
     Ordered, bucket_count, order_columns, running, split_points, with_position,
 )
+from limpid.plans.sizing import MB, plan_bytes
 
 Columns = str | Sequence[str]
-#: Up to this many rows every task may hold its own candidates in a heap.
-HEAP_ROWS = 100_000
+#: Up to this many rows a task may hold its candidates in a heap, and up to so many candidates may meet in the last task.
+HEAP_ROWS, MEETING_ROWS = 100_000, 10_000_000
+#: Bytes of a scan task, where the session does not say.
+TASK_BYTES = 128 * MB
 
 
 def sort_values(
@@ -44,11 +47,18 @@ def _last_if_missing(df: DataFrame, name: str, up: bool) -> Column:
     return value.asc_nulls_last() if up else value.desc_nulls_last()
 
 
+def _fits_a_heap(df: DataFrame, n: int) -> bool:
+    """Whether n candidates of every task are few enough; of a table of unknown size only a handful are."""
+    size = plan_bytes(df)
+    tasks = MEETING_ROWS // 100 if size is None else size // TASK_BYTES + 1
+    return n <= HEAP_ROWS and n * tasks <= MEETING_ROWS
+
+
 def top_n(df: DataFrame, column: str, n: int = 5, largest: bool = True, *, order_by: Columns) -> DataFrame:
     """The n rows with the largest (smallest) values; ties by ``order_by``, missing only to fill up."""
     require_numeric(df, column)
     order = order_columns(df, order_by)
-    if n <= HEAP_ROWS:
+    if _fits_a_heap(df, n):
         return df.orderBy(_last_if_missing(df, column, not largest), *[col(k).asc() for k in order]).limit(n)
     # too many rows for one heap per task: number the rows in the wanted order instead
     missing, value, place = (fresh_name(df, s) for s in ("missing", "value", "place"))
@@ -74,7 +84,7 @@ def sample_rows(df: DataFrame, n: int = 5, random_state: int = 42, *, order_by:
     ticket = F.md5(F.concat_ws("|", F.lit(str(random_state)), *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys]))
     name, place = fresh_name(df, "ticket"), fresh_name(df, "place")
     drawn = df.withColumn(name, ticket)
-    if n <= HEAP_ROWS:
+    if _fits_a_heap(df, n):
         return drawn.orderBy(name, *[col(k) for k in keys]).limit(n).drop(name)
     return with_position(drawn, [name, *keys], place).where(F.col(place) <= n).drop(name, place)
 
@@ -101,7 +111,7 @@ def add_rank(
         F.coalesce(F.sum("n").over(o.after()), F.lit(0)).alias("beyond"))
     here = F.sum("n").over(running(o.rows if ascending else o.rows_descending))
     start = "offset" if ascending else "beyond"
-    ranks = o.attach(o.df.withColumn("upto", here), offsets, "offset", "beyond").select(
+    ranks = o.attach(o.placed.withColumn("upto", here), offsets, "offset", "beyond").select(
         value, (F.col("upto") + F.col(start) - F.col("n") + (F.col("n") + 1) / 2).alias(rank))
     joined = df.join(ranks, present(df, column) == F.col(value), "left")
     kept = [col(n) for n in df.columns if n != new_column]

@@ -114,7 +114,7 @@ class Ordered:
         self.bucket = fresh_name(df, "bucket")
         if splits is None:
             splits = split_points(df, self.keys, min(buckets or bucket_count(df), MAX_BUCKETS))
-        self.single = not splits
+        self.single, self.buckets = not splits, len(splits) + 1
         self.df = df.withColumn(self.bucket, bucket_of(df, self.keys, splits))
 
     @property
@@ -127,6 +127,11 @@ class Ordered:
         """Rows of one bucket in reverse key order."""
         return Window.partitionBy(self.bucket).orderBy(*[col(k).desc_nulls_last() for k in self.keys])
 
+    @property
+    def placed(self) -> DataFrame:
+        """The rows dealt by bucket to as many tasks as there are buckets, whatever the session's shuffle partitions."""
+        return self.df if self.single else self.df.repartition(self.buckets, self.bucket)
+
     def before(self) -> WindowSpec:
         """All buckets before the current one; over the bucket table only (bounded rows)."""
         return Window.orderBy(F.col(self.bucket).asc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -156,6 +161,6 @@ def with_position(
     offset = fresh_name(df, "offset")
     counts = o.df.groupBy(o.bucket).agg(F.count("*").alias("n"))
     offsets = counts.select(o.bucket, F.coalesce(F.sum("n").over(o.before()), F.lit(0)).alias(offset))
-    numbered = o.df.withColumn(name, F.row_number().over(o.rows).cast("long"))
+    numbered = o.placed.withColumn(name, F.row_number().over(o.rows).cast("long"))
     placed = o.attach(numbered, offsets, offset)
     return placed.withColumn(name, col(name) + col(offset)).drop(o.bucket, offset)

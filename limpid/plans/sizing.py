@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 MB = 1 << 20
@@ -20,7 +22,7 @@ def plan_bytes(df: DataFrame) -> int | None:
     """
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
+    except (Py4JError, PySparkException, AttributeError, ValueError):
         return None
 
 

@@ -120,3 +120,12 @@ def test_buckets_are_balanced(spark):
     o = Ordered(df, "k", 10)
     sizes = [r["count"] for r in o.df.groupBy(o.bucket).count().collect()]
     assert len(sizes) == 10 and max(sizes) < 3 * 4000 / 10
+
+
+def test_rows_are_dealt_to_as_many_tasks_as_buckets(spark):
+    df = table(spark, {"id": np.arange(2000)}, "id bigint")
+    placed = Ordered(df, "id", 50)
+    assert placed.buckets > 40
+    plan = with_position(df, "id", "at", buckets=50)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"RepartitionByExpression [{placed.bucket}" in plan and f"], {placed.buckets}" in plan
+    assert [r["at"] for r in with_position(df, "id", "at", buckets=50).orderBy("id").collect()] == list(range(1, 2001))

@@ -113,6 +113,14 @@ QUERIES = {
         fill("mode", ["o_custkey", "o_orderstatus"]),
         DIRTY + f"SELECT o_orderkey, coalesce(o_custkey, {_mode('o_custkey')}) AS o_custkey, coalesce(o_orderstatus, "
         f"{_mode('o_orderstatus')}) AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM dirty_orders"),
+    "impute_mean": (lambda spark, sf: _money(lp.impute(dirty_orders(spark, sf), "mean", "o_totalprice"), "o_totalprice"),
+                    _fill_sql("avg(o_totalprice)")),
+    "impute_median": (lambda spark, sf: _money(lp.impute(dirty_orders(spark, sf), "median", "o_totalprice"), "o_totalprice"),
+                      _fill_sql("median(o_totalprice)")),
+    "impute_mode": (
+        lambda spark, sf: lp.impute(dirty_orders(spark, sf), "mode", "o_orderstatus"),
+        DIRTY + f"SELECT o_orderkey, o_custkey, coalesce(o_orderstatus, {_mode('o_orderstatus')}) AS o_orderstatus, "
+        "o_totalprice, o_orderdate, o_orderpriority FROM dirty_orders"),
     "impute_dispatch": (
         lambda spark, sf: lp.impute(lp.impute(dirty_orders(spark, sf), "custom", "o_orderstatus", value="?"), "drop"),
         DIRTY + "SELECT o_orderkey, o_custkey, coalesce(o_orderstatus, '?') AS o_orderstatus, o_totalprice, o_orderdate, "

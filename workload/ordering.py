@@ -35,6 +35,16 @@ def _interpolated(expr):
             f"ELSE {expr} END, 8) AS value FROM near")
 
 
+def _impute(strategy, columns):
+    def run(spark, sf):
+        out = lp.impute(gappy_events(spark, sf), strategy, columns, order_by="event_id")
+        return out.withColumn("value", F.round("value", 8)) if strategy == "interpolate" else out
+    return run
+
+
+LINEAR = "CASE WHEN p0 IS NULL THEN NULL WHEN p1 IS NULL THEN v0 ELSE (v1 - v0) / (p1 - p0) * (p - p0) + v0 END"
+
+
 def _interpolate(method):
     def run(spark, sf):
         out = lp.interpolate_missing(gappy_events(spark, sf), "value", method, order_by="event_id")
@@ -64,7 +74,10 @@ QUERIES = {
               _carry_sql(BACKWARD)),
     "interpolate_linear": (
         _interpolate("linear"),
-        _interpolated("CASE WHEN p0 IS NULL THEN NULL WHEN p1 IS NULL THEN v0 ELSE (v1 - v0) / (p1 - p0) * (p - p0) + v0 END")),
+        _interpolated(LINEAR)),
+    "impute_ffill": (_impute("ffill", ["user_id", "value"]), _carry_sql(FORWARD)),
+    "impute_bfill": (_impute("bfill", ["user_id", "value"]), _carry_sql(BACKWARD)),
+    "impute_interpolate": (_impute("interpolate", "value"), _interpolated(LINEAR)),
     "interpolate_nearest": (
         _interpolate("nearest"),
         _interpolated("CASE WHEN p0 IS NULL OR p1 IS NULL THEN NULL WHEN p - p0 <= p1 - p THEN v0 ELSE v1 END")),

@@ -22,27 +22,27 @@ def raw_records_sql(day, slashed, named, dashed) -> str:
             WHEN '1-URGENT' THEN 'Hr' WHEN '2-HIGH' THEN 'human resources' WHEN '3-MEDIUM' THEN ' it '
             WHEN '4-NOT SPECIFIED' THEN CASE WHEN o_orderstatus = 'F' THEN 'SALES' ELSE 'Finance' END
             ELSE CASE WHEN o_orderstatus = 'F' THEN NULL ELSE 'logistics' END END AS Department,
-          CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN 'not-an-email'
-            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN 'user@.com'
-            WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN 'user@example'
-            WHEN o_orderpriority = '2-HIGH' THEN concat(' USER.', cast(o_custkey AS string), '@Example.COM ')
-            ELSE concat('user', cast(o_custkey AS string), '@example.com') END AS Email,
+          CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN 'clerk at orders'
+            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN 'clerk@.test'
+            WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN 'clerk@orders'
+            WHEN o_orderpriority = '2-HIGH' THEN concat(' Clerk.', cast(o_custkey AS string), '@Orders.TEST ')
+            ELSE concat('clerk', cast(o_custkey AS string), '@orders.test') END AS Email,
           CASE WHEN o_orderpriority = '1-URGENT' THEN concat('+91-', substring(phone, 1, 5), ' ', substring(phone, 6, 5))
             WHEN o_orderpriority = '2-HIGH' THEN concat('0', phone)
-            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN '12345'
+            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN '4711'
             WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'O' THEN NULL
             WHEN o_orderpriority = '5-LOW' THEN concat(phone, '123') ELSE phone END AS Phone,
           CASE WHEN o_orderpriority = '1-URGENT' THEN {day} WHEN o_orderpriority = '2-HIGH' THEN {slashed}
             WHEN o_orderpriority = '3-MEDIUM' THEN {named} WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {dashed}
-            WHEN o_orderstatus = 'F' THEN '32/13/2020' ELSE NULL END AS Date_of_Joining,
+            WHEN o_orderstatus = 'F' THEN '41/15/1995' ELSE NULL END AS Date_of_Joining,
           CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN concat('1,', cast(o_totalprice AS string))
-            WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN '-5000'
-            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN '999999999'
+            WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN '-1250.5'
+            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN '750000000'
             WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' THEN NULL
             ELSE cast(o_totalprice AS string) END AS Salary,
-          CASE WHEN o_orderpriority = '1-URGENT' THEN cast(1 + o_custkey % 5 AS string) WHEN o_orderpriority = '2-HIGH' THEN '0'
-            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN 'N/A'
-            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN '7' ELSE '4' END AS Rating
+          CASE WHEN o_orderpriority = '1-URGENT' THEN cast(1 + o_custkey % 5 AS string) WHEN o_orderpriority = '2-HIGH' THEN '-2'
+            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN 'unrated'
+            WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN '11' ELSE '4' END AS Rating
         FROM (SELECT *, concat('9', lpad(cast(o_orderkey AS string), 9, '0')) AS phone FROM orders) o"""
     return f"{one} UNION ALL SELECT * FROM ({one}) again WHERE Department = 'Finance'"
 
