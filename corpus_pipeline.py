@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limpid.llm import line_quality
-from limpid.llm.dart_minhash import near_duplicates
+from limpid.llm.dart_minhash import marked_copies
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import fit_rules, judge
 from limpid.llm.secret_scan import scan
@@ -30,11 +30,18 @@ def line_labels(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies stays; rows that repeat it go too."""
-    marked = near_duplicates(docs, "doc_id", "text", Scratch(spark))
-    kept = marked.where("kept").select("doc_id").distinct()
-    one = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(kept, "doc_id").select(*docs.columns)
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near copies stays: smallest id, digest, text, then its other columns.
+
+    Rows of one id are judged by their texts; rows without words or id stay.
+    """
+    marked = Scratch(spark).keep(marked_copies(docs, "doc_id", "text", Scratch(spark)).where("kept AND id IS NOT NULL")
+                                 .select(F.col("id").alias("doc_id"), F.col("mark").alias("_mark"), "worded").distinct(), "kept")
+    key, rest = ["doc_id", "_mark"], [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.withColumn("_mark", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    worded = rows.join(marked.where("worded"), key, "left_semi").groupBy(*key).agg(F.min(F.struct(*rest, "text")).alias("row"))
+    one = worded.select("doc_id", "row.*").select(*docs.columns)
+    wordless = rows.join(marked.where("NOT worded"), key, "left_semi").select(*docs.columns)
+    return one.unionByName(wordless).unionByName(docs.where("doc_id IS NULL"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

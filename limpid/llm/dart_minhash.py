@@ -161,11 +161,11 @@ def _signed(bands: int, rows: int):
                     for n, row, whole_row in zip(used, band_hashes(signed, bands, rows).view(np.int64), signed):
                         hashes[n], short[n] = row, (whole_row >> np.uint64(48)).astype("<u2").tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id"),
+                    part.column("id"), part.column("mark"),
                     pa.array([hashlib.md5(w.tobytes()).digest() if len(w) else None for w in words], pa.binary()),
                     pa.array([int(c.sum()) for _, c in found], pa.int64()),
                     pa.array(hashes, pa.list_(pa.int64())), pa.array(short, pa.binary())],
-                    names=["id", "digest", "weight", "bands", "signature"])
+                    names=["id", "mark", "digest", "weight", "bands", "signature"])
     return run
 
 
@@ -204,40 +204,67 @@ def _compare(bands: int, rows: int, threshold: float):
     return compare
 
 
-def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Scratch, bands: int = BANDS,
-                    band_rows: int = BAND_ROWS, threshold: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``df``: its id, ``component_id`` and ``kept`` (the id is its component's smallest).
+def marked_copies(df: DataFrame, id_column: str, text_column: str, scratch: Scratch, bands: int = BANDS,
+                  band_rows: int = BAND_ROWS, threshold: float = SIMILARITY) -> DataFrame:
+    """One row per row of ``df``: ``id``, ``mark`` (MD5 of the text), ``worded``, ``component_id`` and ``kept``.
 
-    Documents link when the weighted Jaccard similarity of their five-word shingles (lower case, marks ignored,
-    weight: occurrences) reaches the threshold.  Shorter texts count as one shingle; texts without words link
-    with nothing.  Texts of equal words are one class before any comparison.  Ids are whole numbers; an id that
-    occurs in several rows stands for its texts together, and a missing id keeps its row, as no one's
-    duplicate.  Other columns are not read; an empty table gives no rows.
+    Texts of equal words are one class; classes link, whatever their ids.  A component keeps the row of its smallest
+    id, then digest of the words, then mark: rows that repeat both id and text are all marked as kept.
     """
-    docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    signed = scratch.keep(docs.where("id IS NOT NULL").mapInArrow(
-        _signed(bands, band_rows), "id long, digest binary, weight long, bands array<bigint>, signature binary"), "signed")
+    text = F.col(text_column)
+    docs = df.select(F.col(id_column).cast("long").alias("id"), text.alias("text"),
+                     F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("mark"))
+    known = docs.where("id IS NOT NULL")
+    signed = scratch.keep(known.mapInArrow(
+        _signed(bands, band_rows),
+        "id long, mark string, digest binary, weight long, bands array<bigint>, signature binary"), "signed")
     classes = scratch.keep(signed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"),
-        F.first("signature").alias("signature")), "classes")
-    buckets = classes.select(F.posexplode("bands").alias("table", "bucket"), F.col("rep").alias("id"), F.col("weight").alias("info"))
-    texts = docs.where("id IS NOT NULL")
+        F.min(F.struct("id", "mark")).alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"),
+        F.first("signature").alias("signature")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    buckets = classes.select(F.posexplode("bands").alias("table", "bucket"), F.col("node").alias("id"), F.col("weight").alias("info"))
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """``id`` (the node) and ``text``, once per node, however many rows repeat it."""
+        named = classes.select("node", "rep.id", "rep.mark").join(nodes.withColumnRenamed("id", "node"), "node")
+        return known.join(named, ["id", "mark"]).groupBy("node").agg(F.first("text").alias("text")).withColumnRenamed("node", "id")
 
     def plausible(one: Column, two: Column) -> Column:
         return F.least(one, two) >= threshold * F.greatest(one, two)
 
     def verify(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        texts = scratch.keep(texts_of(nodes), "pair-texts")
         with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(threshold), "a long, b long").distinct()
 
-    payload = classes.select(F.col("rep").alias("id"), "signature").join(texts, "id")
+    def payload(nodes: DataFrame) -> DataFrame:
+        return classes.select(F.col("node").alias("id"), "signature").join(texts_of(nodes), "id")
+
     groups = link_by_buckets(buckets, plausible, verify, payload, _compare(bands, band_rows, threshold), scratch)
-    placed = scratch.keep(classes.select("digest", "rep").join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-                          .select("digest", F.coalesce("component", "rep").alias("component_id")), "class-components")
-    # an id with several texts joins their components
-    member = signed.select("id", "digest").join(placed, "digest", "left")
-    member = member.groupBy("id").agg(F.min(F.coalesce("component_id", "id")).alias("component_id"))
-    out = docs.select("id").join(scratch.keep(member, "member-components"), "id", "left")
-    return out.select(F.col("id").alias(id_column), "component_id",
-                      (F.col("component_id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
+    placed = scratch.keep(classes.select("node", "digest", "rep").join(groups.withColumnRenamed("id", "node"), "node", "left")
+                          .select("digest", "rep", F.coalesce("component", "node").alias("component")), "class-components")
+    first = placed.groupBy("component").agg(F.min(F.struct("rep.id", "digest", "rep.mark")).alias("first"))
+    placed = scratch.keep(placed.join(first, "component").select("digest", "first"), "class-firsts")
+    member = signed.select("id", "mark", "digest").join(placed, "digest", "left")
+    own = F.struct("id", "digest", "mark")
+    return member.select("id", "mark", F.col("digest").isNotNull().alias("worded"),
+                         F.coalesce("first.id", "id").alias("component_id"),
+                         (F.col("first").isNull() | (F.col("first") == own)).alias("kept")).unionByName(
+        docs.where("id IS NULL").select("id", "mark", F.lit(False).alias("worded"),
+                                        F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
+
+
+def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Scratch, bands: int = BANDS,
+                    band_rows: int = BAND_ROWS, threshold: float = SIMILARITY) -> DataFrame:
+    """One row per row of ``df``: its id, ``component_id`` (the smallest id of its text's component) and ``kept``.
+
+    Documents link when the weighted Jaccard similarity of their five-word shingles (lower case, marks ignored,
+    weight: occurrences) reaches the threshold.  Shorter texts count as one shingle; texts without words link
+    with nothing and keep their rows.  Texts of equal words are one class before any comparison.  Ids are whole
+    numbers; texts of one id are judged each by itself, so an id whose texts don't link has several components, which
+    can share its number.  ``kept`` marks one text of one id per component; rows that repeat both carry it together.
+    A missing id keeps its row, as no one's duplicate.  Other columns are not read; an empty table gives no rows.
+    """
+    return marked_copies(df, id_column, text_column, scratch, bands, band_rows, threshold).select(
+        F.col("id").alias(id_column), "component_id", "kept")

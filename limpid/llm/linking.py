@@ -100,13 +100,15 @@ def _block_links(compare: Callable):
 
 
 def link_by_buckets(buckets: DataFrame, plausible: Callable[[Column, Column], Column],
-                    verify: Callable[[DataFrame], DataFrame], payload: DataFrame, compare: Callable,
+                    verify: Callable[[DataFrame], DataFrame],
+                    payload: DataFrame | Callable[[DataFrame], DataFrame], compare: Callable,
                     scratch: Scratch) -> DataFrame:
     """``id`` and ``component`` of the ids that link with another one.
 
     ``buckets`` has ``table`` (int), ``bucket`` and ``id`` (long, not null) and ``info``, from which ``plausible`` tells
     whether two members can link at all.  ``verify`` keeps the linked ones of distinct pairs ``a``, ``b``.  ``compare``
-    links two blocks of rows (block, id, component, table, then the columns of ``payload`` but ``id``).
+    links two blocks of rows (block, id, component, table, then the columns of ``payload`` but ``id``); a function
+    makes the payload of the ids it gets.
     """
     heads = scratch.keep(buckets.groupBy("bucket").agg(F.min(F.struct("id", "info")).alias("head"),
                                                        F.max("id").alias("other"))
@@ -123,6 +125,8 @@ def link_by_buckets(buckets: DataFrame, plausible: Callable[[Column, Column], Co
     mixed = scratch.keep(placed.groupBy("bucket").agg(F.min("component").alias("from"), F.max("component").alias("to"))
                          .where("from <> to").select("bucket"), "mixed")
     spread = scratch.keep(in_blocks(scratch.keep(placed.join(mixed, "bucket"), "open"), "bucket", BLOCK), "spread")
+    if callable(payload):
+        payload = payload(spread.select("id").distinct())
     given = [c for c in payload.columns if c != "id"]
     rows = spread.join(payload, "id").select(*GROUP, "block", "id", "component", "table", *given)
     more = scratch.keep(rows.repartition(*GROUP).sortWithinPartitions(*GROUP)

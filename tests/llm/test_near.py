@@ -1,5 +1,6 @@
 """Near duplicates, resharding and the pipeline against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -64,6 +65,22 @@ def test_near_documents(spark):
     assert near_duplicates(table.limit(0), "doc_id", "text", Scratch(spark)).count() == 0
 
 
+def test_texts_of_one_id_are_judged_each(spark):
+    r = random.Random(8)
+    one, two, three, four = (" ".join("w%d" % r.randint(0, 9999) for _ in range(40)) for _ in range(4))
+    rows = [(3, one, "a"), (7, one, "a"), (7, two, "a"), (7, three, "a"), (8, three + " more", "a"), (9, four, "b"), (9, four, "a"),
+            (9, four.upper(), "a"), (5, "...", "a"), (5, "...", "a"), (5, None, "a"), (None, one, "a"), (6, two.upper(), "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = near_duplicates(docs, "doc_id", "text", Scratch(spark))
+    assert sorted((x.doc_id, x.component_id, x.kept) for x in out.where("doc_id IN (3, 7)").collect()) == [
+        (3, 3, True), (7, 3, False), (7, 6, False), (7, 7, True)]
+    kept = sorted((tuple(x) for x in corpus_pipeline.near_dedup(spark, docs, "").collect()), key=repr)
+    # of the id 9 one row: equal words, the smaller text by its MD5, then the smaller source
+    nine = min(four, four.upper(), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert kept == sorted([(3, one, "a"), (6, two.upper(), "c"), (7, three, "a"), (9, nine, "a"), (5, "...", "a"),
+                           (5, "...", "a"), (5, None, "a"), (None, one, "a")], key=repr)
+
+
 def test_near_vectors(spark):
     draw = np.random.default_rng(2)
     base = draw.normal(size=(40, 16))
