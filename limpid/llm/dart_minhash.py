@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +30,7 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 28, 7
 #: Least share of equal coordinates of a pair that is compared exactly in a block: 3.5 deviations below 0.8.
 LEAST_EQUAL = 0.7
-WORD = re.compile(r"\w+")
+WORD_CHARACTER = re.compile(r"\w")
 ODD1, ODD2, ODD3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Documents hashed together, and darts drawn at a time.
 BATCH_DOCUMENTS, MAX_DRAWS = 100, 1 << 19
@@ -47,9 +48,10 @@ def unit(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
 
 
-#: A number for every character up to the last of the table, which stands for all beyond it.
-LETTERS = mix(np.arange(1 << 16, dtype=np.uint64) + ODD1)
-IS_WORD = np.array([bool(WORD.match(chr(c))) for c in range(len(LETTERS))])
+#: A number for every code point, and whether it belongs to words.
+LETTERS = mix(np.arange(sys.maxunicode + 1, dtype=np.uint64) + ODD1)
+IS_WORD = np.zeros(len(LETTERS), dtype=bool)
+IS_WORD[[m.start() for m in WORD_CHARACTER.finditer("".join(map(chr, range(len(LETTERS)))))]] = True
 
 
 @lru_cache(1)
@@ -61,7 +63,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_codes(text: str) -> np.ndarray:
     """A hash of every word of the text, in order: lower case, runs of letters, digits and underscores."""
-    codes = np.minimum(np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4"), len(LETTERS) - 1)
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
     within = IS_WORD[codes]
     edges = np.flatnonzero(np.diff(within, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]

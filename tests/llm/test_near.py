@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -65,6 +66,17 @@ def test_near_documents(spark):
     assert near_duplicates(table.limit(0), "doc_id", "text", Scratch(spark)).count() == 0
 
 
+def test_letters_beyond_the_first_plane_count(spark):
+    wide = [" ".join("".join(chr(base + (n * 7 + k * k) % 30) for k in range(3)) for n in range(20))
+            for base in (0x20000, 0x1E900, 0x1D400)]
+    for text in (*wide, "a\U0001F600b \U0010FFFFc", "\ud800x", "\uffff"):
+        assert len(word_codes(text)) == len(re.findall(r"\w+", text.lower()))
+    assert len({word_codes(chr(c)).tobytes() for c in range(0x20000, 0x20100)}) == 256
+    rows = [(n, t) for n, t in enumerate(wide)] + [(10, wide[0]), (11, "same \U00020000"), (12, "same \U00020001")]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", Scratch(spark)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {0: 0, 1: 1, 2: 2, 10: 0, 11: 11, 12: 12}
+
+
 def test_texts_of_one_id_are_judged_each(spark):
     r = random.Random(8)
     one, two, three, four = (" ".join("w%d" % r.randint(0, 9999) for _ in range(40)) for _ in range(4))
