@@ -24,8 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_labels(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose lines are mostly bad go."""
-    chain = line_quality.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    """Documents whose lines are mostly bad go; the chain learns from all documents, as the rules leave few bad ones."""
+    every = table(spark, sf_dir, "documents")
+    chain = line_quality.fit(every, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
     return line_quality.score(docs, "text", chain).where("predicted = 1").select(*docs.columns)
 
 

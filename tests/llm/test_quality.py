@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
+import corpus_pipeline
 from limpid.llm import crf, forest, line_quality
 from limpid.llm.html_extraction import Extractor, extract, trained
 from limpid.llm.labelled_findings import findings
@@ -77,6 +78,17 @@ def test_rules_and_chain_on_held_out_rows(spark):
     assert judge(docs, "text", rules).where(BASE_FAILED).count() == 0
 
 
+def test_line_stage_rejects_what_the_rules_let_through(spark, tmp_path):
+    docs, labels, truth = labelled(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    # the rules' survivors: all labelled good, but for one unlabelled bad document that they let through
+    good = docs.where(docs.doc_id.isin([k for k, y in truth.items() if y]))
+    bad = docs.where("doc_id = 3").selectExpr("doc_id + 1000 AS doc_id", "text")
+    out = {r.doc_id for r in corpus_pipeline.line_labels(spark, good.union(bad), str(tmp_path)).collect()}
+    assert 1003 not in out and out == {r.doc_id for r in good.collect()}
+
+
 def test_chain_against_all_paths():
     draw = np.random.default_rng(0)
     chain = crf.Chain(draw.normal(size=(3, 2)), draw.normal(size=(2, 2)), draw.normal(size=2))
