@@ -24,10 +24,17 @@ from limpid.llm.labelled_pages import labelled_pages
 TRAINING_PAGES = 900
 #: Elements by how a browser lays them out.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr".split())
+                   "samp small span strike strong sub sup time tt u var wbr "
+                   "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms "
+                   "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = ("script", "style", "noscript", "template", "title", "textarea", "select", "button", "svg", "iframe", "object",
-          "audio", "video", "canvas", "math")
+#: All up to the end tag is text that isn't shown, or up to the end of the page without one.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I)
+       for tag in "script style title textarea iframe noembed noframes xmp".split()}
+#: What stands between these tags isn't shown; without its end tag, such an element hides nothing.
+UNSEEN = frozenset("noscript template select button svg object audio video canvas annotation annotation-xml".split())
+#: In these, an opening tag that ends in a slash is closed.
+FOREIGN = frozenset(("svg", "math"))
 #: An opening tag ends these open elements by itself.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -36,7 +43,6 @@ SCOPES = frozenset("ul ol dl table tbody body html article section div main td t
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<unseen>" + "|".join(UNSEEN) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=unseen)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]{2,}")
@@ -61,25 +67,39 @@ def blocks(html: str) -> list[Block]:
     open_: list[tuple[str, frozenset[str]]] = []
     run: list[str] = []
     linked = anchors = 0
+    #: Of every open unseen element: its place in open_, and the run, the linked characters and the blocks before it.
+    aside: list[tuple[int, list[str], int, int]] = []
+
+    def block(parts: list[str], depth: int, own_linked: int) -> list[Block]:
+        text = " ".join("".join(parts).split())
+        if not text:
+            return []
+        path = tuple(tag for tag, _ in open_[:depth] if tag not in INLINE and tag != "main-text")
+        return [Block(text, path, frozenset().union(*(n for _, n in open_[:depth])), own_linked,
+                      any(tag == "main-text" for tag, _ in open_[:depth]))]
 
     def flush() -> None:
         nonlocal linked
         if run:
-            text = " ".join("".join(run).split())
-            if text:
-                path = tuple(tag for tag, _ in open_ if tag not in INLINE and tag != "main-text")
-                out.append(Block(text, path, frozenset().union(*(n for _, n in open_)), linked,
-                                 any(tag == "main-text" for tag, _ in open_)))
+            out.extend(block(run, len(open_), linked))
             run.clear()
         linked = 0
 
-    def close(n: int) -> None:
-        nonlocal anchors
+    def close(n: int, ended: bool = False) -> None:
+        """Close the open elements from n on; ``ended``: the n-th by its own end tag, which is what hides it."""
+        nonlocal anchors, run, linked
+        while aside and aside[-1][0] >= n:
+            place, before, before_linked, count = aside.pop()
+            if ended and place == n:
+                del out[count:]
+                run, linked = before, before_linked
+            else:  # what closes others has ended the run
+                out[count:count] = block(before, place, before_linked)
         anchors -= sum(tag == "a" for tag, _ in open_[n:])
         del open_[n:]
 
     at = 0
-    for token in TOKEN.finditer(html):
+    while token := TOKEN.search(html, at):
         if token.start() > at:
             text = entities.unescape(html[at:token.start()])
             run.append(text)
@@ -89,35 +109,56 @@ def blocks(html: str) -> list[Block]:
         tag = token["tag"]
         if tag is None:
             continue
-        tag = tag.lower()
-        if tag not in INLINE:
-            flush()
-        elif tag == "br":
-            run.append(" ")
+        tag, attributes = tag.lower(), token["attributes"]
+        named = not attributes or attributes[0] in " \t\n\r\f/"
+        if named and not token["end"] and tag in RAW:
+            if not (attributes.endswith("/") and any(t in FOREIGN for t, _ in open_)):
+                end = RAW[tag].search(html, at)
+                at = end.end() if end else len(html)
+            continue
+        if named and not token["end"] and tag in UNSEEN:
+            if not attributes.endswith("/"):
+                aside.append((len(open_), run, linked, len(out)))
+                run, linked = [], 0
+                open_.append((tag, _names(attributes) if attributes else frozenset()))
+            continue
         if token["end"]:
             for n in range(len(open_) - 1, -1, -1):
                 if open_[n][0] == tag:
-                    close(n)
                     break
                 if tag in INLINE and open_[n][0] not in INLINE:
+                    n = -1
                     break
+            else:
+                n = -1
+            if tag not in INLINE and (n < 0 or tag not in UNSEEN):
+                flush()
+            if n >= 0:
+                close(n, ended=True)
+            if tag in ("br", "mtd", "mtr"):
+                run.append(" ")
             continue
-        if tag in VOID or token["attributes"].endswith("/"):
+        if tag not in INLINE:
+            flush()
+        elif tag in ("br", "mtd", "mtr"):
+            run.append(" ")
+        if tag in VOID or attributes.endswith("/"):
             continue
         ends = ENDS.get(tag, frozenset()) if tag in INLINE or tag in ENDS else frozenset("p") if tag != "main-text" else ()
         for n in range(len(open_) - 1, -1, -1):
             if open_[n][0] in ends:
                 close(n)
                 break
-            if open_[n][0] in SCOPES:
+            if open_[n][0] in SCOPES or open_[n][0] in UNSEEN:
                 break
-        open_.append((tag, _names(token["attributes"]) if token["attributes"] else frozenset()))
+        open_.append((tag, _names(attributes) if attributes else frozenset()))
         anchors += tag == "a"
     rest = html[at:]
     if rest:
         run.append(entities.unescape(rest))
         linked += len(rest) if anchors else 0
     flush()
+    close(0)
     return out
 
 

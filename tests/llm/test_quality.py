@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from limpid.llm import crf, forest, line_quality
-from limpid.llm.html_extraction import Extractor, extract, trained
+from limpid.llm.html_extraction import Extractor, blocks, extract, trained
 from limpid.llm.labelled_findings import findings
 from limpid.llm.labelled_pages import Page
 from limpid.llm.quality_rules import BASE_FAILED, fit_rules, judge, text_statistics
@@ -119,6 +119,16 @@ def test_extraction(spark):
     assert np.mean(right) > 0.97
 
 
+@pytest.mark.parametrize("page, texts", [
+    ('<p>a</p><svg class="i"/><p>b</p>', ["a", "b"]), ("<button-group>x</button-group><p>y</p>", ["x", "y"]),
+    ("<article><p>one <button>Like<p>two</article><p>three", ["one", "Like", "two", "three"]),
+    ("<div>a<select><option>x</div><p>b", ["a", "x", "b"]), ("<p>a <object><p>old</p></object> b</p>", ["a b"]),
+    ("<p>x <math><mi>a</mi><mo>+</mo><mi>b</mi></math> y</p>", ["x a+b y"]), ("a<svg><title/><g>t</g></svg>b", ["ab"]),
+    ("a<script>'</p>'</script >b<style>x", ["ab"]), ("<p>a<button></p><p>b", ["a", "b"])])
+def test_only_unseen_text_is_left_out(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
 def test_secrets(spark):
     words = dictionary(VOCABULARY)
     rows, held = findings(1500), findings(400, seed=77)
