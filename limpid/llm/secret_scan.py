@@ -24,6 +24,8 @@ from limpid.llm.labelled_findings import findings
 #: Labelled findings made for training, and the share of trees from which a finding is a secret.
 TRAINING_FINDINGS, IS_SECRET = 4000, 0.5
 REPLACEMENT = "[SECRET]"
+#: Parts judged together.
+PARTS = 5000
 KEYS = "passwords? passwd pwd secrets? tokens? api[_-]?keys? apikeys? access[_-]?keys? private[_-]?keys? client[_-]?secrets? auth credentials? bearer".split()
 ASSIGNED = re.compile(
     r"(?:" + "|".join(KEYS) + r")[\"']?(?:\s{0,3}[=:]\s{0,3}|\s)[\"']?(?P<value>[^\s\"'<>,;]{8,})"
@@ -31,6 +33,11 @@ ASSIGNED = re.compile(
 #: Texts without any of these have no assigned values.
 ROOTS = ("passw", "pwd", "secret", "token", "api", "access", "private", "client", "auth", "credential", "bearer", "://")
 RUN = re.compile(r"(?<![A-Za-z0-9+/=_.\-])[A-Za-z0-9+/=_.\-]{16,}")
+#: Where a run goes on with a value after a name.
+VALUE = re.compile(r"=+(?=[^=])")
+#: Longer candidates are judged by windows of so many characters, each half over the next, and by their segments.
+WINDOW = 200
+SEGMENT = re.compile(r"[A-Za-z0-9+_\-]{16,}")
 KEY = re.compile("|".join(KEYS), re.I)
 HARMLESS = re.compile(r"commit|revision|sha|md5|checksum|digest|etag|uuid|tree|parent|hash|request", re.I)
 DUMMY = re.compile(r"example|placeholder|change|your|dummy|test|sample|replace|x{4}|\*{4}|env|null|undefined|[<${(]", re.I)
@@ -66,9 +73,18 @@ def kinds_of(value: str) -> str:
                    for c in value)
 
 
-def features(text: str, start: int, end: int, words: frozenset[str]) -> list[float]:
-    whole = text[start:end]
-    value = whole[:200]
+def parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """What is judged of a candidate: the whole or, of a long one, parts that cover all of it."""
+    if end - start <= WINDOW:
+        return [(start, end)]
+    step = WINDOW // 2
+    out = {(a, min(a + WINDOW, end)) for a in range(start, end - step, step)}
+    return sorted(out | {m.span() for m in SEGMENT.finditer(text, start, end) if m.end() - m.start() <= WINDOW})
+
+
+def features(text: str, start: int, end: int, words: frozenset[str], part: tuple[int, int] | None = None) -> list[float]:
+    """Numbers of a candidate, or of a part of it in the candidate's surroundings."""
+    value = text[slice(*part)] if part else text[start:end]
     kinds, size = kinds_of(value), max(1, len(value))
     pairs = Counter(zip(kinds, kinds[1:]))
     steps = max(1, size - 1)
@@ -76,7 +92,7 @@ def features(text: str, start: int, end: int, words: frozenset[str]) -> list[flo
     before, behind = text[max(0, start - 40):start], text[end:end + 20]
     vowels = sum(c in "aeiouyAEIOUY" for c in value)
     return [
-        min(len(whole), 500), *(kinds.count(k) / size for k in "aA0/-"),
+        min(len(value), 500), *(kinds.count(k) / size for k in "aA0/-"),
         pairs["a", "a"] / steps, pairs["A", "A"] / steps, pairs["0", "0"] / steps,
         (pairs["a", "0"] + pairs["0", "a"] + pairs["A", "0"] + pairs["0", "A"]) / steps,
         pairs["a", "A"] / steps, pairs["A", "a"] / steps,
@@ -90,10 +106,23 @@ def features(text: str, start: int, end: int, words: frozenset[str]) -> list[flo
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Starts and ends of candidate values, in order, without overlap; assigned values come before runs."""
-    spans = [m.span() for m in RUN.finditer(text)]
+    spans = []
+    for m in RUN.finditer(text):
+        start = m.start()
+        for cut in VALUE.finditer(text, *m.span()):
+            if cut.end() < m.end():
+                if cut.start() - start >= 16:
+                    spans.append((start, cut.start()))
+                start = cut.end()
+        if m.end() - start >= (16 if start == m.start() else 6):
+            spans.append((start, m.end()))
     lower = text.lower()
     if any(root in lower for root in ROOTS):
-        given = [m.span(m.lastgroup) for m in ASSIGNED.finditer(text)]
+        given = []
+        for m in ASSIGNED.finditer(text):
+            start, end = m.span(m.lastgroup)
+            # a name before a known form isn't part of the value
+            given.append((next((c.end() for c in VALUE.finditer(text, start, end) if KNOWN.match(text, c.end(), end)), start), end))
         spans = sorted(given + [s for s in spans if not any(s[0] < g[1] and g[0] < s[1] for g in given)])
     out = []
     for start, end in spans:
@@ -118,7 +147,12 @@ def _scanned(model: forest.Forest, file: str):
                 part = whole.slice(begin, 500)
                 texts = part.column("text").to_pylist()
                 found = [(n, a, b) for n, t in enumerate(texts) for a, b in candidates(t or "")]
-                share = model.predict(np.array([features(texts[n], a, b, words) for n, a, b in found], dtype=np.float64))
+                judged = [(k, p) for k, (n, a, b) in enumerate(found) for p in parts(texts[n], a, b)]
+                share = np.zeros(len(found))  # the highest of a candidate's parts
+                for start in range(0, len(judged), PARTS):
+                    some = judged[start:start + PARTS]
+                    rows = [features(texts[found[k][0]], *found[k][1:], words, p) for k, p in some]
+                    np.maximum.at(share, [k for k, _ in some], model.predict(np.array(rows, dtype=np.float64)))
                 spans: list[list[dict]] = [[] for _ in texts]
                 for (n, a, b), p in zip(found, share.tolist()):
                     spans[n].append({"start": a, "length": b - a, "probability": p, "secret": p >= IS_SECRET})
@@ -141,6 +175,7 @@ def _scanned(model: forest.Forest, file: str):
 def scan(df: DataFrame, text_column: str, dictionary_file: str) -> DataFrame:
     """Add ``findings`` (start, length, probability, secret; in code points) and ``clean``, the text without secrets.
 
+    A candidate of any length is judged as a whole or by parts that cover it; the highest share counts for all of it.
     A missing text has no findings and stays missing.  Repeated rows are scanned alike, an empty table stays
     empty, other columns pass; a column of one of the new names raises.
     """
