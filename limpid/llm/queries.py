@@ -14,7 +14,7 @@ from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import COUNTS, fit_rules, judge
 from limpid.llm.secret_scan import scan
-from limpid.llm.sharding import block_of, reshard
+from limpid.llm.sharding import block_of, number_slots, plan_blocks, rewrite_affected, write_shards
 from limpid.llm.tables import Scratch, table
 from limpid.llm.token_counts import CountCache, token_counts
 
@@ -67,15 +67,23 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From an uneven layout (old shard by source) to eight shards of near equal bytes."""
-    text = F.col("text")
-    rows = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("source"), F.lit(8)).cast("int").alias("old_shard"))
-    rows = rows.withColumn("block", block_of(F.col("doc_id"), F.col("text_crc32")))
-    placed = reshard(Scratch(spark).keep(rows, "sizes"), "size", "old_shard", "block", 8)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    """From an uneven layout (old shard by source) to eight shards of near equal bytes, texts and all.
+
+    The old layout is written, its affected shards are rewritten, and the rows are read from the new files.
+    """
+    text, scratch = F.col("text"), Scratch(spark)
+    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    block = block_of(F.col("doc_id"), crc)
+    numbers = ["doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), crc.alias("text_crc32")]
+    first = table(spark, sf_dir, "documents").withColumn("shard", F.pmod(F.xxhash64("source"), F.lit(8)).cast("int"))
+    write_shards(first, scratch.path("old-shards"))
+    old = spark.read.schema(first.schema).parquet(scratch.path("old-shards"))
+    plan = plan_blocks(old.select(*numbers, F.col("shard").alias("old_shard"), block.alias("block")),
+                       "size", "old_shard", "block", 8)
+    new = rewrite_affected(old, plan, block, scratch.path("new-shards")).select(
+        *numbers, "old_shard", block.alias("block"), F.col("shard").alias("folder"))
+    placed = number_slots(new, plan, "old_shard", "block")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("folder").alias("shard"), "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

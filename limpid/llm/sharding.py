@@ -3,7 +3,7 @@
 Rows belong to blocks by a hash; only block sizes (a bounded table) reach the driver.  The flow network runs
 from old shards through new shards to their capacities, a byte that changes its shard costs one.  The flow
 says how many bytes go from each old to each new shard, and whole blocks are chosen to make them up.  Only
-moved blocks' rows are rewritten.
+shards that lose or get rows are rewritten.
 """
 
 from __future__ import annotations
@@ -101,20 +101,13 @@ def block_of(*columns: Column, blocks: int = BLOCKS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(blocks)).cast("int")
 
 
-def reshard(rows: DataFrame, size_column: str, old_column: str, block_column: str, shards: int) -> DataFrame:
-    """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard) to rows with an old shard and a block.
+def plan_blocks(rows: DataFrame, size_column: str, old_column: str, block_column: str, shards: int) -> DataFrame:
+    """``_old``, ``_block``, ``shard`` and ``_before`` (the rows of the shard's blocks before) of every block.
 
-    Slots follow the block and then all other columns, numbered inside the blocks and shifted by the rows of the
-    blocks before, so no task sorts a shard.  Rows that repeat get slots of their own.  An empty table stays
-    empty; a missing size counts as 0, a missing old shard or block is not allowed and raises.
+    A missing size counts as 0; a missing old shard or block raises.  At most shards x blocks rows of 20 bytes.
     """
-    spark = rows.sparkSession
-    taken = {"shard", "slot"} & set(rows.columns)
-    if taken:
-        raise ValueError(f"columns are there already: {sorted(taken)}")
-    key = [old_column, block_column]
-    found = rows.groupBy(*key).agg(F.sum(F.coalesce(F.col(size_column), F.lit(0))).alias("size"),
-                                   F.count(F.lit(1)).alias("rows")).collect()
+    found = rows.groupBy(old_column, block_column).agg(F.sum(F.coalesce(F.col(size_column), F.lit(0))).alias("size"),
+                                                       F.count(F.lit(1)).alias("rows")).collect()
     if any(r[0] is None or r[1] is None for r in found):
         raise ValueError("a row has no old shard or no block")
     plan = choose_blocks({(r[0], r[1]): int(r["size"]) for r in found}, shards)
@@ -123,13 +116,33 @@ def reshard(rows: DataFrame, size_column: str, old_column: str, block_column: st
     for (old, block), new in sorted(plan.items()):
         before.append((old, block, new, next_slot[new]))
         next_slot[new] += counts[old, block]
-    # at most shards x blocks rows of 20 bytes
-    table = F.broadcast(spark.createDataFrame(before, "_old int, _block int, shard int, _before long"))
+    return rows.sparkSession.createDataFrame(before, "_old int, _block int, shard int, _before long")
+
+
+def _planned(rows: DataFrame, plan: DataFrame, old_column: str, block_column: str) -> DataFrame:
+    """Every row with the plan of its block, which is all that says where the row goes."""
+    return rows.join(F.broadcast(plan), (F.col(old_column) == F.col("_old")) & (F.col(block_column) == F.col("_block")))
+
+
+def number_slots(rows: DataFrame, plan: DataFrame, old_column: str, block_column: str) -> DataFrame:
+    """Add ``slot`` (long, gapless from 0 in each shard); rows of a block are numbered by all their columns."""
     order = [F.col(c) for c in rows.columns]
-    numbered = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
-    return (numbered.join(table, (F.col(old_column) == F.col("_old")) & (F.col(block_column) == F.col("_block")))
-            .withColumn("slot", F.col("_before") + F.col("_place") - 1)
-            .drop("_old", "_block", "_before", "_place"))
+    place = F.row_number().over(Window.partitionBy(old_column, block_column).orderBy(*order))
+    return (_planned(rows.withColumn("_place", place), plan, old_column, block_column)
+            .withColumn("slot", F.col("_before") + F.col("_place") - 1).drop("_old", "_block", "_before", "_place"))
+
+
+def reshard(rows: DataFrame, size_column: str, old_column: str, block_column: str, shards: int) -> DataFrame:
+    """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard) to rows with an old shard and a block.
+
+    Slots follow the block and then all other columns, numbered inside the blocks and shifted by the rows of the
+    blocks before, so no task sorts a shard.  Rows that repeat get slots of their own.  An empty table stays
+    empty; a missing size counts as 0, a missing old shard or block is not allowed and raises.
+    """
+    taken = {"shard", "slot"} & set(rows.columns)
+    if taken:
+        raise ValueError(f"columns are there already: {sorted(taken)}")
+    return number_slots(rows, plan_blocks(rows, size_column, old_column, block_column, shards), old_column, block_column)
 
 
 def write_shards(rows: DataFrame, path: str) -> None:
@@ -137,14 +150,20 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.write.partitionBy("shard").parquet(path)
 
 
-def rewrite_affected(spark: SparkSession, path: str, plan: DataFrame, key: list[str], shards: int, out: str) -> None:
-    """Write the new layout beside the old one: a shard whose rows all stay is not read or written.
+def rewrite_affected(old: DataFrame, plan: DataFrame, block: Column, out: str) -> DataFrame:
+    """Write the new layout beside the old one and read it; a shard whose rows all stay is not written.
 
-    ``plan`` has the key columns, ``old_shard`` and ``shard``.  The new folders are ``out/shard=n``; unaffected
-    shards keep their old folders, which ``affected`` does not list.
+    ``old`` is the first layout read back, ``plan`` that of its blocks, ``block`` the block of a row of ``old``.  A row
+    goes where its block goes, so rows with missing or repeated keys stay as they are.  New folders are
+    ``out/shard=n``; unaffected shards keep their old ones.  The result has the rows of both, with ``old_shard``.
     """
-    moved = plan.where("old_shard <> shard")
-    touched = sorted({r[0] for r in moved.select(F.explode(F.array("old_shard", "shard"))).distinct().collect()})
-    old = spark.read.parquet(path).withColumnRenamed("shard", "old_shard").where(F.col("old_shard").isin(touched))
-    new = old.join(plan.where(F.col("old_shard").isin(touched)).select(*key, "old_shard", "shard"), [*key, "old_shard"])
-    new.drop("old_shard").write.partitionBy("shard").parquet(out)
+    moved = plan.where("_old <> shard").select(F.explode(F.array("_old", "shard"))).distinct().collect()
+    touched = F.col("shard").isin([r[0] for r in moved])
+    was = old.withColumn("old_shard", F.col("shard").cast("int"))
+    kept = was.where(~touched)
+    if not moved:
+        return kept
+    rows = was.where(touched).withColumn("_own", block).drop("shard")
+    new = _planned(rows, plan, "old_shard", "_own").drop("_own", "_old", "_block", "_before")
+    new.write.partitionBy("shard").parquet(out)
+    return kept.unionByName(old.sparkSession.read.schema(new.schema).parquet(out))

@@ -11,7 +11,8 @@ import corpus_pipeline
 from limpid.llm.dart_minhash import near_duplicates, shingles, signatures, similarity, word_codes
 from limpid.llm.embedding_neighbours import near_vectors
 from limpid.llm.linking import components
-from limpid.llm.sharding import block_of, choose_blocks, min_cost_flow, reshard
+from limpid.llm.queries import op9_sharding
+from limpid.llm.sharding import block_of, choose_blocks, min_cost_flow, plan_blocks, reshard, rewrite_affected, write_shards
 from limpid.llm.tables import Scratch
 
 
@@ -137,6 +138,38 @@ def test_reshard(spark):
         reshard(rows.withColumn("slot", F.lit(1)), "size", "old", "block", 8)
 
 
+def test_rewriting_shards_keeps_every_row(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 900).alias("k"), F.repeat(F.lit("t"), F.col("id").cast("int") % 5).alias("text"),
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 5).cast("int").alias("shard"))
+    rows = rows.union(rows.limit(50))
+    write_shards(rows, f"{tmp_path}/old")
+    old = spark.read.schema(rows.schema).parquet(f"{tmp_path}/old")
+    block, size = block_of(F.col("k"), F.col("text"), blocks=64), (F.length("text") + 1).alias("size")
+    plan = plan_blocks(old.select(size, "shard", block.alias("block")), "size", "shard", "block", 5)
+    new = rewrite_affected(old, plan, block, f"{tmp_path}/new")
+    out = [(r.k, r.text, r.old_shard) for r in new.collect()]
+    assert sorted(out, key=repr) == sorted(map(tuple, rows.collect()), key=repr) and any(r.k is None for r in new.collect())
+    sizes = [r["sum(size)"] for r in new.select("shard", size).groupBy("shard").sum("size").collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) < 0.2 * max(sizes)
+    still = plan_blocks(old.where("shard < 0").select(size, "shard", block.alias("block")), "size", "shard", "block", 5)
+    assert rewrite_affected(old.where("shard < 0"), still, block, f"{tmp_path}/none").count() == 0
+
+
+def test_sharding_query_reads_the_new_files(spark):
+    sf = "/root/testdata/sf0.001"
+    out = op9_sharding(spark, sf)
+    assert any("new-shards" in f for f in out.inputFiles())
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = docs.selectExpr("doc_id", "crc32(cast(coalesce(text, '') as binary)) AS c")
+    assert sorted((r.doc_id, r.text_crc32) for r in out.collect()) == sorted((r.doc_id, r.c) for r in want.collect())
+    slots = {}
+    for r in out.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_stages_keep_columns_and_clean_documents(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
