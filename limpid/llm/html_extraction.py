@@ -46,6 +46,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]{2,}")
+DIGIT = re.compile(r"[0-9]")
 
 
 class Block:
@@ -185,7 +186,7 @@ class Features:
         words = text.count(" ") + 1
         share = min(1.0, block.linked / n)
         return [1.0, min(words, 60) / 60, words < 3, words < 8, words > 20, share, share > 0.5, share > 0.9,
-                text[-1] in ".!?…\"”:", text.count(",") / words, any(map(str.isdigit, text[:200])),
+                text[-1] in ".!?…\"”:", text.count(",") / words, bool(DIGIT.search(text)) or not text.isascii() and any(map(str.isdigit, text)),
                 "©" in text or "copyright" in text.lower()]
 
     def matrix(self, page: list[Block]) -> np.ndarray:

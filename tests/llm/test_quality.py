@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from limpid.llm import crf, forest, line_quality
-from limpid.llm.html_extraction import Extractor, blocks, extract, trained
+from limpid.llm.html_extraction import Extractor, Features, blocks, extract, trained
 from limpid.llm.labelled_findings import findings
 from limpid.llm.labelled_pages import Page
 from limpid.llm.quality_rules import BASE_FAILED, fit_rules, judge, text_statistics
@@ -129,6 +129,11 @@ def test_only_unseen_text_is_left_out(page, texts):
     assert [b.text for b in blocks(page)] == texts
 
 
+def test_digits_count_anywhere_in_a_block():
+    plain, late = (blocks("<p>" + "word " * 100 + end)[0] for end in ("end", "end 7"))
+    assert [k for k, (a, b) in enumerate(zip(Features.shape(plain), Features.shape(late))) if a is False and b is True] == [10]
+
+
 def test_secrets(spark):
     words = dictionary(VOCABULARY)
     rows, held = findings(1500), findings(400, seed=77)
