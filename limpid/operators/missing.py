@@ -15,7 +15,7 @@ from limpid.functions.columns import (
 )
 from limpid.plans.fitting import fitted
 from limpid.plans.frequencies import most_frequent
-from limpid.plans.ordering import Ordered, order_value, running
+from limpid.plans.ordering import Ordered, Segmented, order_value, running
 from limpid.plans.quantiles import exact_quantiles
 
 Columns = str | Sequence[str] | None
@@ -151,20 +151,31 @@ def fill_missing_statistic(df: DataFrame, strategy: str = "mean", columns: Colum
 
 
 def fill_missing_ffill(df: DataFrame, columns: Columns = None, *, order_by: Columns = None,
-                       buckets: int | None = None) -> DataFrame:
-    """Copy the last known value forward in ``order_by`` order; leading gaps stay."""
-    return _carried(df, resolve(df, columns), order_by, buckets, forward=True)
+                       partition_by: Columns = None, buckets: int | None = None) -> DataFrame:
+    """Copy the last known value forward in ``order_by`` order; leading gaps stay.
+
+    With ``partition_by`` nothing is carried from one series to another; rows whose series is missing are one
+    series, and the columns that name the series are not filled.
+    """
+    return _carried(df, _fillable(df, columns, partition_by), order_by, partition_by, buckets, forward=True)
 
 
 def fill_missing_bfill(df: DataFrame, columns: Columns = None, *, order_by: Columns = None,
-                       buckets: int | None = None) -> DataFrame:
-    """Copy the next known value backward in ``order_by`` order; trailing gaps stay."""
-    return _carried(df, resolve(df, columns), order_by, buckets, forward=False)
+                       partition_by: Columns = None, buckets: int | None = None) -> DataFrame:
+    """Copy the next known value backward in ``order_by`` order; trailing gaps stay.  Series as in forward fill."""
+    return _carried(df, _fillable(df, columns, partition_by), order_by, partition_by, buckets, forward=False)
+
+
+def _fillable(df: DataFrame, columns: Columns, partition_by: Columns, *, numeric: bool = False) -> list[str]:
+    series = require(df, partition_by) if partition_by else []
+    return [n for n in resolve(df, columns, numeric=numeric) if n not in series]
 
 
-def _carried(df, names, order_by, buckets, *, forward: bool) -> DataFrame:
+def _carried(df, names, order_by, partition_by, buckets, *, forward: bool) -> DataFrame:
     if not names:
         return df
+    if partition_by:
+        return _carried_in_series(df, names, Segmented(df, partition_by, order_by, buckets), forward=forward)
     o = Ordered(df, order_by, buckets)
     key = order_value(o.keys)
     edge = F.max_by if forward else F.min_by
@@ -183,18 +194,35 @@ def _carried(df, names, order_by, buckets, *, forward: bool) -> DataFrame:
         *[col(n) for n in df.columns])
 
 
-def interpolate_missing(df: DataFrame, columns: Columns = None, method: str = "linear", *,
-                        order_by: Columns = None, buckets: int | None = None) -> DataFrame:
+def _carried_in_series(df: DataFrame, names: list[str], s: Segmented, *, forward: bool) -> DataFrame:
+    key = order_value(s.keys)
+    edge = F.max_by if forward else F.min_by
+    edges = {n: f"e{i}" for i, n in enumerate(names)}
+    segments = s.segments(s.ordered.df, *[
+        edge(present(df, n), F.when(~is_missing(df, n), key)).alias(e) for n, e in edges.items()])
+    carries = {e: fresh_name(df, f"carry_{e}") for e in edges.values()}
+    within = s.rows if forward else s.rows_descending
+    filled = s.placed.withColumns({n: F.last(present(df, n), ignorenulls=True).over(running(within)) for n in names})
+    placed = s.attach(filled, s.across(segments, last=list(carries), forward=forward), carries)
+    return placed.withColumns({n: F.coalesce(col(n), col(carries[e])) for n, e in edges.items()}).select(
+        *[col(n) for n in df.columns])
+
+
+def interpolate_missing(df: DataFrame, columns: Columns = None, method: str = "linear", *, order_by: Columns = None,
+                        partition_by: Columns = None, buckets: int | None = None) -> DataFrame:
     """Estimate numeric gaps from the known values around them, by row position.
 
     ``linear`` leaves leading gaps and repeats the last value into trailing ones;
     ``nearest`` takes the closer neighbour (the earlier on a tie) and leaves both.
+    With ``partition_by`` positions and neighbours are those of the row's own series.
     """
     if method not in ("linear", "nearest"):
         raise ValueError("method must be 'linear' or 'nearest'")
-    names = resolve(df, columns, numeric=True)
+    names = _fillable(df, columns, partition_by, numeric=True)
     if not names:
         return df
+    if partition_by:
+        return _interpolated_in_series(df, names, method, Segmented(df, partition_by, order_by, buckets))
     o = Ordered(df, order_by, buckets)
     rank, offset = fresh_name(df, "rank"), fresh_name(df, "offset")
     numbered = o.placed.withColumn(rank, F.row_number().over(o.rows).cast("long"))
@@ -234,33 +262,64 @@ def interpolate_missing(df: DataFrame, columns: Columns = None, method: str = "l
     at = col(rank) + col(offset)
     out = {}
     for n in names:
-        a, b = globally(prev[n]), globally(nxt[n])
-        if method == "linear":
-            slope = (b["value"] - a["value"]) / (b["at"] - a["at"])
-            guess = F.when(b.isNull(), a["value"]).otherwise(slope * (at - a["at"]) + a["value"])
-        else:
-            guess = F.when(a.isNotNull() & b.isNotNull(),
-                           F.when(at - a["at"] <= b["at"] - at, a["value"]).otherwise(b["value"]))
-        out[n] = F.when(~is_missing(df, n), col(n).cast("double")).when(a.isNotNull(), guess)
+        out[n] = _estimate(df, n, method, at, globally(prev[n]), globally(nxt[n]))
     return placed.withColumns(out).select(*[col(n) for n in df.columns])
 
 
+def _estimate(df: DataFrame, n: str, method: str, at: Column, a: Column, b: Column) -> Column:
+    """The cell, or what the known neighbours ``a`` and ``b`` (position, value) make of its position."""
+    if method == "linear":
+        slope = (b["value"] - a["value"]) / (b["at"] - a["at"])
+        guess = F.when(b.isNull(), a["value"]).otherwise(slope * (at - a["at"]) + a["value"])
+    else:
+        guess = F.when(a.isNotNull() & b.isNotNull(),
+                       F.when(at - a["at"] <= b["at"] - at, a["value"]).otherwise(b["value"]))
+    return F.when(~is_missing(df, n), col(n).cast("double")).when(a.isNotNull(), guess)
+
+
+def _interpolated_in_series(df: DataFrame, names: list[str], method: str, s: Segmented) -> DataFrame:
+    rank, offset = fresh_name(df, "rank"), fresh_name(df, "offset")
+    numbered = s.placed.withColumn(rank, F.row_number().over(s.rows).cast("long"))
+
+    def known(n: str, at: Column) -> Column:
+        return F.when(~is_missing(df, n), F.struct(at.alias("at"), col(n).cast("double").alias("value")))
+
+    # first the rows of a series in the buckets before: they make places in a segment places in the series
+    before = s.across(s.segments(s.ordered.df, F.count("*").alias("rows")), total=["rows"])
+    placed = s.attach(numbered, before, {"rows": offset}).withColumn(rank, col(rank) + F.coalesce(col(offset), F.lit(0)))
+    firsts, lasts = ({n: f"{side}{i}" for i, n in enumerate(names)} for side in ("first", "last"))
+    segments = s.segments(placed, *[F.min(known(n, col(rank))).alias(e) for n, e in firsts.items()],
+                          *[F.max(known(n, col(rank))).alias(e) for n, e in lasts.items()])
+    carries = {e: fresh_name(df, f"carry_{e}") for e in (*firsts.values(), *lasts.values())}
+    near = {e: fresh_name(df, f"near_{e}") for e in carries}
+    up, down = running(s.rows), running(s.rows_descending)
+    placed = placed.withColumns({near[e]: F.last(known(n, col(rank)), ignorenulls=True).over(up) for n, e in lasts.items()})
+    placed = placed.withColumns({near[e]: F.last(known(n, col(rank)), ignorenulls=True).over(down) for n, e in firsts.items()})
+    placed = s.attach(placed, s.across(segments, last=list(lasts.values())), {e: carries[e] for e in lasts.values()})
+    placed = s.attach(placed, s.across(segments, last=list(firsts.values()), forward=False),
+                      {e: carries[e] for e in firsts.values()})
+    return placed.withColumns({
+        n: _estimate(df, n, method, col(rank), *(F.coalesce(col(near[e]), col(carries[e])) for e in (lasts[n], firsts[n])))
+        for n in names}).select(*[col(n) for n in df.columns])
+
+
 def impute(df: DataFrame, strategy: str, columns: Columns = None, *, value: object = None,
-           order_by: Columns = None) -> DataFrame:
+           order_by: Columns = None, partition_by: Columns = None) -> DataFrame:
     """One entry point for the missing-value strategies offered to users.
 
-    ``drop`` looks at whole rows whatever the selection.
+    ``drop`` looks at whole rows whatever the selection; ``partition_by`` counts for the three strategies that
+    depend on row order.
     """
     if strategy == "drop":
         return drop_missing(df)
     if strategy in ("mean", "median", "mode"):
         return fill_missing_statistic(df, strategy, columns)
     if strategy == "ffill":
-        return fill_missing_ffill(df, columns, order_by=order_by)
+        return fill_missing_ffill(df, columns, order_by=order_by, partition_by=partition_by)
     if strategy == "bfill":
-        return fill_missing_bfill(df, columns, order_by=order_by)
+        return fill_missing_bfill(df, columns, order_by=order_by, partition_by=partition_by)
     if strategy == "interpolate":
-        return interpolate_missing(df, columns, order_by=order_by)
+        return interpolate_missing(df, columns, order_by=order_by, partition_by=partition_by)
     if strategy == "custom":
         return fill_missing_constant(df, value, columns)
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -164,3 +164,83 @@ def with_position(
     numbered = o.placed.withColumn(name, F.row_number().over(o.rows).cast("long"))
     placed = o.attach(numbered, offsets, offset)
     return placed.withColumn(name, col(name) + col(offset)).drop(o.bucket, offset)
+
+
+class Segmented:
+    """Rows ordered inside series; a large series is spread over as many buckets as its rows fill.
+
+    Buckets cut the common order of (series, order key), so their sizes don't depend on the sizes of the series.
+    The rows of one series in one bucket are a segment.  Only a bucket's first series can reach into earlier
+    buckets and only its last one into later ones, so one row per bucket says all that crosses, whatever the
+    number of series.  Rows whose series is missing are a series of their own.
+    """
+
+    def __init__(self, df: DataFrame, partition_by: str | Sequence[str], order_by: str | Sequence[str] | None,
+                 buckets: int | None = None):
+        self.series, self.keys = require(df, partition_by), order_columns(df, order_by)
+        self.ordered = Ordered(df, [*self.series, *(k for k in self.keys if k not in self.series)], buckets)
+        self.bucket, self.single = self.ordered.bucket, self.ordered.single
+        self.placed = self.ordered.placed
+
+    @property
+    def rows(self) -> WindowSpec:
+        """Rows of one segment in key order."""
+        return self._segment().orderBy(*[col(k).asc_nulls_first() for k in self.keys])
+
+    @property
+    def rows_descending(self) -> WindowSpec:
+        """Rows of one segment in reverse key order."""
+        return self._segment().orderBy(*[col(k).desc_nulls_last() for k in self.keys])
+
+    def _segment(self):
+        return Window.partitionBy(self.bucket, *[col(k) for k in self.series])
+
+    def _series(self) -> Column:
+        return F.struct(*[col(k).alias(f"s{i}") for i, k in enumerate(self.series)])
+
+    def segments(self, df: DataFrame, *aggregates: Column) -> DataFrame:
+        """One row per segment."""
+        return df.groupBy(self.bucket, *[col(k) for k in self.series]).agg(*aggregates)
+
+    def across(self, segments: DataFrame, *, last: Sequence[str] = (), total: Sequence[str] = (),
+               forward: bool = True) -> DataFrame:
+        """One row per bucket (at most MAX_BUCKETS): what its first series brings along from earlier buckets.
+
+        ``last`` names columns whose nearest known value is carried, ``total`` columns that are summed up.
+        Backwards it is the last series and what comes from later buckets.
+        """
+        series, given = self._series(), F.struct(*[F.col(n) for n in (*last, *total)])
+        first, final = (F.min, F.max_by) if forward else (F.max, F.min_by)
+        other = F.max if forward else F.min
+        ends = segments.groupBy(self.bucket).agg(
+            first(series).alias("asks"), other(series).alias("gives"), final(given, series).alias("given"))
+        gives = ends.select(self.bucket, F.col("gives").alias("series"), "given", F.lit(1).alias("turn"))
+        asks = ends.select(self.bucket, F.col("asks").alias("series"),
+                           F.lit(None).cast(ends.schema["given"].dataType).alias("given"), F.lit(0).alias("turn"))
+        by_bucket = F.col(self.bucket).asc() if forward else F.col(self.bucket).desc()
+        seen = running(Window.partitionBy("series").orderBy(by_bucket, "turn"))
+        return gives.unionByName(asks).select(
+            self.bucket, "series", "turn",
+            *[F.last(F.col("given")[n], ignorenulls=True).over(seen).alias(n) for n in last],
+            *[F.sum(F.coalesce(F.col("given")[n], F.lit(0))).over(seen).alias(n) for n in total],
+        ).where("turn = 0").drop("turn")
+
+    def attach(self, df: DataFrame, carried: DataFrame, names: dict[str, str]) -> DataFrame:
+        """Add the columns ``names`` (carried name: new name); rows that nothing is carried to get NULL."""
+        if self.single:
+            return df.withColumns({new: F.lit(None).cast(carried.schema[old].dataType) for old, new in names.items()})
+        table = carried.select(F.col(self.bucket).alias("__at"), F.col("series").alias("__series"),
+                               *[F.col(old).alias(new) for old, new in names.items()])
+        same = (col(self.bucket) == F.col("__at")) & self._series().eqNullSafe(F.col("__series"))
+        return df.join(F.broadcast(table), same, "left").drop("__at", "__series")
+
+
+def with_series_position(df: DataFrame, partition_by: str | Sequence[str], order_by: str | Sequence[str], name: str, *,
+                         buckets: int | None = None) -> DataFrame:
+    """Add the 1-based position of a row inside its series, in key order, as a long."""
+    s = Segmented(df, partition_by, order_by, buckets)
+    carried = s.across(s.segments(s.ordered.df, F.count("*").alias("n")), total=["n"])
+    offset = fresh_name(df, "offset")
+    numbered = s.placed.withColumn(name, F.row_number().over(s.rows).cast("long"))
+    placed = s.attach(numbered, carried, {"n": offset})
+    return placed.withColumn(name, col(name) + F.coalesce(col(offset), F.lit(0))).drop(s.bucket, offset)

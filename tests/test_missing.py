@@ -131,3 +131,69 @@ def test_impute_dispatch(spark):
     assert lp.impute(df, "custom", "s", value="?").where("s = '?'").count() == pdf.s.isna().sum()
     with pytest.raises(ValueError):
         lp.impute(df, "guess")
+
+
+def series_frame(n=900):
+    """A third of all rows in one series, many small series, missing series, gaps longer than a bucket."""
+    rng = np.random.default_rng(5)
+    pdf = frame(5, n, 0.5)
+    pdf["s"] = [None if u < 0.1 else "hot" if u < 0.45 else f"u{int(u * 200)}" for u in rng.random(n)]
+    pdf.loc[(pdf["s"] == "hot") & (pdf["id"] > 900) & (pdf["id"] < 1900), ["a", "b"]] = np.nan
+    return pdf
+
+
+@pytest.mark.parametrize("buckets", [1, 13])
+def test_series_are_filled_on_their_own(spark, buckets):
+    pdf = series_frame()
+    df = spark_of(spark, pdf)
+    by_series = pdf.sort_values("id").groupby("s", dropna=False)[["a", "b"]]
+    for fill, want in ((lp.fill_missing_ffill, by_series.ffill()), (lp.fill_missing_bfill, by_series.bfill())):
+        got = fill(df, order_by="id", partition_by="s", buckets=buckets)
+        assert_same_rows(got, pdf.assign(a=want["a"], b=want["b"]), "id")
+    for method in ("linear", "nearest"):
+        got = lp.interpolate_missing(df, method=method, order_by="id", partition_by="s", buckets=buckets)
+        kept = {r.id: (r.a, r.b) for r in got.collect()}
+        for _, part in pdf.sort_values("id").groupby("s", dropna=False):
+            for n, c in enumerate(("a", "b")):
+                want = _interpolated(part[c].tolist(), method)
+                have = [kept[i][n] for i in part["id"]]
+                assert all((w is None) == (h is None) and (w is None or abs(w - h) < 1e-9) for w, h in zip(want, have))
+
+
+def _interpolated(values, method):
+    known = [i for i, v in enumerate(values) if not np.isnan(v)]
+    out = []
+    for i, v in enumerate(values):
+        a, b = max((k for k in known if k <= i), default=None), min((k for k in known if k >= i), default=None)
+        if not np.isnan(v):
+            out.append(v)
+        elif a is None or b is None:
+            out.append(values[a] if a is not None and method == "linear" else None)
+        elif method == "linear":
+            out.append(values[a] + (values[b] - values[a]) / (b - a) * (i - a))
+        else:
+            out.append(values[a] if i - a <= b - i else values[b])
+    return out
+
+
+def test_series_by_two_columns_and_edges(spark):
+    df = spark.createDataFrame([(1, "a", 1, 5.0), (2, "a", 1, None), (3, "a", 2, None), (4, None, 2, None), (5, None, 2, 7.0),
+                                (6, None, None, None)], "id long, s string, t long, v double")
+    got = lp.fill_missing_ffill(df, order_by="id", partition_by=["s", "t"], buckets=3).collect()
+    assert {r.id: r.v for r in got} == {1: 5.0, 2: 5.0, 3: None, 4: None, 5: 7.0, 6: None}
+    assert {r.id: r.t for r in got}[6] is None
+    assert lp.fill_missing_bfill(df.where("false"), order_by="id", partition_by="s").count() == 0
+    with pytest.raises(ValueError):
+        lp.fill_missing_ffill(df, partition_by="s")
+
+
+def test_a_hot_series_spans_many_buckets(spark):
+    from limpid.plans.ordering import Segmented, with_series_position
+
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 'hot' ELSE cast(id AS string) END AS s")
+    parts = Segmented(df, "s", "id", 16)
+    spread = parts.ordered.df.where("s = 'hot'").groupBy(parts.bucket).count().collect()
+    assert len(spread) > 8 and max(r["count"] for r in spread) < 600
+    placed = with_series_position(df, "s", "id", "at", buckets=16)
+    want = {i: (i // 3 * 2 + i % 3 if i % 3 else 1) for i in range(3000)}
+    assert {r.id: r.at for r in placed.collect()} == want

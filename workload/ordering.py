@@ -52,6 +52,19 @@ def _interpolate(method):
     return run
 
 
+def _by_user(fill):
+    return lambda spark, sf: fill(gappy_events(spark, sf), "value", order_by="event_id", partition_by="user_id")
+
+
+def _by_user_sql(frame):
+    inside = frame.format(c="value").replace("(ORDER BY", "(PARTITION BY user_id ORDER BY")
+    return GAPPY + f"SELECT event_id, user_id, event_type, {inside} AS value FROM gappy"
+
+
+def interpolate_by_user(spark, sf):
+    return _by_user(lp.interpolate_missing)(spark, sf).withColumn("value", F.round("value", 8))
+
+
 def _rank_sql(direction):
     # average rank on ties: the smallest rank of the tie and half of the others
     return (DIRTY + f"SELECT {ALL}, CASE WHEN o_custkey IS NOT NULL THEN rank() OVER (PARTITION BY o_custkey IS NULL "
@@ -75,6 +88,11 @@ QUERIES = {
     "interpolate_linear": (
         _interpolate("linear"),
         _interpolated(LINEAR)),
+    "ffill_by_user": (_by_user(lp.fill_missing_ffill), _by_user_sql(FORWARD)),
+    "bfill_by_user": (_by_user(lp.fill_missing_bfill), _by_user_sql(BACKWARD)),
+    "interpolate_by_user": (interpolate_by_user, _interpolated(LINEAR).replace(" OVER (ORDER BY event_id)", " OVER series")
+                            .replace("(ORDER BY p ROWS", "(PARTITION BY user_id ORDER BY p ROWS")
+                            .replace("AS p FROM gappy)", "AS p FROM gappy WINDOW series AS (PARTITION BY user_id ORDER BY event_id))")),
     "impute_ffill": (_impute("ffill", ["user_id", "value"]), _carry_sql(FORWARD)),
     "impute_bfill": (_impute("bfill", ["user_id", "value"]), _carry_sql(BACKWARD)),
     "impute_interpolate": (_impute("interpolate", "value"), _interpolated(LINEAR)),
