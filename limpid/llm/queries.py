@@ -6,10 +6,11 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limpid.llm import line_quality
+from limpid.llm import line_quality, merkle, oracles
 from limpid.llm.byte_bpe import round_trip
 from limpid.llm.dart_minhash import near_duplicates
 from limpid.llm.embedding_neighbours import near_vectors
+from limpid.llm.fill_in_middle import fill_in_middle, restored
 from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import COUNTS, fit_rules, judge
@@ -93,6 +94,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents, "text", rules).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf, proof and roots, and the root that its leaf leads to, a third of the leaves tampered with."""
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(chosen, merkle.leaf_digest(*columns, lowered))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "lang", merkle.leaf_digest(*columns, F.col("text")),
+                           Scratch(spark), {"tampered": tampered}).rows
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_secret_scan": (op2_secret_scan, None),
@@ -104,4 +124,6 @@ QUERIES = {
     "op8_minhash_near_dedup": (op8_minhash_near_dedup, None),
     "op9_sharding": (op9_sharding, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op12_fill_in_middle": (op12_fill_in_middle, oracles.FILL_IN_MIDDLE),
+    "op13_merkle_manifest": (op13_merkle_manifest, oracles.MERKLE),
 }

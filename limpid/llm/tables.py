@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,10 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def aside(name: str, taken: Iterable[str]) -> str:
+    """The name under which a caller's column goes on: its own, with ``_in`` behind it where a result has it."""
+    while name in taken:
+        name += "_in"
+    return name
