@@ -6,7 +6,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limpid.llm import line_quality, merkle, oracles
+from limpid.llm import language_codes, line_quality, merkle, oracles
 from limpid.llm.byte_bpe import round_trip
 from limpid.llm.dart_minhash import near_duplicates
 from limpid.llm.embedding_neighbours import near_vectors
@@ -15,7 +15,7 @@ from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import COUNTS, fit_rules, judge
 from limpid.llm.secret_scan import scan
-from limpid.llm.sharding import block_of, number_slots, plan_blocks, rewrite_affected, write_shards
+from limpid.llm.sharding import plan_blocks, read_shards, rewrite_affected, write_shards
 from limpid.llm.tables import Scratch, table
 from limpid.llm.token_counts import CountCache, token_counts
 
@@ -73,19 +73,15 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     The old layout is written, its affected shards are rewritten, and the rows are read from the new files.
     """
     text, scratch = F.col("text"), Scratch(spark)
-    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
-    block = block_of(F.col("doc_id"), crc)
-    numbers = ["doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), crc.alias("text_crc32")]
+    size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size")
+    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32")
     first = table(spark, sf_dir, "documents").withColumn("shard", F.pmod(F.xxhash64("source"), F.lit(8)).cast("int"))
     write_shards(first, scratch.path("old-shards"))
-    old = spark.read.schema(first.schema).parquet(scratch.path("old-shards"))
-    plan = plan_blocks(old.select(*numbers, F.col("shard").alias("old_shard"), block.alias("block")),
-                       "size", "old_shard", "block", 8)
-    new = rewrite_affected(old, plan, block, scratch.path("new-shards")).select(
-        *numbers, "old_shard", block.alias("block"), F.col("shard").alias("folder"))
-    placed = number_slots(new, plan, "old_shard", "block")
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("folder").alias("shard"), "slot",
-                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    old = read_shards(spark, scratch.path("old-shards"), first.schema)
+    plan = plan_blocks(old.select(size, "shard", "_own"), "size", "shard", "_own", 8)
+    new = rewrite_affected(old, plan, scratch.path("new-shards"))
+    return new.select("doc_id", size, crc, F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +90,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents, "text", rules).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
 
 
+def op11_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    codes = language_codes.fit(documents, "text", "lang", ~held_out)
+    return language_codes.identify(documents.select("doc_id", "text"), "text", codes).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -124,6 +128,7 @@ QUERIES = {
     "op8_minhash_near_dedup": (op8_minhash_near_dedup, None),
     "op9_sharding": (op9_sharding, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op11_language_codes": (op11_language_codes, None),
     "op12_fill_in_middle": (op12_fill_in_middle, oracles.FILL_IN_MIDDLE),
     "op13_merkle_manifest": (op13_merkle_manifest, oracles.MERKLE),
 }

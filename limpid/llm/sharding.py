@@ -12,6 +12,7 @@ from collections import deque
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Blocks of an old shard.  The plan has at most shards x blocks rows, at most about 2 MB.
 BLOCKS = 2048
@@ -150,20 +151,35 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.write.partitionBy("shard").parquet(path)
 
 
-def rewrite_affected(old: DataFrame, plan: DataFrame, block: Column, out: str) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, schema: StructType, blocks: int = BLOCKS) -> DataFrame:
+    """A written layout with ``_own``, the block of every row by its file and its place there.
+
+    Rows that repeat, even in a third of the table, so lie in all blocks of their shard.
+    """
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.select(*schema.names, block_of(F.col("_metadata.file_name"), F.col("_metadata.row_index"), blocks=blocks).alias("_own"))
+
+
+def rewrite_affected(old: DataFrame, plan: DataFrame, out: str) -> DataFrame:
     """Write the new layout beside the old one and read it; a shard whose rows all stay is not written.
 
-    ``old`` is the first layout read back, ``plan`` that of its blocks, ``block`` the block of a row of ``old``.  A row
-    goes where its block goes, so rows with missing or repeated keys stay as they are.  New folders are
-    ``out/shard=n``; unaffected shards keep their old ones.  The result has the rows of both, with ``old_shard``.
+    ``old`` is from :func:`read_shards`, ``plan`` that of its blocks.  A row goes where its block goes, so rows with
+    missing or repeated keys stay as they are.  New folders are ``out/shard=n``; unaffected shards keep their old
+    ones.  The result has the rows of both, with ``old_shard`` and ``slot`` (long, gapless from 0 in each shard): rows are
+    numbered by their files and their places there, so no task sorts or numbers a shard.
     """
     moved = plan.where("_old <> shard").select(F.explode(F.array("_old", "shard"))).distinct().collect()
     touched = F.col("shard").isin([r[0] for r in moved])
+    place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     was = old.withColumn("old_shard", F.col("shard").cast("int"))
-    kept = was.where(~touched)
-    if not moved:
-        return kept
-    rows = was.where(touched).withColumn("_own", block).drop("shard")
-    new = _planned(rows, plan, "old_shard", "_own").drop("_own", "_old", "_block", "_before")
-    new.write.partitionBy("shard").parquet(out)
-    return kept.unionByName(old.sparkSession.read.schema(new.schema).parquet(out))
+    placed = was.where(~touched).drop("_own").select("*", *place)
+    if moved:
+        rows = was.where(touched).drop("shard")
+        new = _planned(rows, plan, "old_shard", "_own").drop("_own", "_old", "_block", "_before")
+        new.write.partitionBy("shard").parquet(out)
+        placed = placed.unionByName(old.sparkSession.read.schema(new.schema).parquet(out).select("*", *place))
+    files = placed.groupBy("shard", "_file").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy("shard").orderBy("_file")) - F.col("_rows")
+    files = files.select("shard", "_file", before.alias("_before"))
+    return placed.join(files, ["shard", "_file"]).withColumn("slot", F.col("_before") + F.col("_row")).drop(
+        "_file", "_row", "_before")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Iterable
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +18,17 @@ class Scratch:
     """Tables under one folder of the shared storage that ``spark.checkpoint.dir`` names.
 
     A kept table is written once and read back, so later jobs neither repeat the work before it nor lose it
-    with an executor.  Only a session without that setting (a test) gets a temporary folder instead.
+    with an executor.  Without that setting the warehouse serves, which executors share too; a cluster whose
+    warehouse is a local folder is refused, as its executors would write to disks of their own.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="limpid-")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            shared = spark.conf.get("spark.sql.warehouse.dir")
+            if urlparse(shared).scheme in ("", "file") and not re.match(r"local($|\[)", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         self.root = f"{shared.rstrip('/')}/limpid-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
