@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from limpid.llm import crf
 from limpid.llm.labelled import fold, sample
 
-#: Labelled documents for training, at most about so many; longer ones than TRAINING_LINES are not used for it.
-TRAINING_DOCUMENTS, TRAINING_LINES = 2500, 2000
+#: Labelled documents for training, at most about so many, and the lines of each: a window at a place its hash tells.
+TRAINING_DOCUMENTS, TRAINING_LINES = 2500, 80
 THRESHOLD = 0.3
 #: Characters are counted by class; those from WIDE on are letters of other scripts.
 WIDE = 0x250
@@ -75,22 +75,28 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in batches:
-        made = [line_features(t or "")[0].astype("<f4") for t in part.column("text").to_pylist()]
+        made = []
+        for order, text in zip(part.column("order").to_pylist(), part.column("text").to_pylist()):
+            found = line_features(text or "")[0].astype("<f4")
+            start = order % max(len(found) - TRAINING_LINES + 1, 1)
+            made.append(found[start:start + TRAINING_LINES])
         yield pa.RecordBatch.from_arrays(
             [part.column("order"), part.column("label"), pa.array([len(m) for m in made], pa.int64()),
-             pa.array([m.tobytes() if len(m) <= TRAINING_LINES else None for m in made], pa.binary())],
+             pa.array([m.tobytes() for m in made], pa.binary())],
             names=["order", "label", "lines", "features"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str,
         documents: int = TRAINING_DOCUMENTS) -> crf.Chain:
-    """Train on a bounded sample of the labelled documents outside the held-out fold; lines inherit the label."""
-    chosen = sample(docs.select(F.col(id_column), F.col(text_column)), labels, id_column, label_column, documents)
-    rows = (chosen.select(F.xxhash64(id_column).alias("order"), F.col("label").cast("int").alias("label"),
-                          F.col(text_column).alias("text"))
-            .mapInArrow(_featured, "order long, label int, lines long, features binary")
-            .where("features IS NOT NULL").collect())
-    rows = sorted(rows, key=lambda r: (r["order"], r["label"]))
+    """Train on a bounded sample of the labelled documents outside the held-out fold; lines inherit the label.
+
+    Of a document of more than ``TRAINING_LINES`` lines a window of so many is learned from, at a place that a hash
+    of the id tells, with the features its lines have in the whole text; that bounds what reaches the driver.
+    """
+    chosen = sample(docs, labels, id_column, text_column, label_column, documents)
+    rows = (chosen.select(F.xxhash64("id").alias("order"), F.col("label").cast("int").alias("label"), "text")
+            .mapInArrow(_featured, "order long, label int, lines long, features binary").collect())
+    rows = sorted(rows, key=lambda r: (r["order"], r["label"], r["lines"], bytes(r["features"])))
     xs = [np.frombuffer(r["features"], dtype="<f4").reshape(r["lines"], -1).astype(np.float64) for r in rows]
     if not xs:
         width = 3 * OWN + 3

@@ -181,9 +181,9 @@ def rule_number(rules: list[Rule]) -> Column:
 def fit_rules(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str,
               rows: int = TRAINING_ROWS) -> list[Rule]:
     """Learn from a bounded sample of the labelled documents (label 0 is bad) outside the held-out fold."""
-    chosen = sample(docs.select(F.col(id_column), F.col(text_column)), labels, id_column, label_column, rows)
-    stats = text_statistics(chosen, text_column).where(f"NOT ({BASE_FAILED})")
-    found = stats.select(F.xxhash64(id_column).alias("order"), F.col("label") == 0,
+    chosen = sample(docs, labels, id_column, text_column, label_column, rows)
+    stats = text_statistics(chosen, "text").where(f"NOT ({BASE_FAILED})")
+    found = stats.select(F.xxhash64("id").alias("order"), F.col("label") == 0,
                          *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()]).collect()
     return learn_rules([({n: r[n] for n in FEATURES}, r[1]) for r in sorted(found)])
 
