@@ -185,7 +185,7 @@ def _verified(threshold: float):
     return run
 
 
-def _compare(bands: int, rows: int, threshold: float):
+def _compare(bands: int, rows: int, threshold: float, least_equal: float):
     """Compare blocks: (block, id, component, table, signature, text) of documents in one bucket of band ``table``."""
     def compare(one: list[tuple], two: list[tuple], joined: Joined) -> Iterator[tuple[int, int]]:
         left, right = (np.array([np.frombuffer(r[4], dtype="<u2") for r in part]) for part in (one, two))
@@ -196,7 +196,7 @@ def _compare(bands: int, rows: int, threshold: float):
             share = equal.mean(axis=1)
             # a pair that shares an earlier band is compared there
             known = equal[:, earlier].reshape(len(equal), one[0][3], rows).all(axis=2).any(axis=1)
-            close = np.flatnonzero((share >= LEAST_EQUAL) & ~known)
+            close = np.flatnonzero((share >= least_equal) & ~known)
             for at in close[np.argsort(-share[close], kind="stable")].tolist():
                 other = two[begin + at]
                 if joined.root(row[2]) != joined.root(other[2]) and \
@@ -207,7 +207,7 @@ def _compare(bands: int, rows: int, threshold: float):
 
 
 def marked_copies(df: DataFrame, id_column: str, text_column: str, scratch: Scratch, bands: int = BANDS,
-                  band_rows: int = BAND_ROWS, threshold: float = SIMILARITY) -> DataFrame:
+                  band_rows: int = BAND_ROWS, threshold: float = SIMILARITY, least_equal: float = LEAST_EQUAL) -> DataFrame:
     """One row per row of ``df``: ``id``, ``mark`` (MD5 of the text), ``worded``, ``component_id`` and ``kept``.
 
     Texts of equal words are one class; classes link, whatever their ids.  A component keeps the row of its smallest
@@ -243,7 +243,7 @@ def marked_copies(df: DataFrame, id_column: str, text_column: str, scratch: Scra
     def payload(nodes: DataFrame) -> DataFrame:
         return classes.select(F.col("node").alias("id"), "signature").join(texts_of(nodes), "id")
 
-    groups = link_by_buckets(buckets, plausible, verify, payload, _compare(bands, band_rows, threshold), scratch)
+    groups = link_by_buckets(buckets, plausible, verify, payload, _compare(bands, band_rows, threshold, least_equal), scratch)
     placed = scratch.keep(classes.select("node", "digest", "rep").join(groups.withColumnRenamed("id", "node"), "node", "left")
                           .select("digest", "rep", F.coalesce("component", "node").alias("component")), "class-components")
     first = placed.groupBy("component").agg(F.min(F.struct("rep.id", "digest", "rep.mark")).alias("first"))
@@ -258,7 +258,7 @@ def marked_copies(df: DataFrame, id_column: str, text_column: str, scratch: Scra
 
 
 def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Scratch, bands: int = BANDS,
-                    band_rows: int = BAND_ROWS, threshold: float = SIMILARITY) -> DataFrame:
+                    band_rows: int = BAND_ROWS, threshold: float = SIMILARITY, least_equal: float = LEAST_EQUAL) -> DataFrame:
     """One row per row of ``df``: its id, ``component_id`` (the smallest id of its text's component) and ``kept``.
 
     Documents link when the weighted Jaccard similarity of their five-word shingles (lower case, marks ignored,
@@ -267,6 +267,8 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str, scratch: Sc
     numbers; texts of one id are judged each by itself, so an id whose texts don't link has several components, which
     can share its number.  ``kept`` marks one text of one id per component; rows that repeat both carry it together.
     A missing id keeps its row, as no one's duplicate.  Other columns are not read; an empty table gives no rows.
+    In a bucket of several components pairs whose signatures agree in less than ``least_equal`` are left out;
+    with 0 all of them are compared exactly.
     """
-    return marked_copies(df, id_column, text_column, scratch, bands, band_rows, threshold).select(
+    return marked_copies(df, id_column, text_column, scratch, bands, band_rows, threshold, least_equal).select(
         F.col("id").alias(id_column), "component_id", "kept")

@@ -123,13 +123,15 @@ def _compare(cosine: float):
 
 
 def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scratch, cosine: float = COSINE,
-                 recall: float = RECALL, seed: int = 11) -> DataFrame:
+                 recall: float = RECALL, seed: int = 11, different_bits: int | None = MAX_DIFFERENT_BITS) -> DataFrame:
     """One row per row of ``df``: id, ``n_links`` (other rows linked directly), ``component_id``, ``kept``.
 
     Rows link when their vectors' cosine, in double precision, is at least ``cosine``; vectors that are missing,
     of length zero, of another dimension, or with a missing or non-finite component link with nothing.  Rows
-    that repeat link with each other; an id that occurs twice takes the smaller component.  A row without an
-    id keeps its vector out of all links.  Other columns are not read; an empty table gives no rows.
+    that repeat link with each other.  Rows are judged by their vectors, not by their ids: an id that stands on several
+    vectors has a count and a component for each; ``component_id`` is the smallest id of the component's rows.  A row
+    without an id keeps its vector out of all links.  Other columns are not read; an empty table gives no rows.
+    ``different_bits=None`` compares all members of a bucket exactly, whatever their sketches.
     """
     vector = F.col("vector")
     rows = df.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"))
@@ -140,10 +142,13 @@ def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scr
         "digest", F.when((F.col("norm") > 0) & (F.col("norm") < float("inf")),
                          F.sha2(F.concat_ws(",", vector.cast("array<string>")), 256)))
     rows = scratch.keep(rows, "rows")
+    # a class is a vector with all its rows; its number stands for it, as ids can repeat
     classes = scratch.keep(
         rows.where("digest IS NOT NULL").groupBy("digest").agg(
-            F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"), F.first("norm").alias("norm"))
-        .select("digest", "id", "copies", F.transform("vector", lambda x: x / F.col("norm")).alias("unit")), "classes")
+            F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"),
+            F.first("norm").alias("norm"))
+        .select("digest", "least", "copies", F.transform("vector", lambda x: x / F.col("norm")).alias("unit"))
+        .withColumn("id", F.monotonically_increasing_id()), "classes")
     projections, tables = plan(classes.count(), cosine, recall)
     hashed = classes.select("id", "unit").mapInArrow(_hashed(projections, tables, seed), "id long, info long, keys array<bigint>")
     hashed = scratch.keep(hashed, "hashed")
@@ -152,7 +157,7 @@ def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scr
     units = classes.select("id", "unit")
 
     def plausible(one: Column, two: Column) -> Column:
-        return F.bit_count(one.bitwiseXOR(two)) <= MAX_DIFFERENT_BITS
+        return F.lit(True) if different_bits is None else F.bit_count(one.bitwiseXOR(two)) <= different_bits
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = (pairs.join(units.toDF("a", "unit_a"), "a").join(units.toDF("b", "unit_b"), "b")
@@ -167,10 +172,16 @@ def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scr
     key = ["component", "low", "high"]
     counted = (spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(_counted(cosine), "id long, links long")
                .groupBy("id").agg(F.sum("links").alias("links")))
-    placed = classes.select("digest", "id", "copies").join(groups, "id", "left").join(counted, "id", "left").select(
-        "digest", F.coalesce("component", "id").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rows.select("id", "digest").join(scratch.keep(placed, "placed-classes"), "digest", "left")
-    return out.select(F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("component_id", "id").alias("component_id"),
-                      (F.coalesce("component_id", "id").eqNullSafe(F.col("id"))).alias("kept"))
+    linked = classes.select("digest", "id", "least", "copies").join(groups, "id").join(counted, "id", "left")
+    first = linked.groupBy("component").agg(F.min("least").alias("first"))
+    placed = scratch.keep(linked.join(first, "component").select("digest", "first", "links", F.col("copies") - 1), "linked")
+    # classes without a link to another one only link their own rows
+    alone = classes.select("digest", "least", "copies").join(placed.select("digest"), "digest", "left_anti").select(
+        "digest", "least", F.lit(0).cast("long"), F.col("copies") - 1)
+    named = ("digest", "component_id", "links", "own")
+    found = scratch.keep(placed.toDF(*named).unionByName(alone.toDF(*named)), "placed-classes")
+    out = rows.select("id", "digest").join(found, "digest", "left")
+    component = F.coalesce("component_id", "id")
+    return out.select(F.col("id").alias(id_column),
+                      (F.coalesce("links", F.lit(0)) + F.coalesce("own", F.lit(0))).cast("long").alias("n_links"),
+                      component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
