@@ -3,7 +3,8 @@
 A document's ids are cut into full windows of the largest context and a rest.  Rests are routed to the smallest
 context (tier) that holds them.  Each tier is packed into windows of its size: its own rests open windows, gaps
 are filled with the longest fitting rests of shorter tiers, and what whole rests can't fill is filled by cutting
-one.  Windows of a tier are then dealt to step groups of equal tokens, by attention cost, in a zigzag.
+one.  Windows of a tier are then dealt to step groups of equal tokens, by attention cost, in a zigzag; windows that
+don't make a whole group wait for the next pool, so only the last group of a tier in a task can be short.
 
 A task packs the rows it reads, pool by pool, so no ids are shuffled, no group of rows matters and memory is
 bounded by the pool and by one document.  What is left at the end of a task is cut into windows of powers of
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -94,25 +96,54 @@ def powers_of_two(window: list[tuple[int, int, int]]) -> list[list[tuple[int, in
     return out
 
 
-def step_groups(windows: list[list[tuple[int, int, int]]], size: int, step_tokens: int) -> np.ndarray:
-    """Group numbers that give every group the same tokens and nearly the same attention cost."""
-    groups = max(1, -(-len(windows) * size // step_tokens))
-    cost = np.array([sum(p[0] ** 2 for p in w) for w in windows], dtype=np.int64)
-    turn = np.arange(len(windows)) % (2 * groups)
-    out = np.empty(len(windows), dtype=np.int64)
-    out[np.argsort(-cost, kind="stable")] = np.where(turn < groups, turn, 2 * groups - 1 - turn)
-    return out
+def step_groups(costs: list[int], groups: int) -> list[int]:
+    """Group numbers that give every group as many windows and nearly the same attention cost."""
+    turn = np.arange(len(costs)) % (2 * groups)
+    out = np.empty(len(costs), dtype=np.int64)
+    out[np.argsort(-np.array(costs, dtype=np.int64), kind="stable")] = np.where(turn < groups, turn, 2 * groups - 1 - turn)
+    return out.tolist()
+
+
+#: A piece of a window: document, start, length, ids, tokens of the document.
+Piece = tuple[object, int, int, bytes, int]
+
+
+class Steps:
+    """Windows by context that wait for a whole step group; ``tokens`` in a group."""
+
+    def __init__(self, tokens: int, sequence: int, group: int):
+        self.tokens, self.sequence, self.group = tokens, sequence, group
+        self.waiting: dict[int, list[list[Piece]]] = {}
+
+    def _rows(self, windows: list[list[Piece]], context: int, groups: int) -> Iterator[tuple]:
+        for window, g in zip(windows, step_groups([sum(p[2] ** 2 for p in w) for w in windows], groups)):
+            offset = 0
+            for doc, start, length, ids, tokens in window:
+                yield doc, start, length, ids, tokens, self.sequence, offset, context, self.group + g
+                offset += length
+            self.sequence += 1
+
+    def add(self, context: int, windows: list[list[Piece]]) -> Iterator[tuple]:
+        """Rows of the groups that are whole now."""
+        waiting = self.waiting.setdefault(context, [])
+        waiting += windows
+        each = max(1, self.tokens // context)
+        groups = len(waiting) // each
+        if groups:
+            self.waiting[context] = waiting[groups * each:]
+            yield from self._rows(waiting[:groups * each], context, groups)
+            self.group += groups
+
+    def close(self, contexts: tuple[int, ...]) -> Iterator[tuple]:
+        """Rows of what still waits: one group per tier, and one for windows of all other sizes together."""
+        for context in sorted(self.waiting, reverse=True):
+            yield from self._rows(self.waiting[context], context, 1)
+            self.group += context in contexts and bool(self.waiting[context])
+        self.waiting = {}
 
 
 def _packer(name: str, kind: pa.DataType, file: str, end_id: int, contexts: tuple[int, ...], pool_tokens: int,
             step_tokens: int):
-    def rows(pieces, docs, sequence, group, context):
-        offset = 0
-        for length, key, start in pieces:
-            doc, ids = docs[key]
-            yield doc, start, length, ids[4 * start:4 * (start + length)], len(ids) // 4, sequence, offset, context, group
-            offset += length
-
     def batch(found: list[tuple]) -> pa.RecordBatch:
         kinds = [kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         names = [name, *(part.split()[0] for part in SCHEMA.split(", "))]
@@ -121,33 +152,33 @@ def _packer(name: str, kind: pa.DataType, file: str, end_id: int, contexts: tupl
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = library_encoder(file), end_id.to_bytes(4, "little")
-        sequence = group = TaskContext.get().partitionId() * TASK_IDS
+        first = TaskContext.get().partitionId() * TASK_IDS
+        steps = Steps(step_tokens, first, first)
         docs: dict[int, tuple] = {}
         pool, tokens, n = Pool(contexts), 0, 0
 
-        def packed(final: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal sequence, group, docs, pool, tokens
+        def cut(window: list[tuple[int, int, int]]) -> list[Piece]:
+            return [(docs[key][0], start, length, docs[key][1][4 * start:4 * (start + length)], len(docs[key][1]) // 4)
+                    for length, key, start in window]
+
+        def placed(final: bool) -> Iterator[tuple]:
+            nonlocal docs, pool, tokens
             still_open = pool.pack()
-            tiers = {c: w for c, w in pool.windows.items() if w}
-            if final and still_open:
-                for window in powers_of_two(still_open[0]):
-                    tiers.setdefault(sum(p[0] for p in window), []).append(window)
-            found: list[tuple] = []
-            for context, windows in tiers.items():
-                groups = step_groups(windows, context, step_tokens)
-                for window, g in zip(windows, groups.tolist()):
-                    found += rows(window, docs, sequence, group + g, context)
-                    sequence += 1
-                    if len(found) >= 2000:
-                        yield batch(found)
-                        found = []
-                group += int(groups.max()) + 1
-            if found:
-                yield batch(found)
+            for context, windows in pool.windows.items():
+                yield from steps.add(context, [cut(w) for w in windows])
+            if final:
+                for window in powers_of_two(still_open[0]) if still_open else []:
+                    yield from steps.add(sum(p[0] for p in window), [cut(window)])
+                yield from steps.close(contexts)
             pool = Pool(contexts)
             pool.rests = [p for w in still_open for p in w]
             docs, tokens = {p[1]: docs[p[1]] for p in pool.rests}, sum(p[0] for p in pool.rests)
 
+        def packed(final: bool) -> Iterator[pa.RecordBatch]:
+            rows = placed(final)
+            while found := list(islice(rows, 2000)):
+                yield batch(found)
+
         for part in batches:
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 ids = encode.ids(text or "") + last
