@@ -15,7 +15,7 @@ from limpid.llm.html_extraction import extract
 from limpid.llm.packing import pack_documents
 from limpid.llm.quality_rules import COUNTS, fit_rules, judge
 from limpid.llm.secret_scan import scan
-from limpid.llm.sharding import plan_blocks, read_shards, rewrite_affected, write_shards
+from limpid.llm.sharding import plan_blocks, read_shards, rewrite_affected, slots_by_files, write_shards
 from limpid.llm.tables import Scratch, table
 from limpid.llm.token_counts import CountCache, token_counts
 
@@ -80,8 +80,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = read_shards(spark, scratch.path("old-shards"), first.schema)
     plan = plan_blocks(old.select(size, "shard", "_own"), "size", "shard", "_own", 8)
     new = rewrite_affected(old, plan, scratch.path("new-shards"))
-    return new.select("doc_id", size, crc, F.lit("bytes").alias("law"), "shard", "slot",
-                      F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    numbered = slots_by_files(new.select("doc_id", size, crc, "shard", "old_shard", "_file", "_row"))
+    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                           F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

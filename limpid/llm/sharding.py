@@ -165,8 +165,7 @@ def rewrite_affected(old: DataFrame, plan: DataFrame, out: str) -> DataFrame:
 
     ``old`` is from :func:`read_shards`, ``plan`` that of its blocks.  A row goes where its block goes, so rows with
     missing or repeated keys stay as they are.  New folders are ``out/shard=n``; unaffected shards keep their old
-    ones.  The result has the rows of both, with ``old_shard`` and ``slot`` (long, gapless from 0 in each shard): rows are
-    numbered by their files and their places there, so no task sorts or numbers a shard.
+    ones.  The result has the rows of both, with ``old_shard`` and, for :func:`slots_by_files`, ``_file`` and ``_row``.
     """
     moved = plan.where("_old <> shard").select(F.explode(F.array("_old", "shard"))).distinct().collect()
     touched = F.col("shard").isin([r[0] for r in moved])
@@ -178,8 +177,17 @@ def rewrite_affected(old: DataFrame, plan: DataFrame, out: str) -> DataFrame:
         new = _planned(rows, plan, "old_shard", "_own").drop("_own", "_old", "_block", "_before")
         new.write.partitionBy("shard").parquet(out)
         placed = placed.unionByName(old.sparkSession.read.schema(new.schema).parquet(out).select("*", *place))
-    files = placed.groupBy("shard", "_file").agg(F.count(F.lit(1)).alias("_rows"))
+    return placed
+
+
+def slots_by_files(rows: DataFrame) -> DataFrame:
+    """Turn ``_file`` and ``_row`` into ``slot`` (long, gapless from 0 in each shard).
+
+    Rows are numbered by their files and their places there, so no task sorts or numbers a shard.  They are joined with
+    one row per file, so hand over only the columns that are wanted.
+    """
+    files = rows.groupBy("shard", "_file").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.partitionBy("shard").orderBy("_file")) - F.col("_rows")
     files = files.select("shard", "_file", before.alias("_before"))
-    return placed.join(files, ["shard", "_file"]).withColumn("slot", F.col("_before") + F.col("_row")).drop(
+    return rows.join(files, ["shard", "_file"]).withColumn("slot", F.col("_before") + F.col("_row")).drop(
         "_file", "_row", "_before")

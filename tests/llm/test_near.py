@@ -12,7 +12,10 @@ from limpid.llm.dart_minhash import near_duplicates, shingles, signatures, simil
 from limpid.llm.embedding_neighbours import near_vectors
 from limpid.llm.linking import components
 from limpid.llm.queries import op9_sharding
-from limpid.llm.sharding import block_of, choose_blocks, min_cost_flow, plan_blocks, reshard, rewrite_affected, write_shards
+from limpid.llm.sharding import (
+    block_of, choose_blocks, min_cost_flow, plan_blocks, read_shards, reshard, rewrite_affected, slots_by_files,
+    write_shards,
+)
 from limpid.llm.tables import Scratch
 
 
@@ -110,6 +113,36 @@ def test_near_vectors(spark):
     assert {r.vec_id: r.n_links for r in out} == {i: int(near[i].sum()) if i < len(x) else 0 for i, _ in rows}
 
 
+def test_vectors_of_one_id_are_judged_each(spark):
+    draw = np.random.default_rng(6)
+    one, two, three = (draw.normal(size=12) for _ in range(3))
+    near = [one + draw.normal(size=12) * 0.05 for _ in range(30)]
+    rows = [(7, one), (7, two), (7, two), (8, near[0]), (9, three), (3, two * 2.0)] + [(20 + n % 5, v) for n, v in enumerate(near[1:])]
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    rows += [(50, [float(x) for x in draw.normal(size=12)]) for _ in range(200)]  # one id on many vectors
+    table = spark.createDataFrame(rows, "vec_id long, v array<double>").repartition(4)
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    row_class = classes(range(len(x)), np.argwhere(link).tolist())
+    least = {c: min(rows[n][0] for n in range(len(x)) if row_class[n] == c) for c in set(row_class.values())}
+    want = sorted((rows[n][0], int(link[n].sum()), least[row_class[n]], least[row_class[n]] == rows[n][0]) for n in range(len(x)))
+    for bits in (26, None):
+        out = near_vectors(table, "vec_id", "v", Scratch(spark), recall=0.9999, different_bits=bits).collect()
+        assert sorted(tuple(r) for r in out) == want
+    assert near_vectors(table.limit(0), "vec_id", "v", Scratch(spark)).count() == 0
+
+
+def test_scratch_tables_lie_in_shared_folders(spark):
+    assert Scratch(spark).root.startswith(spark.conf.get("spark.checkpoint.dir"))
+    unset = type("Session", (), {"conf": type("Conf", (), {"get": lambda self, k, *d: d[0] if d else "file:/home/warehouse"})()})()
+    unset.sparkContext = type("Context", (), {"master": "local[2]"})()
+    assert Scratch(unset).root.startswith("file:/home/warehouse/limpid-")
+    unset.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        Scratch(unset)
+
+
 def test_flow_moves_no_more_than_needed():
     r = random.Random(5)
     for _ in range(20):
@@ -145,16 +178,37 @@ def test_rewriting_shards_keeps_every_row(spark, tmp_path):
         F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 5).cast("int").alias("shard"))
     rows = rows.union(rows.limit(50))
     write_shards(rows, f"{tmp_path}/old")
-    old = spark.read.schema(rows.schema).parquet(f"{tmp_path}/old")
-    block, size = block_of(F.col("k"), F.col("text"), blocks=64), (F.length("text") + 1).alias("size")
-    plan = plan_blocks(old.select(size, "shard", block.alias("block")), "size", "shard", "block", 5)
-    new = rewrite_affected(old, plan, block, f"{tmp_path}/new")
+    old = read_shards(spark, f"{tmp_path}/old", rows.schema, blocks=64)
+    size = (F.length("text") + 1).alias("size")
+    plan = plan_blocks(old.select(size, "shard", "_own"), "size", "shard", "_own", 5)
+    new = slots_by_files(rewrite_affected(old, plan, f"{tmp_path}/new"))
     out = [(r.k, r.text, r.old_shard) for r in new.collect()]
     assert sorted(out, key=repr) == sorted(map(tuple, rows.collect()), key=repr) and any(r.k is None for r in new.collect())
     sizes = [r["sum(size)"] for r in new.select("shard", size).groupBy("shard").sum("size").collect()]
     assert len(sizes) == 5 and max(sizes) - min(sizes) < 0.2 * max(sizes)
-    still = plan_blocks(old.where("shard < 0").select(size, "shard", block.alias("block")), "size", "shard", "block", 5)
-    assert rewrite_affected(old.where("shard < 0"), still, block, f"{tmp_path}/none").count() == 0
+    slots = {}
+    for r in new.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    still = plan_blocks(old.where("shard < 0").select(size, "shard", "_own"), "size", "shard", "_own", 5)
+    assert rewrite_affected(old.where("shard < 0"), still, f"{tmp_path}/none").count() == 0
+
+
+def test_a_row_repeated_in_a_third_of_the_table_is_spread(spark, tmp_path):
+    docs = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS doc_id", "CASE WHEN id % 3 = 0 THEN repeat('h', 200) "
+                                        "WHEN id % 500 = 1 THEN NULL ELSE repeat('t', cast(id % 90 AS int)) END AS text",
+                                        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 5) END AS source", "'x' AS slot")
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    out = op9_sharding(spark, str(tmp_path)).collect()
+    sizes, slots = {}, {}
+    for r in out:
+        sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(out) == 6000 and sum(r.doc_id == 7 and r.size == 201 for r in out) == 2000
+    assert max(sizes.values()) - min(sizes.values()) < 1000 and len(sizes) == 8
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert op9_sharding(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_sharding_query_reads_the_new_files(spark):
