@@ -15,8 +15,11 @@ def _secret(r: random.Random) -> tuple[str, str, str]:
     def some(letters: str, low: int, high: int) -> str:
         return "".join(r.choices(letters, k=r.randint(low, high)))
 
+    def words(low: int, high: int) -> list[str]:
+        return ["".join(r.choices(SYLLABLES, k=r.randint(1, 3))) for _ in range(r.randint(low, high))]
+
     key = r.choice(["password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth_token",
-                    "client_secret", "private_key", "SECRET_KEY", "API_TOKEN", "db_password"])
+                    "client_secret", "private_key", "SECRET_KEY", "API_TOKEN", "db_password", "DB_PASS", "signing_key", "passphrase"])
     equals, quote = r.choice(["=", " = ", ": ", ":"]), r.choice(["", "", '"', "'"])
     return r.choice([
         lambda: ("", r.choice(["AKIA", "ASIA"]) + some(UPPER + "234567", 16, 16), ""),
@@ -28,7 +31,15 @@ def _secret(r: random.Random) -> tuple[str, str, str]:
         lambda: (key + equals + quote, some(MIXED + "!@$%^&*_-+", 8, 32), quote),
         lambda: (key + equals + quote, some(MIXED + "+/", 24, 64) + r.choice(["", "=", "=="]), quote),
         lambda: ("Bearer ", some(MIXED + "_-", 24, 60), ""),
-        lambda: ("postgres://user:", some(MIXED, 8, 20), "@host/db")])()
+        lambda: ("postgres://user:", some(MIXED, 8, 20), "@host/db"),
+        lambda: (key + equals + '"', some(MIXED + "!#%&", 4, 9) + " " + some(MIXED + "!#%&", 4, 9), '"'),
+        lambda: (r.choice(["passphrase", "pass_phrase", "PASSPHRASE"]) + equals + '"', " ".join(words(4, 7)), '"'),
+        lambda: ("", _frame(r, r.choice(["RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "EC PRIVATE KEY"])), "")])()
+
+
+def _frame(r: random.Random, label: str) -> str:
+    lines = ["".join(r.choices(MIXED + "+/", k=64)) for _ in range(r.randint(3, 20))]
+    return "\n".join([f"-----BEGIN {label}-----", *lines, f"-----END {label}-----"])
 
 
 def _harmless(r: random.Random) -> tuple[str, str, str]:
@@ -59,7 +70,16 @@ def _harmless(r: random.Random) -> tuple[str, str, str]:
         lambda: ("", word(1, 2) + "".join(word(1, 3).capitalize() for _ in range(4)), "("),
         lambda: ("", "-".join(word(1, 3) for _ in range(5)), ""),
         lambda: ("", r.choice("=-_+") * r.randint(16, 60), ""),
-        lambda: ("", r.choice("aAxX01") * r.randint(16, 40), "")])()
+        lambda: ("", r.choice("aAxX01") * r.randint(16, 40), ""),
+        lambda: (f"data:{r.choice(['image/png', 'image/gif', 'font/woff2', 'text/css'])};base64,", some(MIXED + "+/", 24, 900) + r.choice(["", "=", "=="]), ")"),
+        lambda: (f"data:{r.choice(['image/jpeg', 'application/pdf'])};base64,", some(MIXED + "+/", 300, 1500), '"'),
+        lambda: (r.choice(['integrity="', '"integrity": "', ""]), f"sha{r.choice([256, 384, 512])}-" + some(MIXED + "+/", 43, 86) + r.choice(["", "=", "=="]), '"'),
+        lambda: (r.choice(["ssh-rsa ", "ssh-ed25519 "]), "AAAA" + some(MIXED + "+/", 64, 370), " user@host"),
+        lambda: ("", _frame(r, r.choice(["CERTIFICATE", "PUBLIC KEY", "CERTIFICATE REQUEST"])), ""),
+        lambda: (r.choice(["index ", "fingerprint: ", "hash="]), some(HEX, 16, 40), ""),
+        lambda: ("", word(1, 3) + "." + some(HEX, 8, 20) + r.choice([".chunk.js", ".css", ".bundle.js"]), ""),
+        lambda: (key + r.choice([": ", " = "]) + '"', " ".join([r.choice(["enter", "your", "please", "the", "must be"]), word(1, 3), word(1, 3), key]), '"'),
+        lambda: (key + r.choice([": ", "="]) + '"', " ".join(word(1, 3) for _ in range(5)) + ".", '"')])()
 
 
 def findings(count: int, seed: int = 3) -> list[tuple[str, int, int, bool]]:

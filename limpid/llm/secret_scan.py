@@ -23,15 +23,23 @@ from limpid.llm.labelled_findings import findings
 
 #: Labelled findings made for training, and the share of trees from which a finding is a secret.
 TRAINING_FINDINGS, IS_SECRET = 4000, 0.5
+#: Parts of a long finding that are learned from.
+TRAINING_PARTS = 4
 REPLACEMENT = "[SECRET]"
 #: Parts judged together.
 PARTS = 5000
-KEYS = "passwords? passwd pwd secrets? tokens? api[_-]?keys? apikeys? access[_-]?keys? private[_-]?keys? client[_-]?secrets? auth credentials? bearer".split()
+KEYS = ("passwords? passwd pwd pass[_-]?phrases? passcodes? secret[_-]?keys? secrets? tokens? api[_-]?keys? apikeys? "
+        "access[_-]?keys? private[_-]?keys? signing[_-]?keys? encryption[_-]?keys? client[_-]?secrets? auth credentials? bearer").split()
+#: A value behind a name, as a word or in quotes with all its blanks; some names need a sign of assignment.
 ASSIGNED = re.compile(
-    r"(?:" + "|".join(KEYS) + r")[\"']?(?:\s{0,3}[=:]\s{0,3}|\s)[\"']?(?P<value>[^\s\"'<>,;]{8,})"
+    r"(?:(?:" + "|".join(KEYS) + r")[\"']?(?:\s{0,3}[=:]\s{0,3}|\s)|(?<![A-Za-z])(?:pass|psk)[\"']?\s{0,3}[=:]\s{0,3})"
+    r"(?:(?P<quote>[\"'])(?P<quoted>[^\"'\n]{8,})(?P=quote)|[\"']?(?P<value>[^\s\"'<>,;]{8,}))"
     r"|://[^\s:@/]{1,64}:(?P<login>[^\s:@/]{6,})@", re.I)
 #: Texts without any of these have no assigned values.
-ROOTS = ("passw", "pwd", "secret", "token", "api", "access", "private", "client", "auth", "credential", "bearer", "://")
+ROOTS = ("pass", "psk", "pwd", "secret", "token", "api", "access", "private", "signing", "encryption", "client", "auth",
+         "credential", "bearer", "://")
+#: Keys in their frames, private and public ones.
+FRAME = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}-----")
 RUN = re.compile(r"(?<![A-Za-z0-9+/=_.\-])[A-Za-z0-9+/=_.\-]{16,}")
 #: Where a run goes on with a value after a name.
 VALUE = re.compile(r"=+(?=[^=])")
@@ -39,7 +47,10 @@ VALUE = re.compile(r"=+(?=[^=])")
 WINDOW = 200
 SEGMENT = re.compile(r"[A-Za-z0-9+_\-]{16,}")
 KEY = re.compile("|".join(KEYS), re.I)
-HARMLESS = re.compile(r"commit|revision|sha|md5|checksum|digest|etag|uuid|tree|parent|hash|request", re.I)
+HARMLESS = re.compile(r"commit|revision|sha|md5|checksum|digest|etag|uuid|tree|parent|hash|request|integrity|fingerprint|index", re.I)
+#: What is public by its form: data in an address, digests with their name, public keys.
+PUBLIC = re.compile(r"(?:;base64,|ssh-(?:rsa|dss|ed25519) |ecdsa-[a-z0-9-]{1,30} )$")
+NAMED_DIGEST = re.compile(r"(?:sha(?:1|224|256|384|512)|md5)[-:]", re.I)
 DUMMY = re.compile(r"example|placeholder|change|your|dummy|test|sample|replace|x{4}|\*{4}|env|null|undefined|[<${(]", re.I)
 KNOWN = re.compile(r"(?:AKIA|ASIA|ghp_|gho_|github_pat_|sk-|sk_live_|rk_live_|xox[abp]-|glpat-|AIza|npm_|eyJ)")
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
@@ -101,11 +112,58 @@ def features(text: str, start: int, end: int, words: frozenset[str], part: tuple
         value.count("/"), value.count("."), "://" in before, bool(UUID.fullmatch(value)),
         bool(KEY.search(before)), before.rstrip("\"' ")[-1:] in ("=", ":"), behind[:1] in ("\"", "'"), behind[:1] == "@",
         bool(HARMLESS.search(before[-15:])), bool(DUMMY.search(value)), bool(KNOWN.match(value)),
+        bool(PUBLIC.search(before)), bool(NAMED_DIGEST.match(text, start)), text.startswith("-----BEGIN", start),
+        "PRIVATE KEY-----" in text[start:start + 60], value.count(" "), "phrase" in before.lower(),
         max((len(w) for w in re.findall(r"[a-z]+|[A-Z]+", value)), default=0)]
 
 
+def frames(text: str) -> list[tuple[int, int]]:
+    """Keys from the line that begins them to the one that ends them; one without an end is none."""
+    out, at = [], 0
+    while head := FRAME.search(text, at):
+        end = text.find("-----END ", head.end())
+        close = text.find("-----", end + 9) if end >= 0 else -1
+        if close < 0:
+            break
+        at = close + 5
+        out.append((head.start(), at))
+    return out
+
+
+def _apart(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that overlap none of the taken ones; both in order."""
+    out, n = [], 0
+    for start, end in spans:
+        while n < len(taken) and taken[n][1] <= start:
+            n += 1
+        if n == len(taken) or taken[n][0] >= end:
+            out.append((start, end))
+    return out
+
+
+def _outside(spans: list[tuple[int, int]], framed: list[tuple[int, int]], least: int = 6) -> list[tuple[int, int]]:
+    """What lies of the spans between the frames, if it has ``least`` characters."""
+    out, n = [], 0
+    for start, end in spans:
+        while n < len(framed) and framed[n][1] <= start:
+            n += 1
+        k = n
+        while k < len(framed) and framed[k][0] < end:
+            if framed[k][0] - start >= least:
+                out.append((start, framed[k][0]))
+            start = framed[k][1]
+            k += 1
+        if end - start >= least:
+            out.append((start, end))
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Starts and ends of candidate values, in order, without overlap; assigned values come before runs."""
+    """Starts and ends of candidate values, in order, without overlap; framed keys come before assigned values, these before runs.
+
+    Runs have 16 characters and more (6 behind an ``=`` in a run), assigned values 8, values of logins in addresses 6,
+    behind a user name of up to 64; shorter ones are no candidates.
+    """
     spans = []
     for m in RUN.finditer(text):
         start = m.start()
@@ -123,9 +181,14 @@ def candidates(text: str) -> list[tuple[int, int]]:
             start, end = m.span(m.lastgroup)
             # a name before a known form isn't part of the value
             given.append((next((c.end() for c in VALUE.finditer(text, start, end) if KNOWN.match(text, c.end(), end)), start), end))
-        spans = sorted(given + [s for s in spans if not any(s[0] < g[1] and g[0] < s[1] for g in given)])
+        spans = sorted(given + _apart(spans, given))
+    framed = frames(text)
+    spans = sorted(framed + _outside(spans, framed)) if framed else spans
     out = []
     for start, end in spans:
+        if text.startswith("-----BEGIN", start):
+            out.append((start, end))
+            continue
         end = start + len(text[start:end].rstrip(".-!?)"))
         if end - start >= 6:
             out.append((start, end))
@@ -134,8 +197,9 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 @lru_cache(2)
 def trained(dictionary_file: str, count: int = TRAINING_FINDINGS) -> forest.Forest:
-    words, rows = dictionary(dictionary_file), findings(count)
-    return forest.train(np.array([features(t, a, b, words) for t, a, b, _ in rows], dtype=np.float64),
+    words = dictionary(dictionary_file)
+    rows = [(t, a, b, p, secret) for t, a, b, secret in findings(count) for p in parts(t, a, b)[:TRAINING_PARTS]]
+    return forest.train(np.array([features(t, a, b, words, p) for t, a, b, p, _ in rows], dtype=np.float64),
                         np.array([secret for *_, secret in rows]))
 
 
@@ -148,11 +212,13 @@ def _scanned(model: forest.Forest, file: str):
                 texts = part.column("text").to_pylist()
                 found = [(n, a, b) for n, t in enumerate(texts) for a, b in candidates(t or "")]
                 judged = [(k, p) for k, (n, a, b) in enumerate(found) for p in parts(texts[n], a, b)]
-                share = np.zeros(len(found))  # the highest of a candidate's parts
+                share = np.zeros(len(found))  # the highest of a candidate's parts, which the more parts must be the surer
+                several = np.sqrt(np.bincount([k for k, _ in judged], minlength=len(found)))
                 for start in range(0, len(judged), PARTS):
                     some = judged[start:start + PARTS]
                     rows = [features(texts[found[k][0]], *found[k][1:], words, p) for k, p in some]
                     np.maximum.at(share, [k for k, _ in some], model.predict(np.array(rows, dtype=np.float64)))
+                share = np.maximum(1 - (1 - share) * several, 0)
                 spans: list[list[dict]] = [[] for _ in texts]
                 for (n, a, b), p in zip(found, share.tolist()):
                     spans[n].append({"start": a, "length": b - a, "probability": p, "secret": p >= IS_SECRET})
@@ -175,7 +241,8 @@ def _scanned(model: forest.Forest, file: str):
 def scan(df: DataFrame, text_column: str, dictionary_file: str) -> DataFrame:
     """Add ``findings`` (start, length, probability, secret; in code points) and ``clean``, the text without secrets.
 
-    A candidate of any length is judged as a whole or by parts that cover it; the highest share counts for all of it.
+    A candidate of any length is judged as a whole or by parts that cover it.  The highest share of n parts counts for all of
+    it, its distance from 1 taken square root of n times, so that long candidates aren't found for their length.
     A missing text has no findings and stays missing.  Repeated rows are scanned alike, an empty table stays
     empty, other columns pass; a column of one of the new names raises.
     """

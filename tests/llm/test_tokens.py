@@ -1,6 +1,7 @@
 """Token operators against the libraries, packing by its invariants."""
 
 import base64
+import collections
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 from limpid.llm.byte_bpe import RankDecoder, RankEncoder, Utf8Stream, decode, encode
 from limpid.llm.chunks import LibraryEncoder
-from limpid.llm.packing import pack_documents
+from limpid.llm.packing import Steps, pack_documents, step_groups
 from limpid.llm.tables import Scratch
 from limpid.llm.token_counts import CountCache, token_counts
 
@@ -95,3 +96,45 @@ def test_pieces_cover_documents_and_sequences(spark):
         assert [r.start for r in pieces] == [0, *np.cumsum([r.length for r in pieces]).tolist()[:-1]]
     assert pack_documents(docs(spark).limit(0), "doc_id", "text", WORDS).count() == 0
     assert Scratch(spark).root
+
+
+def test_step_groups_are_full_and_balanced(spark):
+    r = random.Random(9)
+    rows = [(n, "word " * min(int(r.expovariate(1 / 500)), 9000)) for n in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    step = 16_384
+    out = pack_documents(table, "doc_id", "text", WORDS, pool_tokens=150_000, step_tokens=step).collect()
+    groups, tasks = {}, len({r.step_group >> 40 for r in out})
+    for r in out:
+        groups.setdefault(r.step_group, []).append(r)
+    tokens = {g: sum(r.length for r in rows) for g, rows in groups.items()}
+    short = [g for g in groups if tokens[g] < step]
+    assert max(tokens.values()) == step and len(short) <= 5 * tasks and len(groups) > 3 * len(short)
+    # whole groups hold windows of one size, at most one group of a tier and task is short
+    assert all(len({r.context for r in groups[g]}) == 1 for g in groups if g not in short)
+    assert all(n <= 1 for n in collections.Counter(
+        (g >> 40, groups[g][0].context) for g in short if groups[g][0].context >= 256).values())
+    cost = {}
+    for g in set(groups) - set(short):
+        cost.setdefault((g >> 40, groups[g][0].context), []).append(sum(r.length ** 2 for r in groups[g]))
+    for found in cost.values():
+        assert max(found) < 1.6 * min(found)
+    sizes = {}
+    for r in out:
+        sizes.setdefault((r.sequence_id, r.step_group), []).append(r.length)
+    assert len({s for s, _ in sizes}) == len(sizes)  # a sequence lies in one group
+
+
+def test_groups_of_equal_windows_and_like_costs():
+    assert sorted(collections.Counter(step_groups([5, 1, 9, 2, 7, 7, 3, 1], 4)).values()) == [2, 2, 2, 2]
+    costs = [random.Random(3).randint(1, 1000) for _ in range(640)]
+    total = collections.Counter()
+    for c, g in zip(costs, step_groups(costs, 20)):
+        total[g] += c
+    assert max(total.values()) < 1.02 * min(total.values())
+    steps = Steps(1000, 0, 0)  # what doesn't fill a group waits, then all odd sizes share one
+    piece = [("d", 0, 100, b"", 100)]
+    first = list(steps.add(100, [piece] * 23))
+    assert collections.Counter(r[-1] for r in first) == {0: 10, 1: 10}
+    rest = list(steps.add(64, [piece])) + list(steps.add(32, [piece])) + list(steps.close((100, 200)))
+    assert collections.Counter(r[-1] for r in rest) == {2: 3, 3: 2} and len({r[5] for r in first + rest}) == 25
