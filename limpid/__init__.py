@@ -21,6 +21,7 @@ from limpid.operators.profile import (
     basic_info, describe, dtypes_summary, full_report, missing_percent, missing_summary, numeric_summary,
     report_text, unique_counts,
 )
+from limpid.operators.profile_state import ProfileState
 from limpid.operators.rank import add_rank, sample_rows, sort_values, top_n
 from limpid.operators.records import CleanedRecords, RecordRules, RecordStatistics, clean_records
 from limpid.operators.reshape import melt, transpose

@@ -11,11 +11,12 @@ TIMED_SHAPE = r"(?i)^(.+?)[T, ]\s*(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)\s*(
 YEAR_FIRST_SHAPE = r"^(\d{4})([/.-])(\d{1,2})\2(\d{1,2})$"
 COMPACT_SHAPE = r"^(\d{4})(\d{2})(\d{2})$"
 YEAR_LAST_SHAPE = r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{4}|\d{2})$"
+#: Two digits first and one digit last: only the first can be the year.
+SHORT_YEAR_FIRST_SHAPE = r"^\d{2}-\d{1,2}-\d$"
 MONTH_DAY_SHAPE = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4}|\d{2})$"
 DAY_MONTH_SHAPE = r"^(\d{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -](\d{4}|\d{2})$"
-DAY_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-#: Two-digit years from 69 on belong to the 1900s, those below to the 2000s.
-LAST_CENTURY, THIS_CENTURY = r"^(69|[7-9]\d)-", r"^([0-6]\d)-"
+#: Two-digit years from here on belong to the 1900s, those below to the 2000s.
+LAST_CENTURY = "69"
 MONTHS = ("january february march april may june july august september october november december").split()
 
 # Strftime codes and the pattern letters that print the same.
@@ -29,10 +30,15 @@ def _without_time(clean: Column) -> Column:
     return F.trim(F.regexp_replace(clean, TIMED_SHAPE, "$1"))
 
 
-def _as_day(year_month_day: Column) -> Column:
-    """A date from numbers split by dashes, the year of two or four digits; NULL if there is no such day."""
-    full = F.regexp_replace(F.regexp_replace(year_month_day, LAST_CENTURY, "19$1-"), THIS_CENTURY, "20$1-")
-    return F.when(full.rlike(DAY_SHAPE), full.try_cast("date"))
+def _full_year(year: Column) -> Column:
+    """Two digits as a year of four."""
+    return F.when(F.length(year) == 4, year).when(year >= LAST_CENTURY, F.concat(F.lit("19"), year)).otherwise(
+        F.concat(F.lit("20"), year))
+
+
+def _as_day(year: Column, month: Column, day: Column) -> Column:
+    """A date from texts of digits; NULL if there is no such day."""
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
 
 
 def _month_number(name: Column) -> Column:
@@ -51,23 +57,38 @@ def parse_datetime(text: Column, *, dayfirst: bool = False) -> Column:
     fall back to the other reading when the month would be above 12.
     """
     clean = F.trim(text)
-    date = _without_time(clean)
-    numeric = F.regexp_replace(F.regexp_replace(date, YEAR_FIRST_SHAPE, "$1-$3-$4"), COMPACT_SHAPE, "$1-$2-$3")
-    month_day, day_month = (_as_day(F.regexp_replace(numeric, YEAR_LAST_SHAPE, order)) for order in ("$4-$1-$3", "$4-$3-$1"))
-    # letters: year, month name and day
-    words = F.regexp_replace(F.regexp_replace(date, MONTH_DAY_SHAPE, "$3-$1-$2"), DAY_MONTH_SHAPE, "$3-$2-$1")
-    year, name, day_of_month = (F.split_part(words, F.lit("-"), F.lit(n)) for n in (1, 2, 3))
-    named = _as_day(F.concat(year, F.lit("-"), _month_number(name), F.lit("-"), day_of_month))
-    readings = (day_month, month_day) if dayfirst else (month_day, day_month)
-    day = F.when(date.rlike("[A-Za-z]"), named).otherwise(F.coalesce(*readings))
+    # a time of day has a colon: without one the value is the date itself, and nothing else is looked for
+    timed = F.when(clean.rlike(TIMED_SHAPE), F.concat(
+        F.get(F.transform(F.array(_without_time(clean)), lambda date: _day(date, dayfirst)), F.lit(0)).cast("string"),
+        F.lit(" "), _time_of(clean)).try_cast("timestamp_ntz"))
+    iso = F.when(clean.rlike(ISO_SHAPE), clean.try_cast("timestamp_ntz"))
+    return F.when(F.contains(clean, F.lit(":")), F.coalesce(iso, timed)).otherwise(
+        F.coalesce(iso, _day(clean, dayfirst).cast("timestamp_ntz")))
 
+
+def _time_of(clean: Column) -> Column:
+    """The time of day behind a date, in 24 hours; NULL if the hour isn't one."""
     hour, rest, half = (F.regexp_extract(clean, TIMED_SHAPE, g) for g in (2, 3, 4))
     number = hour.try_cast("int")
     hour = F.when(half == "", number).when(
         number.between(1, 12), number % 12 + F.when(F.lower(half) == "p", 12).otherwise(0))
-    time = F.when(clean.rlike(TIMED_SHAPE), F.concat(hour.cast("string"), rest)).otherwise("0:00")
-    iso = F.when(clean.rlike(ISO_SHAPE), clean.try_cast("timestamp_ntz"))
-    return F.coalesce(iso, F.concat(day.cast("string"), F.lit(" "), time).try_cast("timestamp_ntz"))
+    return F.concat(hour.cast("string"), rest)
+
+
+def _day(date: Column, dayfirst: bool) -> Column:
+    """The date that a text without a time spells.  Its shape is found first; only that shape's reading is worked out."""
+    numbers = F.translate(date, "/.", "--")
+    one, two, three = (F.split_part(numbers, F.lit("-"), F.lit(n)) for n in (1, 2, 3))
+    readings = [_as_day(_full_year(three), *order) for order in ((one, two), (two, one))]
+    # March 5, 2024 becomes March-5-2024 and 5 Mar. 2024 becomes 5-Mar-2024
+    words = F.translate(date, " .,", "-")
+    first, second, year = (F.split_part(words, F.lit("-"), F.lit(n)) for n in (1, 2, 3))
+    return (F.when(date.rlike(YEAR_LAST_SHAPE), F.coalesce(*(reversed(readings) if dayfirst else readings)))
+            .when(date.rlike(YEAR_FIRST_SHAPE), numbers.try_cast("date"))
+            .when(date.rlike(COMPACT_SHAPE), _as_day(*(F.substring(date, *at) for at in ((1, 4), (5, 2), (7, 2)))))
+            .when(date.rlike(SHORT_YEAR_FIRST_SHAPE), _as_day(_full_year(one), two, three))
+            .when(date.rlike(MONTH_DAY_SHAPE), _as_day(_full_year(year), _month_number(first), second))
+            .when(date.rlike(DAY_MONTH_SHAPE), _as_day(_full_year(year), _month_number(second), first)))
 
 
 def is_ambiguous_date(text: Column) -> Column:

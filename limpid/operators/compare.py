@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,23 +150,34 @@ def dtype_breakdown(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(sorted(families.items()), "family string, n_columns int")
 
 
-def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+#: Up to so many columns every pair has aggregates of its own, in generated code.
+PAIRED_COLUMNS = 16
+#: A spread this small against the second moment is what rounding leaves of a constant.
+NO_SPREAD = 1e-13
+
+
+def correlation_matrix(df: DataFrame, columns: list[str] | None = None, *, paired: int = PAIRED_COLUMNS) -> DataFrame:
     """``(column_a, column_b, corr)``: Pearson over rows where both are there.
 
-    All pairs share one aggregation.  A constant column has no correlation, and
-    fewer than two numeric columns give no rows.
+    A constant column has no correlation, and fewer than two numeric columns give no rows.  Up to ``paired`` columns
+    all pairs share one aggregation; more go through one matrix of moments.
     """
     names = resolve(df, columns, numeric=True)
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
     slim = df.select(*[as_number(df, n).alias(f"x{i}") for i, n in enumerate(names)])
+    if len(names) > paired:
+        rows = [(names[i], names[j], r) for i, j, r in _correlations(slim)]
+        return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, corr double")
     aggs, cells = [], []
     for i in range(len(names)):
         for j in range(i, len(names)):
             a = F.when(F.col(f"x{j}").isNotNull(), F.col(f"x{i}"))
             b = F.when(F.col(f"x{i}").isNotNull(), F.col(f"x{j}"))
             spread = F.stddev_pop(a) * F.stddev_pop(b)
-            r = F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+            # merged deviations of a constant can differ from zero by rounding
+            varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+            r = F.when(varies, F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0)))
             bounded = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
             if i == j:
                 bounded = F.when(r.isNotNull(), F.lit(1.0))
@@ -170,3 +186,45 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
             cells += [F.struct(F.lit(p).alias("column_a"), F.lit(q).alias("column_b"),
                                F.col(f"r{i}_{j}").alias("corr")) for p, q in pair]
     return slim.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
+def _correlations(slim: DataFrame) -> list[tuple[int, int, float | None]]:
+    """Correlations of all pairs of double columns from counts, sums and products of the rows where both are there.
+
+    Columns are first brought to mean 0 and deviation 1, so that nothing cancels out.  A row then is the vector of
+    its values (0 for a gap), of their squares and of the marks of what is there; the sum of its products with itself
+    holds everything, for every pair over its own rows.  The partial matrices are added up in a tree; the result has
+    nine numbers per pair of columns, whatever the rows.
+    """
+    size = len(slim.columns)
+    found = slim.agg(*[f(c).alias(f"{name}{i}") for i, c in enumerate(slim.columns) for name, f in (
+        ("mean", F.avg), ("std", F.stddev_pop), ("low", F.min), ("high", F.max))]).first()
+    spread = [found[f"std{i}"] if found[f"low{i}"] != found[f"high{i}"] else None for i in range(size)]
+    if not any(spread):
+        return [(i, j, None) for i in range(size) for j in range(size)]
+    scaled = [F.coalesce((F.col(c) - F.lit(found[f"mean{i}"])) / F.lit(spread[i]), F.lit(0.0)) if spread[i] else F.lit(0.0)
+              for i, c in enumerate(slim.columns)]
+    there = [F.col(c).isNotNull().cast("double") for c in slim.columns]
+    rows = slim.select(*[v.alias(f"v{i}") for i, v in enumerate(scaled)], *[t.alias(f"t{i}") for i, t in enumerate(there)])
+    values = [F.col(f"v{i}") for i in range(size)]
+    vector = array_to_vector(F.array(*values, *[v * v for v in values], *[F.col(f"t{i}") for i in range(size)]))
+    vectors = MLUtils.convertVectorColumnsFromML(rows.select(vector.alias("row")), "row")
+    sums = RowMatrix(vectors, 0, 3 * size).computeGramianMatrix().toArray()
+    products, second, count = sums[:size, :size], sums[size:2 * size, 2 * size:], sums[2 * size:, 2 * size:]
+    first = sums[:size, 2 * size:]
+    out = []
+    for i in range(size):
+        for j in range(size):
+            n = count[i, j]
+            if not (n and spread[i] and spread[j]):
+                out.append((i, j, None))
+                continue
+            means = first[i, j] / n, first[j, i] / n
+            squares = second[i, j] / n, second[j, i] / n
+            spreads = [s - m * m for s, m in zip(squares, means)]
+            if any(v <= NO_SPREAD * max(s, NO_SPREAD) for v, s in zip(spreads, squares)):
+                out.append((i, j, None))
+            else:
+                r = (products[i, j] / n - means[0] * means[1]) / math.sqrt(spreads[0] * spreads[1])
+                out.append((i, j, 1.0 if i == j else max(-1.0, min(1.0, float(r)))))
+    return out

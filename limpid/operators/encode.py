@@ -15,6 +15,7 @@ from limpid.functions.columns import (
 )
 from limpid.functions.records import lookup
 from limpid.plans.fitting import fitted, planned
+from limpid.plans.frequencies import distinct_values
 from limpid.plans.ordering import order_columns, order_value, with_position
 from limpid.plans.sizing import MB, cut_lineage
 
@@ -34,14 +35,8 @@ class OneHot:
     @classmethod
     @fitted
     def fit(cls, df: DataFrame, columns: str | Sequence[str], max_values: int = 1000) -> OneHot:
-        found = {}
-        for n in require(df, columns):
-            rows = (df.select(present(df, n).alias("v")).where(F.col("v").isNotNull())
-                    .distinct().limit(max_values + 1).collect())
-            if len(rows) > max_values:
-                raise ValueError(f"column {n!r} has more than {max_values} values to encode")
-            found[n] = tuple(sorted(r["v"] for r in rows))
-        return cls(found)
+        found = distinct_values(df, require(df, columns), max_values)
+        return cls({n: tuple(values) for n, values in found.items()})
 
     def apply(self, df: DataFrame) -> DataFrame:
         kept = [col(n) for n in df.columns if n not in self.values]

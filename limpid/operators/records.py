@@ -19,7 +19,9 @@ from limpid.functions.columns import col, present, require
 from limpid.functions.dates import is_ambiguous_date, parse_datetime
 from limpid.functions.numbers import half_even_long, parse_amount, parse_double, parse_long
 from limpid.functions.text import strip, title
+from limpid.operators.dedupe import as_group_keys, pays_off, split_repeated
 from limpid.operators.outliers import clipped
+from limpid.plans.frequencies import distinct_counts
 from limpid.plans.quantiles import exact_quantiles
 from limpid.plans.sizing import cut_lineage
 
@@ -124,9 +126,15 @@ _RAW = "__raw_"
 _COPIES = "__copies"
 
 
-def distinct_records(df: DataFrame) -> DataFrame:
-    """Exact duplicates folded into one row with its number of copies."""
-    return df.groupBy(*[col(n) for n in df.columns]).agg(F.count("*").alias(_COPIES))
+def distinct_records(df: DataFrame, suspects_only: bool | None = None) -> DataFrame:
+    """Exact duplicates folded into one row with its number of copies; of large inputs only rows that may have some are shuffled."""
+    def folded(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*[col(n) for n in df.columns]).agg(F.count("*").alias(_COPIES))
+
+    if not (pays_off(df) if suspects_only is None else suspects_only):
+        return folded(df)
+    alone, others = split_repeated(df, df.columns)
+    return as_group_keys(alone).withColumn(_COPIES, F.lit(1).cast("long")).unionByName(folded(as_group_keys(others)))
 
 
 def parse_records(df: DataFrame, rules: RecordRules, *, materialize: bool = True) -> DataFrame:
@@ -163,7 +171,7 @@ class CleanedRecords:
     statistics: RecordStatistics
 
     def audit(self) -> DataFrame:
-        """``(column, metric, value)`` of everything that was done, from one aggregation."""
+        """``(column, metric, value)`` of everything that was done: one aggregation, and counts of spellings for all categories."""
         rules = self.rules
         required = [col(n).isNotNull() for n in rules.required]
         kept = F.lit(True)
@@ -177,9 +185,8 @@ class CleanedRecords:
         ]
         raw = {n: col(_RAW + n) for n in parsed_names(rules)}
         for n in rules.categories:
-            # a missing label counts as one more spelling
-            spellings = F.count_distinct(F.when(kept, raw[n])) + F.max(F.when(kept & raw[n].isNull(), 1).otherwise(0))
-            cells.append((n, "raw_labels", spellings))
+            # a missing label counts as one more spelling; the others are added below
+            cells.append((n, "raw_labels", F.coalesce(F.max(F.when(kept & raw[n].isNull(), 1).otherwise(0)), F.lit(0))))
             gone = col(n).eqNullSafe(F.lit(rules.unknown)) if rules.unknown is not None else col(n).isNull()
             cells.append((n, "unmapped", F.count_if(kept & gone)))
         for n in (*rules.emails, *rules.phones, *rules.dates):
@@ -201,9 +208,17 @@ class CleanedRecords:
             cells.append((n, "imputed", F.count_if(kept & col(n).isNull())))
             cells.append((n, "median", F.max(F.lit(self.statistics.medians[n]).cast("double"))))
         wide = self.parsed.agg(*[c.cast("double").alias(f"m{i}") for i, (_, _, c) in enumerate(cells)])
-        return wide.select(F.inline(F.array(*[
+        long = wide.select(F.inline(F.array(*[
             F.struct(F.lit(n).cast("string").alias("column"), F.lit(m).alias("metric"), F.col(f"m{i}").alias("value"))
             for i, (n, m, _) in enumerate(cells)])))
+        if not rules.categories:
+            return long
+        labels = self.parsed.where(kept).select(*[raw[n].alias(n) for n in rules.categories])
+        spellings = distinct_counts(labels, list(rules.categories)).select(
+            F.col("column").alias("of"), F.lit("raw_labels").alias("kind"), "n_unique")
+        # one row per category on the small side
+        added = long.join(F.broadcast(spellings), (F.col("column") == F.col("of")) & (F.col("metric") == F.col("kind")), "left")
+        return added.select("column", "metric", (F.col("value") + F.coalesce("n_unique", F.lit(0))).alias("value"))
 
 
 def parsed_names(rules: RecordRules) -> list[str]:

@@ -24,8 +24,26 @@ def grouped_median(df: DataFrame, by: Sequence[str], value: str, name: str, *, b
     slim = df.select(*[col(b).alias(k) for b, k in zip(by, keys)], present(df, value).cast("double").alias("v"))
     counted = slim.where(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count("*").alias("n"))
     splits = split_points(slim.where(F.col("v").isNotNull()), ["v"], buckets or bucket_count(slim))
-    counted = counted.withColumn("b", bucket_of(counted, ["v"], splits))
+    medians = _median_of_buckets(counted.withColumn("b", bucket_of(counted, ["v"], splits)), keys)
 
+    # groups whose values are all missing still appear
+    groups = slim.select(*keys).distinct()
+    gk = groups.select(*[F.col(k).alias("q" + k) for k in keys])
+    out = gk.join(medians, same_key([F.col("q" + k) for k in keys], [F.col(k) for k in keys]), "left")
+    return out.select(*[F.col("q" + k).alias(b) for k, b in zip(keys, by)], F.col("m").alias(name))
+
+
+def median_of_counts(counted: DataFrame, by: Sequence[str], *, buckets: int | None = None) -> DataFrame:
+    """``by`` columns plus ``m``, the exact median of the doubles ``v``, each there ``n`` times; nothing is missing."""
+    keys = [f"__g{i}" for i in range(len(by))]
+    named = counted.select(*[col(b).alias(k) for b, k in zip(by, keys)], "v", "n")
+    splits = split_points(named, ["v"], buckets or bucket_count(named))
+    medians = _median_of_buckets(named.withColumn("b", bucket_of(named, ["v"], splits)), keys)
+    return medians.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "m")
+
+
+def _median_of_buckets(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and ``m`` from counts ``n`` per keys and value ``v`` in buckets ``b`` of the value range."""
     # at most one row per group and bucket
     upto = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
@@ -47,11 +65,5 @@ def grouped_median(df: DataFrame, by: Sequence[str], value: str, name: str, *, b
     ranked = ranked.withColumn("from", F.col("upto") - F.col("n"))
     at_lower = (F.col("from") <= lower) & (F.col("upto") > lower)
     at_upper = (F.col("from") <= upper) & (F.col("upto") > upper)
-    medians = ranked.groupBy(*keys).agg(
+    return ranked.groupBy(*keys).agg(
         ((F.max(F.when(at_lower, F.col("v"))) + F.max(F.when(at_upper, F.col("v")))) / 2).alias("m"))
-
-    # groups whose values are all missing still appear
-    groups = slim.select(*keys).distinct()
-    gk = groups.select(*[F.col(k).alias("q" + k) for k in keys])
-    out = gk.join(medians, same_key([F.col("q" + k) for k in keys], [F.col(k) for k in keys]), "left")
-    return out.select(*[F.col("q" + k).alias(b) for k, b in zip(keys, by)], F.col("m").alias(name))

@@ -31,6 +31,15 @@ def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
     return size is not None and size <= limit
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Estimated size of the tables that the plan reads, whatever it then makes of them; ``None`` without an estimate."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size()))
+    except (Py4JError, PySparkException, AttributeError, ValueError):
+        return None
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The shared scratch folder that the session names, or None."""
     return spark.conf.get("spark.checkpoint.dir", None)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from limpid.functions.columns import col, is_text_type, type_of
 from limpid.functions.numbers import parse_double, parse_long
 from limpid.operators.types import TypeChoice
+from limpid.sources.split_records import split_csv, split_json
 
 # The texts a data file uses for "no value", compared to the whole cell.
 PANDAS_MARKERS = (
@@ -62,31 +63,37 @@ def _typed(df: DataFrame, schema: Schema, infer: bool) -> DataFrame:
 
 def read_csv(
     spark: SparkSession, path, *, schema: Schema = None, infer: bool = True,
-    missing_markers: str | Sequence[str] | None = "pandas", multiline: bool = True,
+    missing_markers: str | Sequence[str] | None = "pandas", multiline: bool = True, split: bool = False,
 ) -> DataFrame:
     """CSV with a header and doubled quotes.
 
-    ``multiline`` accepts line breaks inside quotes, which keeps a file in one
-    task; turn it off to split large files that have none.
+    ``multiline`` accepts line breaks inside quotes, which keeps a file in one task; turn it off to split large
+    files that have none.  ``split`` reads large files that do have line breaks in quotes by many tasks, for two
+    scans and a shuffle; quotes then only stand around cells and doubled inside them, as writers put them.
     """
-    text = spark.read.csv(path, header=True, escape='"', multiLine=multiline, inferSchema=False,
-                          nullValue="", mode="PERMISSIVE")
+    options = {"escape": '"', "nullValue": "", "mode": "PERMISSIVE"}
+    if split:
+        text = split_csv(spark, path, options)
+    else:
+        text = spark.read.csv(path, header=True, multiLine=multiline, inferSchema=False, **options)
     return _typed(_null_markers(text, missing_markers), schema, infer)
 
 
-def read_text_table(spark: SparkSession, path, *, multiline: bool = True) -> DataFrame:
+def read_text_table(spark: SparkSession, path, *, multiline: bool = True, split: bool = False) -> DataFrame:
     """CSV with every column as text and only blank cells missing."""
-    return read_csv(spark, path, infer=False, missing_markers="blank", multiline=multiline)
+    return read_csv(spark, path, infer=False, missing_markers="blank", multiline=multiline, split=split)
 
 
 def read_json(
     spark: SparkSession, path, *, schema: Schema = None, infer: bool = True,
     missing_markers: str | Sequence[str] | None = None, lines: bool = False, columns: Sequence[str] | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """An array of records, or JSON Lines with ``lines``.
 
     Columns come in alphabetical order unless ``schema`` or ``columns`` gives
     one.  Text columns that hold only numbers become numbers, as for CSV.
+    ``split`` reads a large array by many tasks, for some scans and a shuffle; it needs ``schema`` or ``columns``.
     """
     reader = spark.read.option("multiLine", not lines)
     if columns is None and schema is not None:
@@ -94,7 +101,10 @@ def read_json(
         columns = wanted.names
     if columns is not None:
         # a primitive of any kind reads as text, so no inference pass is needed
-        raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).json(path)
+        fields = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        raw = split_json(spark, path, fields) if split else reader.schema(fields).json(path)
+    elif split:
+        raise ValueError("split reading needs a schema or the columns")
     else:
         raw = reader.option("primitivesAsString", schema is not None).json(path)
     return _typed(_null_markers(raw, missing_markers), schema, infer)

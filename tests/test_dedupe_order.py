@@ -110,3 +110,32 @@ def test_label_encode_with_a_composite_key(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (0, 9, "c"), (2, 0, "a")], "x long, y long, s string")
     got = {(r[0], r[1]): r[2] for r in rows(lp.label_encode(df, "s", order_by=["x", "y"]))}
     assert got == {(0, 9): 0, (1, 1): 1, (1, 2): 2, (2, 0): 1}
+
+
+def test_only_suspects_are_grouped(spark):
+    import random
+    r = random.Random(3)
+    rows = [(n, r.choice([None, 0.0, -0.0, float("nan"), 1.5, 2.5]), r.choice([None, "", "x" * 80, "y"]), r.randint(0, 400)) for n in range(400)]
+    rows += [(1000 + n, None, "hot", 1) for n in range(200)] + rows[:30]
+    df = spark.createDataFrame(rows, "id long, a double, s string, k int").repartition(5)
+    for subset in (["a", "s"], ["k"], "s", ["s", "k", "a"]):
+        for keep in ("first", "last", False):
+            plain, split = (lp.drop_duplicates(df.dropDuplicates(["id"]), subset, keep, order_by="id", suspects_only=s) for s in (False, True))
+            assert sorted(map(repr, plain.collect())) == sorted(map(repr, split.collect())), (subset, keep)
+    for keep in ("first", False):
+        plain, split = (lp.drop_duplicates(df, keep=keep, suspects_only=s) for s in (False, True))
+        assert sorted(map(repr, plain.collect())) == sorted(map(repr, split.collect()))
+    assert lp.drop_duplicates(df.where("false"), suspects_only=True).count() == 0
+    with pytest.raises(ValueError):
+        lp.drop_duplicates(df, "k", "some", suspects_only=True)
+
+
+def test_rows_that_are_alone_are_not_shuffled(spark):
+    from limpid.operators.dedupe import split_repeated
+    df = spark.range(20_000).selectExpr("id", "concat('row ', id) AS s").union(spark.range(50).selectExpr("id", "concat('row ', id) AS s"))
+    alone, others = split_repeated(df, ["id", "s"])
+    assert others.count() < 120 and alone.count() + others.count() == 20_050
+    assert others.groupBy("id", "s").count().where("count = 2").count() == 50
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert exchanged and not any("s#" in line for line in exchanged)

@@ -236,3 +236,77 @@ def test_before_after(spark):
     before = spark.createDataFrame([(1, None), (1, None), (2, 5)], "a long, b long")
     got = {(m, c): (x, y) for m, c, x, y in rows(lp.before_after(before, lp.drop_missing(before).drop("a")))}
     assert got == {("rows", None): (3, 1), ("duplicate_rows", None): (1, 0), ("missing", "a"): (0, None), ("missing", "b"): (2, 0)}
+
+
+def test_many_columns_share_one_matrix_of_moments(spark):
+    rng = np.random.default_rng(11)
+    size, n = 200, 120
+    values = rng.normal(size=(n, size)) * rng.choice([1e-6, 1.0, 1e9], size) + rng.choice([0.0, 5.0, 1e6], size)
+    values[rng.random((n, size)) < 0.2] = np.nan
+    values[:, 3], values[:, 4], values[:, 5] = 7.25, np.nan, values[:, 6] * 2 + 1
+    pdf = pd.DataFrame(values, columns=[f"c{i}" for i in range(size)])
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), ", ".join(f"c{i} double" for i in range(size)))
+    got = {(r.column_a, r.column_b): r.corr for r in lp.correlation_matrix(df.repartition(4)).collect()}
+    assert len(got) == size * size
+    exact = values.astype(np.longdouble)  # pandas itself is off by 5e-6 where an offset is 10^12 deviations
+    for i in range(size):
+        for j in range(i, size):
+            both = ~np.isnan(values[:, i]) & ~np.isnan(values[:, j])
+            x, y = (exact[both, k] - (exact[both, k].mean() if both.any() else 0) for k in (i, j))
+            spread = np.sqrt((x * x).sum() * (y * y).sum())
+            w = float((x * y).sum() / spread) if spread else None
+            a, b = got[f"c{i}", f"c{j}"], got[f"c{j}", f"c{i}"]
+            assert a == b and (a is None) == (w is None) and (w is None or abs(a - w) < 1e-9), (i, j, a, w)
+    # the paired aggregates lose digits where an offset is that large, so columns without one are compared
+    plain = [f"c{i}" for i in range(7, size) if np.nanstd(values[:, i]) > 1e-3 * abs(np.nanmean(values[:, i]))]
+    few = df.select("c3", "c4", *plain[:4])
+    one, two = ({(r.column_a, r.column_b): r.corr for r in lp.correlation_matrix(few, paired=p).collect()} for p in (0, 9))
+    assert all((one[k] is None) == (two[k] is None) and (one[k] is None or abs(one[k] - two[k]) < 1e-9) for k in two)
+    assert {r.corr for r in lp.correlation_matrix(few.where("false"), paired=0).collect()} == {None}
+
+
+def test_distinct_counts_of_whole_numbers_by_marks(spark):
+    import datetime
+    edge = [0, -1, 63, 64, -64, -65, 2**63 - 1, -2**63, 7, 7, None]
+    df = spark.createDataFrame([(v, None if v is None else max(min(v, 127), -128), datetime.date(1970, 1, 1) + datetime.timedelta(days=(v or 0) % 999),
+                                 str(v)) for v in edge], "a long, b byte, d date, s string")
+    got = {r.column: r.n_unique for r in lp.unique_counts(df).collect()}
+    rows = df.collect()
+    assert got == {c: len({r[c] for r in rows} - {None}) for c in df.columns}
+    wide = spark.range(50_000).selectExpr("id", "id % 1000 AS k")
+    from limpid.plans.frequencies import _marked_words
+    assert {r.column: r.n_unique for r in _marked_words(wide, ["id", "k"]).collect()} == {"id": 50_000, "k": 1000}
+
+
+def test_one_pass_of_labels_keeps_its_limit(spark):
+    df = spark.createDataFrame([(n % 5, f"v{n % 3}", n) for n in range(60)] + [(None, None, 60)], "a int, b string, c int")
+    assert lp.OneHot.fit(df, ["a", "b"]).values == {"a": (0, 1, 2, 3, 4), "b": ("v0", "v1", "v2")}
+    with pytest.raises(ValueError, match="'c' has more than 10"):
+        lp.OneHot.fit(df, ["a", "b", "c"], 10)
+    assert lp.OneHot.fit(df.where("false"), ["a", "b"]).values == {"a": (), "b": ()}
+
+
+def test_a_profile_of_parts_is_that_of_the_whole(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"k": rng.integers(0, 40, 300), "x": rng.normal(1e6, 3, 300).round(2), "s": rng.choice(["a", "b", "long " * 30], 300)})
+    pdf.loc[rng.random(300) < 0.2, "x"] = np.nan
+    pdf["s"] = pdf["s"].astype(object).where(rng.random(300) < 0.8, None)
+    df = table(spark, {**pdf.to_dict("list"), "e": [None] * 300}, "k long, x double, s string, e int")
+    state = lp.ProfileState(spark, f"{tmp_path}/state")
+    with pytest.raises(ValueError):
+        state.report()
+    for part in (df.where("k < 3"), df.where("k >= 3 AND k < 30"), df.where("k >= 30"), df.where("false")):
+        state.add(part)
+    assert len(state.parts()) == 4
+
+    def values(report):
+        out = {}
+        for r in report.collect():
+            number = r.section == "numeric" and r.value is not None
+            out[r.section, r.column, r.metric] = round(float(r.value), 6) if number else r.value
+        return out
+    assert values(state.report()) == values(lp.full_report(df))
+    state.add(df.select("k", "x", df["k"].cast("string").alias("s"), "e").limit(0))
+    lp.ProfileState(spark, f"{tmp_path}/state").add(df.select(df["k"].cast("string").alias("k"), "x", "s", "e"))
+    with pytest.raises(TypeError):
+        state.report()

@@ -1,8 +1,8 @@
 """The queries the library is checked and timed on, each with its SQL twin."""
 
-from workload import cleaning, comparing, ordering, profiling, records, sources, wrangling
+from workload import cleaning, comparing, domains, ordering, profiling, records, sources, wrangling
 
-MODULES = (records, profiling, cleaning, ordering, wrangling, comparing, sources)
+MODULES = (records, domains, profiling, cleaning, ordering, wrangling, comparing, sources)
 
 
 def all_queries():

@@ -142,6 +142,12 @@ QUERIES = {
     "drop_duplicates_none": (
         lambda spark, sf: lp.drop_duplicates(table(spark, sf, "documents"), "text", False),
         "SELECT doc_id, text, lang, source, n_chars FROM documents QUALIFY count(*) OVER (PARTITION BY text) = 1"),
+    "drop_duplicates_suspects": (
+        lambda spark, sf: lp.drop_duplicates(table(spark, sf, "documents"), "text", "first", order_by="doc_id", suspects_only=True),
+        "SELECT doc_id, text, lang, source, n_chars FROM documents "
+        "QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1"),
+    "drop_duplicates_rows_suspects": (
+        lambda spark, sf: lp.drop_duplicates(copied_orders(spark, sf), suspects_only=True), f"SELECT DISTINCT * FROM ({COPIED_ORDERS})"),
     "convert_types": (
         lambda spark, sf: lp.convert_types(mixed_numbers(spark, sf)),
         "SELECT l_orderkey, cast(l_quantity AS bigint) AS l_quantity, l_discount, cast(l_linenumber AS varchar) AS line_text, "

@@ -66,6 +66,33 @@ CORRELATION_SQL = (
         for a in LINE_NUMBERS for b in LINE_NUMBERS))
 
 
+MOMENT_COLUMNS = {
+    **{c: c for c in LINE_NUMBERS},
+    "net": "l_extendedprice * (1 - l_discount)",
+    "large": "CASE WHEN l_quantity > 25 THEN l_extendedprice END",
+    "same": "CASE WHEN l_returnflag = 'R' THEN 7.0 END",
+    "far": "1000000000 + l_tax * 100",
+    "none": "CASE WHEN l_quantity < 0 THEN l_tax END",
+}
+
+
+def moments(spark, sf):
+    """Nine columns, gaps, a constant and an empty one among them, by the one matrix that wide tables use."""
+    lines = table(spark, sf, "lineitem").selectExpr(*[f"cast({e} AS double) AS {c}" for c, e in MOMENT_COLUMNS.items()])
+    return lp.correlation_matrix(lines, paired=0).withColumn("corr", F.round("corr", 6))
+
+
+def _moment_sql(a, b):
+    # a constant has no correlation, whatever rounding makes of its deviation
+    spread = " OR ".join(f"max({x}) FILTER ({y} IS NOT NULL) = min({x}) FILTER ({y} IS NOT NULL)" for x, y in ((a, b), (b, a)))
+    value = f"CASE WHEN count({a}) FILTER ({b} IS NOT NULL) = 0 OR {spread} THEN NULL ELSE round(corr({a}, {b}), 6) END"
+    return f"SELECT '{a}' AS column_a, '{b}' AS column_b, {value} AS corr FROM l"
+
+
+MOMENT_SQL = ("WITH l AS (SELECT " + ", ".join(f"cast({e} AS double) AS {c}" for c, e in MOMENT_COLUMNS.items()) + " FROM lineitem) "
+              + " UNION ALL ".join(_moment_sql(a, b) for a in MOMENT_COLUMNS for b in MOMENT_COLUMNS))
+
+
 def _snapshot_sql(source, columns, name):
     parts = [f"SELECT 'rows' AS metric, cast(NULL AS varchar) AS \"column\", (SELECT count(*) FROM {source}) AS {name}",
              f"SELECT 'duplicate_rows', NULL, (SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source}))"]
@@ -123,6 +150,7 @@ QUERIES = {
         "SELECT CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric' WHEN column_type = 'TIMESTAMP' THEN "
         "'datetime' ELSE 'text/categorical' END AS family, cast(count(*) AS int) AS n_columns FROM (DESCRIBE orders) GROUP BY 1"),
     "correlation_matrix": (correlations, CORRELATION_SQL),
+    "correlation_moments": (moments, MOMENT_SQL),
     "is_plottable": (
         lambda spark, sf: lp.is_plottable(table(spark, sf, "orders"), "o_orderpriority"),
         "SELECT 'o_orderpriority' AS \"column\", count(try_cast(o_orderpriority AS double)) > 0 AS plottable FROM orders"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import limpid as lp
 from pyspark.sql import functions as F
 
-from workload.base import COPIED_ORDERS, DIRTY_ORDERS_CTE, copied_orders, dirty_orders, table
+from workload.base import COPIED_ORDERS, DIRTY_ORDERS_CTE, copied_orders, dirty_orders, output_root, table
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 NUMERIC = ("o_orderkey", "o_custkey", "o_totalprice")
@@ -61,6 +61,15 @@ def report(spark, sf):
     return rounded_report(lp.full_report(dirty_orders(spark, sf)))
 
 
+def appended(spark, sf):
+    """The state of the earlier orders and that of the others, merged, make the profile of all."""
+    orders, first = dirty_orders(spark, sf), F.col("o_orderpriority") < "3"
+    state = lp.ProfileState(spark, f"{output_root(spark)}/profile")
+    state.add(orders.where(first))
+    state.add(orders.where(~first))
+    return rounded_report(state.report())
+
+
 def _numeric_metrics() -> list[str]:
     exact = {"mean": "avg({c})", "median": "median(cast({c} AS double))", "std": "stddev_pop({c})", "min": "min({c})",
              "max": "max({c})"}
@@ -119,5 +128,6 @@ QUERIES = {
             [_per_column(NUMERIC, DESCRIBE_NUMBER)]
             + ["SELECT * FROM (" + _describe_text(c, "v" if c != "o_orderdate" else "strftime(v, '%Y-%m-%d %H:%M:%S')") + ")"
                for c in ("o_orderstatus", "o_orderdate", "o_orderpriority")])),
+    "profile_appended": (appended, f"WITH {DIRTY_ORDERS_CTE} {REPORT_SQL}"),
     "full_report": (report, f"WITH {DIRTY_ORDERS_CTE} {REPORT_SQL}"),
 }

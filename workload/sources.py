@@ -49,10 +49,25 @@ def converted(spark, sf):
 
 
 def documents_csv(spark, sf):
-    """Long texts with line breaks and quotes survive a CSV round trip."""
+    """Long texts with line breaks and quotes survive a CSV round trip, read by as many tasks as the files have splits."""
     path = f"{output_root(spark)}/documents.csv"
     lp.write_csv(table(spark, sf, "documents"), path)
-    back = lp.read_csv(spark, path, schema="doc_id long, text string, lang string, source string, n_chars long")
+    back = lp.read_csv(spark, path, split=True, schema=DOCUMENTS)
+    return back.selectExpr("doc_id", "md5(text) AS text", "lang", "source", "n_chars")
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def json_array(spark, sf):
+    """Files that each hold one array of records, texts with quotes and line breaks in them, read in splits."""
+    path = f"{output_root(spark)}/arrays"
+    records = table(spark, sf, "documents").select(
+        F.expr("doc_id div 500").alias("part"), F.struct("doc_id", F.expr("concat('{\"', text, '\"}')").alias("text"), "lang", "source",
+                                                         "n_chars").alias("record"))
+    arrays = records.groupBy("part").agg(F.to_json(F.collect_list("record")).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    back = lp.read_json(spark, path, split=True, schema=DOCUMENTS)
     return back.selectExpr("doc_id", "md5(text) AS text", "lang", "source", "n_chars")
 
 
@@ -110,6 +125,8 @@ QUERIES = {
         "o_orderpriority || ', \"' || o_orderstatus || '\"' AS note FROM orders"),
     "csv_documents": (
         documents_csv, "SELECT doc_id, md5(text) AS text, lang, source, n_chars FROM documents"),
+    "json_array_read": (
+        json_array, "SELECT doc_id, md5('{\"' || text || '\"}') AS text, lang, source, n_chars FROM documents"),
     "json_round_trip": (round_trip("jsonl"), PLAIN),
     "xml_round_trip": (round_trip("xml"), PLAIN),
     "parquet_round_trip": (round_trip("parquet"), PLAIN),

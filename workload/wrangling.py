@@ -84,7 +84,7 @@ def melted(spark, sf):
 
 
 def melted_mixed(spark, sf):
-    return lp.melt(dirty_orders(spark, sf).drop("o_orderdate", "o_totalprice"), "o_orderkey")
+    return lp.melt(dirty_orders(spark, sf), "o_orderkey")
 
 
 def transposed(spark, sf):
@@ -154,7 +154,10 @@ QUERIES = {
     "melt_mixed_types": (
         melted_mixed, DIRTY + " UNION ALL ".join(
             f"SELECT o_orderkey, '{c}' AS variable, cast({c} AS varchar) AS value FROM dirty_orders"
-            for c in ("o_custkey", "o_orderstatus", "o_orderpriority"))),
+            for c in ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
+        # a date and time in text: the fraction of a second only where there is one
+        + " UNION ALL SELECT o_orderkey, 'o_orderdate', regexp_replace(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f'), "
+        "'\\.?0*$', '') FROM dirty_orders"),
     "transpose": (
         transposed, DIRTY + "SELECT 'o_totalprice_count' AS \"index\", " + ", ".join(
             f"cast(count(o_totalprice) FILTER (WHERE o_orderstatus = '{s}') AS varchar) AS {s}" for s in STATUSES) + " FROM dirty_orders"),
