@@ -2,8 +2,9 @@
 
 Vectors are brought to length one.  A table hashes a vector by several quantised random projections; vectors in
 one bucket of any table are candidates, compared first by a 64-bit sign sketch and then exactly.  Equal vectors
-are one class.  Links are counted inside the components that the checked pairs make, block by block, so that a
-large group of near copies is spread over many tasks and never listed pair by pair.
+are one class.  Links are counted inside the components that the checked pairs make, in blocks by the angle to the
+component's head: blocks of a tight group link as a whole without a comparison, far ones not at all, the others are
+compared block by block, so that a large group of near copies is spread over many tasks and never listed pair by pair.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from limpid.llm.linking import Joined, groups_of, in_blocks, link_by_buckets
+from limpid.llm.linking import Joined, groups_of, link_by_buckets
 from limpid.llm.tables import Scratch
+from limpid.plans.ordering import with_series_position
 
 COSINE = 0.9
 #: Width of a projection's cells, for vectors of length one.
@@ -28,6 +30,8 @@ MAX_DIFFERENT_BITS = 26
 RECALL = 0.9
 #: Vectors of a block when links are counted.
 BLOCK = 1024
+#: Angles this close to a bound are compared, whatever rounding did to them.
+SLACK = 1e-6
 #: Rows of a Python batch.
 ROWS = 500
 
@@ -122,8 +126,46 @@ def _compare(cosine: float):
     return compare
 
 
+def _up_to(blocks: DataFrame, ends: Column, limits: Column, copies: bool = False) -> DataFrame:
+    """For every block, how many blocks of its component (or rows in them) have an end at or below the block's limit."""
+    there = blocks.select("component", F.lit(None).cast("int").alias("block"), ends.alias("at"), F.lit(0).alias("turn"),
+                          (F.col("copies") if copies else F.lit(1)).cast("long").alias("n"))
+    asked = blocks.select("component", "block", limits.alias("at"), F.lit(1).alias("turn"), F.lit(0).cast("long").alias("n"))
+    before = Window.partitionBy("component").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    return there.unionByName(asked).withColumn("n", F.sum("n").over(before)).where("turn = 1").select("component", "block", "n")
+
+
+def _blocks_by_angle(groups: DataFrame, classes: DataFrame, cosine: float, block: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Members of the components in blocks by their angle to the component's head, and what each block is compared with.
+
+    Two angles to the head bound the angle between two vectors: where they add up to no more than the limit, all
+    rows of two blocks link, and where they are farther apart than it, none do.  Both are runs of blocks, known from one
+    row per block; ``start`` to ``stop`` are the blocks in between, ``certain`` the rows of the ``sure`` blocks before.
+    """
+    limit = math.acos(max(-1.0, min(1.0, cosine)))
+    heads = classes.select(F.col("id").alias("component"), F.col("unit").alias("head"))
+    dot = F.aggregate(F.zip_with("unit", "head", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+    turned = scratch.keep(groups.join(classes.select("id", "copies", "unit"), "id").join(heads, "component").select(
+        "component", "id", "copies", "unit", angle.alias("angle")), "angles")
+    place = with_series_position(turned, "component", ["angle", "id"], "place")
+    members = scratch.keep(place.withColumn("block", F.expr(f"cast((place - 1) div {block} AS int)")).drop("place"), "component-blocks")
+    blocks = scratch.keep(members.groupBy("component", "block").agg(
+        F.min("angle").alias("low"), F.max("angle").alias("high"), F.sum("copies").alias("copies")), "blocks")
+    low, high = F.col("low"), F.col("high")
+    found = blocks.select("component", "block")
+    for name, ends, limits, copies in (
+            ("sure", high, F.lit(limit - SLACK) - high, False), ("certain", high, F.lit(limit - SLACK) - high, True),
+            ("first", high, low - F.lit(limit + SLACK), False), ("stop", low, high + F.lit(limit + SLACK), False)):
+        found = found.join(_up_to(blocks, ends, limits, copies).withColumnRenamed("n", name), ["component", "block"])
+    counts = [F.col(c).cast("int").alias(c) for c in ("sure", "first", "stop")]
+    found = found.select("component", "block", "certain", *counts).withColumn("start", F.greatest("sure", "first"))
+    return members, scratch.keep(found, "ranges")
+
+
 def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scratch, cosine: float = COSINE,
-                 recall: float = RECALL, seed: int = 11, different_bits: int | None = MAX_DIFFERENT_BITS) -> DataFrame:
+                 recall: float = RECALL, seed: int = 11, different_bits: int | None = MAX_DIFFERENT_BITS,
+                 block: int = BLOCK) -> DataFrame:
     """One row per row of ``df``: id, ``n_links`` (other rows linked directly), ``component_id``, ``kept``.
 
     Rows link when their vectors' cosine, in double precision, is at least ``cosine``; vectors that are missing,
@@ -166,12 +208,15 @@ def near_vectors(df: DataFrame, id_column: str, vector_column: str, scratch: Scr
         return both.where(dot >= cosine).select("a", "b")
 
     groups = link_by_buckets(buckets, plausible, verify, units, _compare(cosine), scratch)
-    spread = scratch.keep(in_blocks(groups, "component", BLOCK), "component-blocks")
-    spread = spread.join(classes.select("id", "copies", "unit"), "id").select(
-        "component", "low", "high", "block", "id", "copies", "unit")
+    members, ranges = _blocks_by_angle(groups, classes, cosine, block, scratch)
+    open_ = members.join(ranges.where("start < stop"), ["component", "block"]).withColumn(
+        "other", F.explode(F.sequence("start", F.col("stop") - 1))).select(
+        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "copies", "unit")
     key = ["component", "low", "high"]
-    counted = (spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(_counted(cosine), "id long, links long")
-               .groupBy("id").agg(F.sum("links").alias("links")))
+    compared = open_.repartition(*key).sortWithinPartitions(*key).mapInArrow(_counted(cosine), "id long, links long")
+    certain = members.join(ranges, ["component", "block"]).select(
+        "id", (F.col("certain") - F.when(F.col("block") < F.col("sure"), F.col("copies")).otherwise(0)).alias("links"))
+    counted = compared.unionByName(certain).groupBy("id").agg(F.sum("links").alias("links"))
     linked = classes.select("digest", "id", "least", "copies").join(groups, "id").join(counted, "id", "left")
     first = linked.groupBy("component").agg(F.min("least").alias("first"))
     placed = scratch.keep(linked.join(first, "component").select("digest", "first", "links", F.col("copies") - 1), "linked")

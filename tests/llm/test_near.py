@@ -133,6 +133,25 @@ def test_vectors_of_one_id_are_judged_each(spark):
     assert near_vectors(table.limit(0), "vec_id", "v", Scratch(spark)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 3, 16])
+def test_links_by_angle_are_those_of_all_pairs(spark, block):
+    """A tight group (all blocks sure), a chain that turns away from its head (far blocks), and groups in between."""
+    draw = np.random.default_rng(9)
+    base = draw.normal(size=(4, 8))
+    vectors = [base[0] + draw.normal(size=8) * 0.02 for _ in range(40)]
+    vectors += [np.cos(t) * np.eye(8)[0] + np.sin(t) * np.eye(8)[1] for t in np.arange(0, 2.6, 0.06)]
+    vectors += [base[1] + draw.normal(size=8) * 0.25 for _ in range(40)] + [base[2]] * 5 + [base[2] * 2 + 1e-9] * 3
+    rows = [(100 + n, [float(x) for x in v]) for n, v in enumerate(vectors)]
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    want = classes([i for i, _ in rows], [(rows[a][0], rows[b][0]) for a, b in np.argwhere(link)])
+    out = near_vectors(spark.createDataFrame(rows, "vec_id long, v array<double>").repartition(3), "vec_id", "v", Scratch(spark),
+                       recall=0.99999, block=block).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {
+        i: (int(link[n].sum()), want[i]) for n, (i, _) in enumerate(rows)}
+
+
 def test_scratch_tables_lie_in_shared_folders(spark):
     assert Scratch(spark).root.startswith(spark.conf.get("spark.checkpoint.dir"))
     unset = type("Session", (), {"conf": type("Conf", (), {"get": lambda self, k, *d: d[0] if d else "file:/home/warehouse"})()})()
