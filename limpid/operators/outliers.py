@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.functions.columns import as_number, require_numeric, resolve
+from limpid.functions.columns import as_number, col, require_numeric, resolve
 from limpid.plans.fitting import fitted
 from limpid.plans.quantiles import exact_quantiles
+from limpid.plans.sizing import cut_lineage, is_small
 
 Columns = str | Sequence[str]
 
@@ -77,9 +78,18 @@ def cap_outliers_iqr(df: DataFrame, columns: Columns, factor: float = 1.5) -> Da
 
 
 def remove_outliers_iqr(df: DataFrame, columns: Columns, factor: float = 1.5) -> DataFrame:
-    """Drop rows outside the fences; each column's fences come from the rows left by the ones before."""
-    for n in resolve(df, columns, numeric=True):
-        df = Fences.fit(df, n, factor).keep_inside(df)
+    """Drop rows outside the fences; each column's fences come from the rows left by the ones before.
+
+    The fits run on the named columns alone; of large inputs these are written once, so that what lies above
+    isn't repeated for every column.
+    """
+    names = resolve(df, columns, numeric=True)
+    slim = df.select(*[col(n) for n in names])
+    if len(names) > 1 and not is_small(df):
+        slim = cut_lineage(slim)
+    for n in names:
+        fences = Fences.fit(slim, n, factor)
+        slim, df = fences.keep_inside(slim), fences.keep_inside(df)
     return df
 
 

@@ -25,6 +25,9 @@ PANDAS_MARKERS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+#: The order key that :func:`with_file_order` and split reading add.
+FILE_ORDER = ("_file_path", "_file_block", "_row_id")
+
 Schema = str | T.StructType | None
 
 
@@ -54,29 +57,35 @@ def _cell(df: DataFrame, field: T.StructField) -> Column:
     return value.try_cast(field.dataType)
 
 
-def _typed(df: DataFrame, schema: Schema, infer: bool) -> DataFrame:
+def _typed(df: DataFrame, schema: Schema, infer: bool, places: Sequence[str] = ()) -> DataFrame:
+    """The wanted or the fitting types; ``places`` are columns of the reader's own, which stay as they are."""
     if schema is not None:
         wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-        return df.select(*[_cell(df, f).alias(f.name) for f in wanted])
-    return TypeChoice.fit(df, infer_text=True).apply(df) if infer else df
+        return df.select(*[_cell(df, f).alias(f.name) for f in wanted], *[col(p) for p in places])
+    return TypeChoice.fit(df, [n for n in df.columns if n not in places], infer_text=True).apply(df) if infer else df
 
 
 def read_csv(
     spark: SparkSession, path, *, schema: Schema = None, infer: bool = True,
     missing_markers: str | Sequence[str] | None = "pandas", multiline: bool = True, split: bool = False,
+    file_order: bool = False,
 ) -> DataFrame:
     """CSV with a header and doubled quotes.
 
     ``multiline`` accepts line breaks inside quotes, which keeps a file in one task; turn it off to split large
     files that have none.  ``split`` reads large files that do have line breaks in quotes by many tasks, for two
-    scans and a shuffle; quotes then only stand around cells and doubled inside them, as writers put them.
+    scans and a shuffle; quotes then only stand around cells and doubled inside them, as writers put them, and line
+    breaks in cells stay as they are.  As its rows come in no order, ``file_order`` adds the columns ``FILE_ORDER``.
     """
+    if file_order and not split:
+        raise ValueError("file_order goes with split; other readings take with_file_order")
+    places = FILE_ORDER if file_order else ()
     options = {"escape": '"', "nullValue": "", "mode": "PERMISSIVE"}
     if split:
-        text = split_csv(spark, path, options)
+        text = split_csv(spark, path, options, places)
     else:
         text = spark.read.csv(path, header=True, multiLine=multiline, inferSchema=False, **options)
-    return _typed(_null_markers(text, missing_markers), schema, infer)
+    return _typed(_null_markers(text, missing_markers), schema, infer, places)
 
 
 def read_text_table(spark: SparkSession, path, *, multiline: bool = True, split: bool = False) -> DataFrame:
@@ -87,14 +96,18 @@ def read_text_table(spark: SparkSession, path, *, multiline: bool = True, split:
 def read_json(
     spark: SparkSession, path, *, schema: Schema = None, infer: bool = True,
     missing_markers: str | Sequence[str] | None = None, lines: bool = False, columns: Sequence[str] | None = None,
-    split: bool = False,
+    split: bool = False, file_order: bool = False,
 ) -> DataFrame:
     """An array of records, or JSON Lines with ``lines``.
 
     Columns come in alphabetical order unless ``schema`` or ``columns`` gives
     one.  Text columns that hold only numbers become numbers, as for CSV.
     ``split`` reads a large array by many tasks, for some scans and a shuffle; it needs ``schema`` or ``columns``.
+    As its rows come in no order, ``file_order`` adds the columns ``FILE_ORDER``.
     """
+    if file_order and not split:
+        raise ValueError("file_order goes with split; other readings take with_file_order")
+    places = FILE_ORDER if file_order else ()
     reader = spark.read.option("multiLine", not lines)
     if columns is None and schema is not None:
         wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
@@ -102,12 +115,12 @@ def read_json(
     if columns is not None:
         # a primitive of any kind reads as text, so no inference pass is needed
         fields = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        raw = split_json(spark, path, fields) if split else reader.schema(fields).json(path)
+        raw = split_json(spark, path, fields, places) if split else reader.schema(fields).json(path)
     elif split:
         raise ValueError("split reading needs a schema or the columns")
     else:
         raw = reader.option("primitivesAsString", schema is not None).json(path)
-    return _typed(_null_markers(raw, missing_markers), schema, infer)
+    return _typed(_null_markers(raw, missing_markers), schema, infer, places)
 
 
 def read_xml(
@@ -168,10 +181,6 @@ def with_row_id(df: DataFrame, name: str = "_row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-#: The order key that :func:`with_file_order` adds.
-FILE_ORDER = ("_file_path", "_file_block", "_row_id")
-
-
 def with_file_order(df: DataFrame) -> DataFrame:
     """Add path, block and row id: together the order of rows from several files.
 

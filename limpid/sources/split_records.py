@@ -71,7 +71,7 @@ def csv_records(spark: SparkSession, path) -> DataFrame:
     return _records(lines, F.col("quotes") % 2 == 0, "\n")
 
 
-def split_csv(spark: SparkSession, path, options: dict[str, str], order: Sequence[str] | None = None) -> DataFrame:
+def split_csv(spark: SparkSession, path, options: dict[str, str], order: Sequence[str] = ()) -> DataFrame:
     """All cells as text, named by the header of the first file; ``order`` names columns for file, block and number."""
     names = spark.read.csv(path, header=True, multiLine=True, inferSchema=False, **options).columns
     records = csv_records(spark, path).where("NOT (block = 0 AND number = 1)")
@@ -97,11 +97,11 @@ def json_records(spark: SparkSession, path) -> DataFrame:
         F.col("text").startswith("{"))
 
 
-def split_json(spark: SparkSession, path, schema: T.StructType, order: Sequence[str] | None = None) -> DataFrame:
+def split_json(spark: SparkSession, path, schema: T.StructType, order: Sequence[str] = ()) -> DataFrame:
     """The fields of ``schema`` of every record."""
     read = json_records(spark, path).select(*PLACE, F.from_json("text", schema).alias("fields"))
     return read.select("fields.*", *_places(order))
 
 
-def _places(order: Sequence[str] | None) -> list[Column]:
-    return [col(p).alias(n) for p, n in zip(PLACE, order)] if order else []
+def _places(order: Sequence[str]) -> list[Column]:
+    return [col(p).alias(n) for p, n in zip(PLACE, order)]

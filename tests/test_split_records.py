@@ -86,3 +86,20 @@ def test_json_arrays_in_splits(spark, tmp_path, small_splits, indent):
     assert lp.read_json(spark, path[0], schema="id long, n double", split=True).where("id = 6").first().n == 3.0
     with pytest.raises(ValueError):
         lp.read_json(spark, path[0], split=True)
+
+
+def test_split_rows_know_their_order(spark, tmp_path, small_splits):
+    rows = [[str(n), "two\nlines " * (n % 4), str(n / 4)] for n in range(400)]
+    with open(f"{tmp_path}/a.csv", "w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows([["k", "t", "x"], *rows])
+    read = lp.read_csv(spark, f"{tmp_path}/a.csv", split=True, file_order=True)
+    assert read.columns == ["k", "t", "x", *lp.FILE_ORDER]
+    assert [r.k for r in read.orderBy(*lp.FILE_ORDER).collect()] == list(range(400))
+    typed = lp.read_csv(spark, f"{tmp_path}/a.csv", split=True, file_order=True, schema="k long")
+    assert typed.columns == ["k", *lp.FILE_ORDER]
+    with open(f"{tmp_path}/a.json", "w") as f:
+        json.dump([{"k": k, "t": t} for k, t, _ in rows], f)
+    back = lp.read_json(spark, f"{tmp_path}/a.json", split=True, file_order=True, schema="k long, t string")
+    assert [r.k for r in back.orderBy(*lp.FILE_ORDER).collect()] == list(range(400))
+    with pytest.raises(ValueError):
+        lp.read_csv(spark, f"{tmp_path}/a.csv", file_order=True)
