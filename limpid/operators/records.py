@@ -215,10 +215,9 @@ class CleanedRecords:
             return long
         labels = self.parsed.where(kept).select(*[raw[n].alias(n) for n in rules.categories])
         spellings = distinct_counts(labels, list(rules.categories)).select(
-            F.col("column").alias("of"), F.lit("raw_labels").alias("kind"), "n_unique")
-        # one row per category on the small side
-        added = long.join(F.broadcast(spellings), (F.col("column") == F.col("of")) & (F.col("metric") == F.col("kind")), "left")
-        return added.select("column", "metric", (F.col("value") + F.coalesce("n_unique", F.lit(0))).alias("value"))
+            "column", F.lit("raw_labels").alias("metric"), F.col("n_unique").cast("double").alias("value"))
+        # every metric has one row, those of the spellings two to add up
+        return long.unionByName(spellings).groupBy("column", "metric").agg(F.sum("value").alias("value"))
 
 
 def parsed_names(rules: RecordRules) -> list[str]:

@@ -100,9 +100,9 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for table in frequencies(df, [n for n in columns if n not in whole], fingerprint):
         part = table.groupBy("column").agg(F.count("*").alias("n_unique"))
         out = part if out is None else out.unionByName(part)
-    # at most one row per column on either side
-    return (names.join(F.broadcast(out), "column", "left")
-            .select("column", F.coalesce("n_unique", F.lit(0)).alias("n_unique")))
+    # columns without values count 0; there is one row per column to add up
+    return names.withColumn("n_unique", F.lit(0).cast("long")).unionByName(out).groupBy("column").agg(
+        F.sum("n_unique").alias("n_unique"))
 
 
 @fitted
