@@ -25,7 +25,6 @@ import math
 import struct
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
@@ -259,20 +258,21 @@ def _ends(v: Column, b: _Bracket) -> dict[str, tuple]:
 def _read_ranks(narrow: DataFrame, brackets: list[_Bracket]) -> list[tuple[float, float] | None]:
     """Values at the first and last rank of each interval, ``None`` where it misses them.
 
-    The distinct values strictly inside are counted by a group-by.  Its edges,
+    The distinct values strictly inside are counted by a group-by: the columns are
+    stacked and meet the few intervals of theirs in a broadcast join, so that a
+    value is computed once however many comparisons it goes through (a filter would
+    be pushed down and repeat the caller's expression in each).  Its edges,
     where a value shared by many rows usually ends up, and the stretch between
     the outer edge and the interval (under NULL, which sorts first) are plain
     conditional counts.
     """
-    def inside(b: _Bracket) -> Column:
-        return (F.col(b.column) > b.low) & (F.col(b.column) < b.high)
-
-    cells = [
-        F.when(inside(b), F.struct(F.lit(t).alias("t"), F.col(b.column).alias("v"))) for t, b in enumerate(brackets)]
-    near = narrow.where(reduce(lambda x, y: x | y, [inside(b) for b in brackets]))
-    counted = (
-        near.select(F.explode(F.array_compact(F.array(*cells))).alias("x"))
-        .groupBy(F.col("x.t").alias("t"), F.col("x.v").alias("v")).agg(F.count("*").alias("n")))
+    intervals = narrow.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*[
+        F.struct(F.lit(t).alias("t"), F.lit(b.column).alias("slot"), F.lit(b.low).alias("low"), F.lit(b.high).alias("high"))
+        for t, b in enumerate(brackets)])))
+    stacked = narrow.unpivot([], sorted({b.column for b in brackets}), "slot", "v")
+    # a row per wanted quantile
+    near = stacked.join(F.broadcast(intervals), "slot").where((F.col("v") > F.col("low")) & (F.col("v") < F.col("high")))
+    counted = near.groupBy("t", "v").agg(F.count("*").alias("n"))
 
     counts, entries = [], []
     for t, b in enumerate(brackets):

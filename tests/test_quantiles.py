@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, table
+from limpid.functions.columns import as_number
 from limpid.operators.aggregate import groupby_aggregate
+from limpid.operators.outliers import Fences
 from limpid.plans import quantiles as q
 from limpid.plans.grouped_quantiles import grouped_median
 from limpid.plans.ordering import Ordered, bucket_of, split_points, with_position
@@ -51,6 +53,23 @@ def test_wrong_sketches_cost_time_but_not_exactness(spark, monkeypatch):
         assert max(counted, default=0) <= countable
 
 
+def test_counting_computes_the_given_expression_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    made = table(spark, {"k": rng.choice(["marker", "other"], 4000), "v": rng.normal(size=4000).round(2)}, "k string, v double")
+    df = made.selectExpr("CASE WHEN k = 'marker' THEN v * 40 WHEN k = 'none' THEN NULL ELSE v END AS x", "1 AS one")
+    capped = Fences.fit(df, "x").cap(df)
+    plans, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: plans.append(
+        self._jdf.queryExecution().optimizedPlan().toString()) or collect(self))
+    found = q.exact_quantiles(capped, {"x": as_number(capped, "x")}, [0.25, 0.5, 0.75], countable=4000)["x"]
+    monkeypatch.undo()
+    values = [r["x"] for r in capped.collect()]
+    np.testing.assert_allclose(found, np.percentile(values, [25, 50, 75]), rtol=1e-12)
+    counting = [p for p in plans if "Window" in p]
+    # one scan for the values inside the intervals, one for their edges
+    assert counting and all(p.count("= marker") == 2 for p in counting)
+
+
 def test_places_of_doubles():
     numbers = [-np.inf, -1e300, -1.0, -5e-324, 0.0, 5e-324, 0.1, 1e300, np.inf]
     assert [q._place(x) for x in numbers] == sorted(q._place(x) for x in numbers)
